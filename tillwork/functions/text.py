@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNKNOWN = "UNKNOWN"
 
@@ -64,7 +65,7 @@ def plain_words(c: Column) -> Column:
     return bare_key(F.regexp_replace(c, r"(?U)[^0-9a-zA-Z\s\x1c-\x1f]+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decompose(values: pd.Series) -> pd.Series:
     return values.map(lambda v: unicodedata.normalize("NFKD", v), na_action="ignore")
 

@@ -56,7 +56,7 @@ def _null_counts(df: DataFrame) -> DataFrame:
 def profile_info(df: DataFrame) -> DataFrame:
     """Totals, then non-null count, null count and type per column."""
     blank = F.lit("")
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     rows = [
         (F.lit("Total Entries"), F.col("_rows").cast("string"), blank, blank),
         (F.lit("Total Columns"), F.lit(str(len(df.columns))), blank, blank),

@@ -31,7 +31,10 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        return storage.exists(self.spark, f"{self.path(name)}/_SUCCESS")
+        """Finished: marked by a plain write, or holding batches, which appear only at commit."""
+        if storage.exists(self.spark, f"{self.path(name)}/_SUCCESS"):
+            return True
+        return any(c.startswith(f"{BATCH}=") for c in storage.children(self.spark, self.path(name)))
 
     def tables(self, prefix: str = "") -> list[str]:
         """Sorted names of finished tables that start with the prefix."""
