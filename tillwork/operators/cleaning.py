@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwork.functions import amounts, text
 
@@ -30,8 +31,14 @@ def clean_customer_id(df: DataFrame, name: str = "CUSTOMER_ID") -> DataFrame:
 
 
 def coerce_numeric(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Numbers where the text is one, NULL elsewhere; `types` maps column to target type."""
-    return df.withColumns({n: text.to_number(F.col(n)).try_cast(t) for n, t in types.items()})
+    """Numbers where the text is one, NULL elsewhere; `types` maps column to target type.
+
+    Columns that are numbers already are only cast.
+    """
+    numeric = {f.name for f in df.schema if isinstance(f.dataType, T.NumericType)}
+    return df.withColumns(
+        {n: (F.col(n) if n in numeric else text.to_number(F.col(n))).try_cast(t) for n, t in types.items()}
+    )
 
 
 def parse_timestamp(c: Column, fmt: str | None = None) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tillwork.functions.amounts import from_ticks, ratio, ticks
 from tillwork.functions.text import hash_percent
 from tillwork.operators.ranking import exact_quantiles
+from tillwork.session import cut_lineage
 
 TIME_FEATURES = (
     "AVG_MONTHLY_REVENUE",
@@ -143,7 +144,7 @@ def future_revenue(sales: DataFrame, train_months: int = 12) -> DataFrame:
 
 
 def cap_quantile(df: DataFrame, name: str = "TARGET", q: float = 0.95) -> tuple[DataFrame, float]:
-    """The column cut at its exact quantile, and the cut."""
+    """The column cut at its exact quantile, and the cut. `df` is read twice: pass a stored one."""
     cap = exact_quantiles(df, [name], [q])[name][0]
     if cap is None:
         return df, float("nan")
@@ -151,7 +152,7 @@ def cap_quantile(df: DataFrame, name: str = "TARGET", q: float = 0.95) -> tuple[
 
 
 def future_revenue_target(sales: DataFrame, train_months: int = 12, q: float = 0.95) -> DataFrame:
-    return cap_quantile(future_revenue(sales, train_months), "TARGET", q)[0]
+    return cap_quantile(cut_lineage(future_revenue(sales, train_months)), "TARGET", q)[0]
 
 
 def fill_missing_features(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:

@@ -26,16 +26,17 @@ def estimators(n: int, seed: int = 42, trees: int = 100) -> dict[str, Callable]:
     the same form in both.
     """
     common = {"featuresCol": "features", "labelCol": "TARGET", "predictionCol": "PREDICTION"}
-    linear = {**common, "standardization": False}
+    # The features are collinear, so the solver iterates; it needs room to converge.
+    linear = {**common, "standardization": False, "maxIter": 1000, "tol": 1e-8}
     return {
         "Linear Regression": lambda: LinearRegression(**linear),
         "Ridge": lambda: LinearRegression(**linear, regParam=1.0 / max(n, 1), elasticNetParam=0.0),
-        "Lasso": lambda: LinearRegression(**linear, regParam=1.0, elasticNetParam=1.0, maxIter=1000, tol=1e-8),
+        "Lasso": lambda: LinearRegression(**linear, regParam=1.0, elasticNetParam=1.0),
         "Random Forest": lambda: RandomForestRegressor(
-            **common, numTrees=trees, maxDepth=10, seed=seed, featureSubsetStrategy="all", maxBins=64
+            **common, numTrees=trees, maxDepth=10, seed=seed, featureSubsetStrategy="all"
         ),
         "Gradient Boosting": lambda: GBTRegressor(
-            **common, maxIter=trees, maxDepth=5, seed=seed, stepSize=0.1, maxBins=64
+            **common, maxIter=trees, maxDepth=5, seed=seed, stepSize=0.1
         ),
     }
 
@@ -105,7 +106,7 @@ def _mae(model, rows: DataFrame) -> float | None:
     return scored.agg(F.avg(F.abs(F.col("TARGET") - F.col("PREDICTION")))).first()[0]
 
 
-def cross_validate(prepared: Prepared, names: Sequence[str], folds: int = 5, parallelism: int = 4, **kw) -> dict[str, list[float]]:
+def cross_validate(prepared: Prepared, names: Sequence[str], folds: int = 5, parallelism: int = 6, **kw) -> dict[str, list[float]]:
     """Mean absolute error of each model on each held-out fold of the training rows.
 
     Fits are independent Spark jobs submitted from a few driver threads.
@@ -151,8 +152,10 @@ def train_models(
 ) -> Trained:
     """Fit every model on the training rows, score it on the test rows and by cross-validation."""
     names = list(names or estimators(1))
-    models = fit_models(prepared, names, **kw)
-    cv = cross_validate(prepared, names, folds, **kw) if folds else {n: [] for n in names}
+    with ThreadPoolExecutor(2) as pool:
+        fitted = pool.submit(fit_models, prepared, names, **kw)
+        cv = cross_validate(prepared, names, folds, **kw) if folds else {n: [] for n in names}
+        models = fitted.result()
     rows = []
     for name in names:
         test = prepared.side(name).filter("NOT IS_TRAIN")

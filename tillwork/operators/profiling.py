@@ -190,19 +190,45 @@ def profile_distribution(df: DataFrame, bins: int = 10) -> dict[str, DataFrame]:
 
 
 def profile_corr_pairs(df: DataFrame) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns, in one aggregation."""
+    """Pearson correlation of every pair of numeric columns over the rows where both have a value.
+
+    The first scan finds each column's mean, range and missing values. The second sums products of
+    deviations: one plain sum per pair, and the extra sums that restrict a pair to its common rows
+    only where a column has gaps. A column without spread has no correlation.
+    """
     numbers = numeric_columns(df)
-    pairs = list(combinations(numbers, 2))
-    both = {p: F.col(p[0]).isNotNull() & F.col(p[1]).isNotNull() for p in pairs}
-    aggs = []
-    for k, (a, b) in enumerate(pairs):
-        x = F.when(both[a, b], F.col(a).cast("double"))
-        y = F.when(both[a, b], F.col(b).cast("double"))
-        aggs += [F.covar_pop(x, y).alias(f"c{k}"), F.stddev_pop(x).alias(f"x{k}"), F.stddev_pop(y).alias(f"y{k}")]
-    rows = [
-        (F.lit(a), F.lit(b), ratio(F.col(f"c{k}"), F.col(f"x{k}") * F.col(f"y{k}"))) for k, (a, b) in enumerate(pairs)
-    ]
-    return _as_rows(df.agg(*aggs), rows, ["feature_1", "feature_2", "correlation"])
+    cast = df.select(*[F.col(c).cast("double").alias(c) for c in numbers])
+    first = cast.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(c).alias(f"{k}{i}") for i, c in enumerate(numbers) for k, f in _SHAPE.items()],
+    ).first()
+    gaps = {c for i, c in enumerate(numbers) if first[f"count{i}"] < first["n"]}
+    flat = {c for i, c in enumerate(numbers) if first[f"min{i}"] is None or first[f"min{i}"] == first[f"max{i}"]}
+    dev = {c: F.col(c) - F.lit(first[f"mean{i}"]) for i, c in enumerate(numbers)}
+
+    aggs = [F.sum(dev[c] * dev[c]).alias(f"ss{i}") for i, c in enumerate(numbers) if c not in gaps]
+    rows = []
+    for (i, a), (j, b) in combinations(enumerate(numbers), 2):
+        key = f"{i}_{j}"
+        if a in flat or b in flat:
+            r = F.lit(None).cast("double")
+        elif a in gaps or b in gaps:
+            x, y = F.when(F.col(b).isNotNull(), dev[a]), F.when(F.col(a).isNotNull(), dev[b])
+            parts = {"n": F.count(x), "x": F.sum(x), "y": F.sum(y), "xx": F.sum(x * x), "yy": F.sum(y * y), "xy": F.sum(x * y)}
+            spread = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
+            aggs += [f.alias(f"{k}{key}") for k, f in parts.items()] + [spread.alias(f"ok{key}")]
+            n, sx, sy, xx, yy, xy = (F.col(f"{k}{key}") for k in parts)
+            r = ratio(xy - ratio(sx * sy, n), F.sqrt((xx - ratio(sx * sx, n)) * (yy - ratio(sy * sy, n))))
+            r = F.when(F.col(f"ok{key}"), r)
+        else:
+            aggs.append(F.sum(dev[a] * dev[b]).alias(f"xy{key}"))
+            r = ratio(F.col(f"xy{key}"), F.sqrt(F.col(f"ss{i}")) * F.sqrt(F.col(f"ss{j}")))
+        rows.append((F.lit(a), F.lit(b), r))
+    totals = cast.agg(*aggs) if aggs else cast.agg(F.count(F.lit(1)))
+    return _as_rows(totals, rows, ["feature_1", "feature_2", "correlation"])
+
+
+_SHAPE = {"mean": F.avg, "min": F.min, "max": F.max, "count": F.count}
 
 
 def profile_corr_matrix(df: DataFrame) -> DataFrame:

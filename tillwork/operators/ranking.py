@@ -8,7 +8,8 @@ driver sees one count per partition.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row
@@ -65,19 +66,31 @@ def quintile_cuts(df: DataFrame, value: str, tiebreak: str) -> list[Row] | None:
     return [found[w] for w in wanted]
 
 
-def quintile_score(df: DataFrame, value: str, tiebreak: str, name: str) -> DataFrame:
-    """Quintile 1..5 of `value`, from four cut rows compared in place: no join, no window."""
-    cuts = quintile_cuts(df, value, tiebreak)
+def _score_by_cuts(cuts: list[Row] | None, value: str, tiebreak: str) -> Column:
+    """1 plus the number of cut rows that come before this row."""
     if cuts is None:
-        return df.withColumn(name, F.lit(None).cast("int"))
+        return F.lit(None).cast("int")
     v, t = F.col(value), F.col(tiebreak)
-    above = [
-        ((v > F.lit(c[value])) | ((v == F.lit(c[value])) & (t > F.lit(c[tiebreak])))).cast("int") for c in cuts
-    ]
     score = F.lit(1)
-    for step in above:
-        score = score + step
-    return df.withColumn(name, score.cast("int"))
+    for c in cuts:
+        after = (v > F.lit(c[value])) | ((v == F.lit(c[value])) & (t > F.lit(c[tiebreak])))
+        score = score + F.coalesce(after, F.lit(False)).cast("int")
+    return score
+
+
+def quintile_scores(df: DataFrame, scores: Mapping[str, str], tiebreak: str) -> DataFrame:
+    """Quintiles 1..5 of several columns, `scores` maps column to score name.
+
+    Four cut rows per column are compared in place: no join, no window. The sorts that find them are
+    independent jobs started side by side. They read `df` again, so pass a stored or checkpointed one.
+    """
+    with ThreadPoolExecutor(max(len(scores), 1)) as pool:
+        cuts = dict(zip(scores, pool.map(lambda v: quintile_cuts(df, v, tiebreak), scores)))
+    return df.withColumns({name: _score_by_cuts(cuts[v], v, tiebreak) for v, name in scores.items()})
+
+
+def quintile_score(df: DataFrame, value: str, tiebreak: str, name: str) -> DataFrame:
+    return quintile_scores(df, {value: name}, tiebreak)
 
 
 def exact_quantiles(df: DataFrame, names: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:

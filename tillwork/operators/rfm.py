@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions.amounts import from_ticks, ratio, ticks
-from tillwork.operators.ranking import quintile_score
+from tillwork.operators.ranking import quintile_scores
 
 
 def snapshot_date(sales: DataFrame) -> DataFrame:
@@ -79,10 +79,9 @@ def rfm_scores(rfm: DataFrame) -> DataFrame:
 
     Three sorts run over the given frame, so pass one that is stored or checkpointed.
     """
-    scored = quintile_score(rfm, "RECENCY", "CUSTOMER_ID", "RECENCY_SCORE")
+    names = {"RECENCY": "RECENCY_SCORE", "FREQUENCY": "FREQUENCY_SCORE", "TOTAL_REVENUE": "MONETARY_SCORE"}
+    scored = quintile_scores(rfm, names, "CUSTOMER_ID")
     scored = scored.withColumn("RECENCY_SCORE", F.lit(6) - F.col("RECENCY_SCORE"))
-    scored = quintile_score(scored, "FREQUENCY", "CUSTOMER_ID", "FREQUENCY_SCORE")
-    scored = quintile_score(scored, "TOTAL_REVENUE", "CUSTOMER_ID", "MONETARY_SCORE")
     digits = [F.col(c).cast("string") for c in ("RECENCY_SCORE", "FREQUENCY_SCORE", "MONETARY_SCORE")]
     return scored.withColumn("RFM_SCORE", F.concat(*digits))
 

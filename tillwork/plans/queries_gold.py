@@ -144,7 +144,7 @@ def snapshot_date(spark, d):
 
 @query("rfm_metrics", with_parts("metrics", "SELECT * FROM metrics"))
 def rfm_metrics(spark, d):
-    return rfm.rfm_metrics(views.valid(spark, d))
+    return rfm.rfm_metrics(views.stored_valid(spark, d))
 
 
 @query("rfm_derived", with_parts("derived", "SELECT * FROM derived"))
@@ -265,7 +265,7 @@ _MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13) if f"
     ),
 )
 def monthly_pivot(spark, d):
-    return cltv_features.monthly_pivot(views.valid(spark, d))
+    return cltv_features.monthly_pivot(views.stored_valid(spark, d))
 
 
 # The oracle turns wide integers into doubles less exactly, so the two columns behind a root are rounded.
@@ -279,7 +279,7 @@ def _round_roots(df):
 
 @query("time_features", with_parts("features", f"SELECT {_ROUND_ROOTS} FROM features"))
 def time_features(spark, d):
-    return _round_roots(cltv_features.time_features(views.valid(spark, d)))
+    return _round_roots(cltv_features.time_features(views.stored_valid(spark, d)))
 
 
 _RFM_NUMBERS = (
@@ -306,12 +306,12 @@ def numeric_select(spark, d):
 
 @query("future_revenue_target", with_parts("future", "SELECT CUSTOMER_ID, TARGET FROM future"))
 def future_revenue_target(spark, d):
-    return cltv_features.future_revenue(views.valid(spark, d))
+    return cltv_features.future_revenue(views.stored_valid(spark, d))
 
 
 @query("cap_quantile", with_parts("capped", "SELECT CUSTOMER_ID, round(TARGET, 6) AS TARGET FROM capped"))
 def cap_quantile(spark, d):
-    target = cltv_features.future_revenue_target(views.valid(spark, d))
+    target = cltv_features.future_revenue_target(views.stored_valid(spark, d))
     return target.withColumn("TARGET", F.round("TARGET", 6))
 
 
@@ -355,7 +355,7 @@ def standard_scale(spark, d):
 
 def _naive(spark, d):
     """Target next to the early revenue carried forward: a prediction SQL can repeat."""
-    sales = views.valid(spark, d)
+    sales = views.stored_valid(spark, d)
     early = cltv_features.time_features(sales).select("CUSTOMER_ID", (F.col("AVG_MONTHLY_REVENUE") * 60).alias("PREDICTION"))
     return cltv_features.future_revenue(sales).join(early, "CUSTOMER_ID")
 

@@ -9,6 +9,7 @@ from tillwork.plans import sample_tables as given
 from tillwork.plans import views
 from tillwork.plans.oracle_parts import with_parts
 from tillwork.plans.registry import query
+from tillwork.session import cut_lineage
 
 _RAW = ("INVOICE", "STOCKCODE", "DESCRIPTION", "QUANTITY", "PRICE", "CUSTOMER_ID", "COUNTRY")
 _ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
@@ -242,7 +243,7 @@ FROM (SELECT DESCRIPTION, count(DISTINCT STOCKCODE) AS STOCKCODE, count(DISTINCT
 
 @query("description_count_per_code", with_parts("silver", _CODE))
 def description_count_per_code(spark, d):
-    return explore.description_count_per_code(views.silver(spark, d))
+    return explore.description_count_per_code(cut_lineage(views.silver(spark, d)))
 
 
 @query(
@@ -264,12 +265,12 @@ FROM (SELECT STOCKCODE, COUNTRY, count(DISTINCT PRICE) AS PRICE, count(DISTINCT
     ),
 )
 def description_count_per_code_country(spark, d):
-    return explore.description_count_per_code_country(views.silver(spark, d))
+    return explore.description_count_per_code_country(cut_lineage(views.silver(spark, d)))
 
 
 @query("code_count_per_description", with_parts("silver", _DESCRIPTION))
 def code_count_per_description(spark, d):
-    return explore.code_count_per_description(views.silver(spark, d))
+    return explore.code_count_per_description(cut_lineage(views.silver(spark, d)))
 
 
 @query(
@@ -287,7 +288,7 @@ FROM silver s LEFT JOIN pc ON pc.STOCKCODE = s.STOCKCODE LEFT JOIN pd ON pd.DESC
     ),
 )
 def faulty_descriptions(spark, d):
-    sales = views.silver(spark, d)
+    sales = cut_lineage(views.silver(spark, d))
     return explore.faulty_descriptions(
         sales, explore.description_count_per_code(sales), explore.code_count_per_description(sales)
     )

@@ -10,7 +10,7 @@ from tillwork.plans import sample_tables as given
 from tillwork.plans import views
 from tillwork.plans.oracle_parts import bare, key, offset, product_parts, title, with_parts, words
 from tillwork.plans.registry import query
-from tillwork.session import scratch_path
+from tillwork.session import cut_lineage, scratch_path
 from tillwork.sources.warehouse import Warehouse
 
 
@@ -94,7 +94,7 @@ def silver_sales(spark, d):
     from tillwork.plans import steps
 
     wh = Warehouse(spark, scratch_path(spark, "wh"))
-    text = given.text_sales(spark, d)
+    text = steps.with_event_date(given.text_sales(spark, d))
     early = F.col("INVOICEDATE") < "1998-01-01"
     wh.overwrite("BRONZE", "ONLINE_RETAIL_1", text.filter(early))
     steps.load_silver_sales(wh)
@@ -256,7 +256,7 @@ def country_metadata(spark, d):
     from tillwork.plans import steps
 
     wh = Warehouse(spark, scratch_path(spark, "wh"))
-    sales = views.silver(spark, d)
+    sales = cut_lineage(views.silver(spark, d))
     reference = given.country_reference(spark, d)
     wh.overwrite("SILVER", "SALES", sales.filter("COUNTRY < 'NATION_2'"))
     steps.load_country(wh, reference, views.AT)
@@ -270,13 +270,15 @@ def country_metadata(spark, d):
     with_parts("pairs", "SELECT INVOICE_DATE, CURRENCY FROM pairs WHERE NOT (INVOICE_DATE < '1997-01-01' AND CURRENCY IS NULL)"),
 )
 def currency_date_pairs(spark, d):
-    sales, countries = views.silver(spark, d), views.countries(spark, d)
+    sales = cut_lineage(views.silver(spark, d))
+    countries = views.countries_of(spark, d, sales)
     known = sales.filter("INVOICE_DATE < '1997-01-01'").select("INVOICE_DATE", F.lit(None).cast("string").alias("CURRENCY"))
     return fxrates.currency_date_pairs(sales, countries, known)
 
 
 def _rates(spark, d):
-    pairs = fxrates.currency_date_pairs(views.silver(spark, d), views.countries(spark, d))
+    sales = cut_lineage(views.silver(spark, d))
+    pairs = fxrates.currency_date_pairs(sales, views.countries_of(spark, d, sales))
     return fxrates.fx_rate_lookup(pairs, *given.rate_references(spark, d))
 
 
@@ -302,9 +304,9 @@ def exchange_rate(spark, d):
     from tillwork.plans import steps
 
     wh = Warehouse(spark, scratch_path(spark, "wh"))
-    sales = views.silver(spark, d)
+    sales = cut_lineage(views.silver(spark, d))
     first, second = given.rate_references(spark, d)
-    wh.write_batch("SILVER", "COUNTRY_METADATA", views.countries(spark, d), "1")
+    wh.write_batch("SILVER", "COUNTRY_METADATA", views.countries_of(spark, d, sales), "1")
     wh.overwrite("SILVER", "SALES", sales.filter("INVOICE_DATE < '1998-01-01'"))
     steps.load_rates(wh, first, second.filter("false"))
     wh.overwrite("SILVER", "SALES", sales)

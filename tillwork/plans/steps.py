@@ -45,15 +45,19 @@ def load_bronze(wh: Warehouse, landing: str, fmt: str | None = None) -> list[str
         changed = modified(wh.spark, path) or ""
         if changed <= last:
             continue
-        if "INVOICEDATE" in df.columns:
-            df = df.withColumn(EVENT_DATE, amounts.date_text(cleaning.parse_timestamp(F.col("INVOICEDATE"), fmt)))
-        names.append(wh.overwrite("BRONZE", table, df))
+        names.append(wh.overwrite("BRONZE", table, with_event_date(df, fmt)))
         newest = max(newest, changed)
     if names:
         wh.set_watermark("bronze_csv_files", newest)
     return names
 
 
+def with_event_date(df: DataFrame, fmt: str | None = None) -> DataFrame:
+    if "INVOICEDATE" not in df.columns:
+        return df
+    return df.withColumn(EVENT_DATE, amounts.date_text(cleaning.parse_timestamp(F.col("INVOICEDATE"), fmt)))
+
+
 def load_bronze_mapping(wh: Warehouse, path: str) -> str | None:
     """Reload the score mapping when its file changed."""
     changed = modified(wh.spark, path) or ""

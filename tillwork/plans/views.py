@@ -15,7 +15,8 @@ AT = datetime(2024, 7, 1, tzinfo=timezone.utc)
 
 
 def silver(spark: SparkSession, d: str) -> DataFrame:
-    return cleaning.clean_sales(given.text_sales(spark, d))
+    """Clean sales from typed raw lines; the text form is read by `csv_scan` and `silver_sales`."""
+    return cleaning.clean_sales(given.raw_sales(spark, d))
 
 
 def lines(spark: SparkSession, d: str) -> DataFrame:
@@ -27,22 +28,33 @@ def valid(spark: SparkSession, d: str) -> DataFrame:
     return cleaning.extract_year_month(kept)
 
 
-def countries(spark: SparkSession, d: str) -> DataFrame:
-    raw = silver(spark, d).select(F.col("COUNTRY").alias("COUNTRY_RAW")).distinct()
+def stored_valid(spark: SparkSession, d: str) -> DataFrame:
+    """The valid lines behind a checkpoint, for operators that read them more than once."""
+    return cut_lineage(valid(spark, d))
+
+
+def countries_of(spark: SparkSession, d: str, sales: DataFrame) -> DataFrame:
+    raw = sales.select(F.col("COUNTRY").alias("COUNTRY_RAW")).distinct()
     return country.new_country_metadata(raw, given.country_reference(spark, d), AT)
 
 
+def countries(spark: SparkSession, d: str) -> DataFrame:
+    return countries_of(spark, d, silver(spark, d))
+
+
 def catalogue(spark: SparkSession, d: str) -> DataFrame:
     """Distinct (code, raw name) pairs, as the product mapping has them."""
     return silver(spark, d).select("STOCKCODE", F.col("DESCRIPTION").alias("DESCRIPTION_RAW")).distinct()
 
 
 def fact(spark: SparkSession, d: str) -> DataFrame:
-    return star.fact_sales(silver(spark, d), countries(spark, d), catalogue(spark, d))
+    sales = cut_lineage(silver(spark, d))
+    products = sales.select("STOCKCODE", F.col("DESCRIPTION").alias("DESCRIPTION_RAW")).distinct()
+    return star.fact_sales(sales, countries_of(spark, d, sales), products)
 
 
 def metrics(spark: SparkSession, d: str) -> DataFrame:
-    return rfm.rfm_derived(rfm.rfm_metrics(valid(spark, d)))
+    return rfm.rfm_derived(rfm.rfm_metrics(stored_valid(spark, d)))
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
@@ -56,7 +68,7 @@ def stored_rfm(spark: SparkSession, d: str) -> DataFrame:
 
 def model_frame(spark: SparkSession, d: str) -> DataFrame:
     """CUSTOMER_ID, 28 features and TARGET."""
-    sales = cut_lineage(valid(spark, d))
+    sales = stored_valid(spark, d)
     rfm_rows = rfm.rfm_scores(cut_lineage(rfm.rfm_derived(rfm.rfm_metrics(sales))))
     rfm_rows = rfm_rows.withColumns({c: F.col(c).cast("string") for c in ("RECENCY", "TENURE")})
     features = cltv_features.feature_join(cltv_features.time_features(sales), rfm_rows)
