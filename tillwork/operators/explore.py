@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions.amounts import ratio
+from tillwork.session import cut_lineage
 
 
 def split_returns_sales(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -38,6 +39,12 @@ def _distinct_counts(df: DataFrame, keys: Sequence[str], counted: Sequence[str])
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(*[F.count_distinct(c).alias(c) for c in counted])
 
 
+def _stored_counts(df: DataFrame, keys: Sequence[str], counted: Sequence[str]) -> DataFrame:
+    """The counts behind a checkpoint: they are compared with their own mean, and a row per key is
+    far less than another pass over the lines."""
+    return cut_lineage(_distinct_counts(df, keys, counted))
+
+
 def _mean(df: DataFrame, c: Column) -> Column:
     """Mean over a frame as a scalar subquery: one value, no join."""
     return df.agg(ratio(F.sum(c), F.count(c))).scalar()
@@ -45,10 +52,10 @@ def _mean(df: DataFrame, c: Column) -> Column:
 
 def description_count_per_code(df: DataFrame, flags: bool = True) -> DataFrame:
     """Distinct prices and descriptions per code, and what looks odd about them."""
-    counts = _distinct_counts(df, ["STOCKCODE"], ["PRICE", "DESCRIPTION"])
     if not flags:
-        return counts.orderBy("STOCKCODE")
-    mean_length = _mean(df.select("STOCKCODE").dropna().distinct(), F.length("STOCKCODE"))
+        return _distinct_counts(df, ["STOCKCODE"], ["PRICE", "DESCRIPTION"]).orderBy("STOCKCODE")
+    counts = _stored_counts(df, ["STOCKCODE"], ["PRICE", "DESCRIPTION"])
+    mean_length = _mean(counts, F.length("STOCKCODE"))
     mean_prices = _mean(counts, F.col("PRICE"))
     return counts.select(
         "STOCKCODE",
@@ -65,9 +72,10 @@ def description_count_per_code(df: DataFrame, flags: bool = True) -> DataFrame:
 
 def description_count_per_code_country(df: DataFrame, flags: bool = True) -> DataFrame:
     """The same counts per code and country."""
-    counts = _distinct_counts(df, ["STOCKCODE", "COUNTRY"], ["PRICE", "DESCRIPTION"])
+    keys, counted = ["STOCKCODE", "COUNTRY"], ["PRICE", "DESCRIPTION"]
     if not flags:
-        return counts.orderBy("STOCKCODE", "COUNTRY")
+        return _distinct_counts(df, keys, counted).orderBy(*keys)
+    counts = _stored_counts(df, keys, counted)
     mean_prices = _mean(counts, F.col("PRICE"))
     return counts.select(
         "STOCKCODE",
@@ -81,8 +89,8 @@ def description_count_per_code_country(df: DataFrame, flags: bool = True) -> Dat
 
 def code_count_per_description(df: DataFrame) -> DataFrame:
     """Distinct codes and prices per description, and what looks odd about them."""
-    counts = _distinct_counts(df, ["DESCRIPTION"], ["STOCKCODE", "PRICE"])
-    mean_length = _mean(df.select("DESCRIPTION").dropna().distinct(), F.length("DESCRIPTION"))
+    counts = _stored_counts(df, ["DESCRIPTION"], ["STOCKCODE", "PRICE"])
+    mean_length = _mean(counts, F.length("DESCRIPTION"))
     mean_prices = _mean(counts, F.col("PRICE"))
     return counts.select(
         "DESCRIPTION",

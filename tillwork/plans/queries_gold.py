@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwork import schemas
-from tillwork.operators import cltv_features, cltv_models, ranking, rfm, star
+from tillwork.operators import cltv_features, cltv_models, fxrates, ranking, rfm, star
 from tillwork.operators.cleaning import add_revenue
 from tillwork.plans import sample_tables as given
 from tillwork.plans import steps, views
@@ -129,11 +129,11 @@ LEFT JOIN pair_rates p ON p.INVOICE_DATE = l.INVOICE_DATE AND p.CURRENCY = c.CUR
     ),
 )
 def revenue_converted(spark, d):
-    from tillwork.plans.queries_silver import fx_rate_lookup
-
-    converted = star.revenue_converted(
-        views.fact(spark, d), star.dim_country(views.countries(spark, d)), star.dim_exchange_rate(fx_rate_lookup(spark, d))
-    )
+    sales = cut_lineage(views.silver(spark, d))
+    countries = views.countries_of(spark, d, sales)
+    pairs = fxrates.currency_date_pairs(sales, countries)
+    rates = fxrates.fx_rate_lookup(pairs, *given.rate_references(spark, d))
+    converted = star.revenue_converted(views.fact_of(spark, d, sales), star.dim_country(countries), star.dim_exchange_rate(rates))
     return converted.select("INVOICE", "INVOICE_DATE", "COUNTRY_ID", "CURRENCY", "REVENUE", "REVENUE_CONVERTED")
 
 

@@ -110,6 +110,14 @@ def stored_latest(wh: Warehouse, name: str, keys: list[str]) -> DataFrame:
     return incremental.latest_per_key(wh.read_batches(name), keys, BATCH).drop(BATCH)
 
 
+def _news(fresh: DataFrame, stored: DataFrame | None, keys: list[str], found: str) -> DataFrame:
+    """Looked-up rows worth storing: all that were found, and failures not yet on record."""
+    if stored is None:
+        return fresh
+    failed = fresh.filter(F.col(found).isNull())
+    return fresh.filter(F.col(found).isNotNull()).unionByName(incremental.incr_key_antijoin(failed, stored, keys))
+
+
 def _next_batch(wh: Warehouse, step: str) -> str:
     """Sortable number of the batch a step writes next; the same until its mark moves."""
     last = wh.get_watermark(step)
@@ -119,10 +127,11 @@ def _next_batch(wh: Warehouse, step: str) -> str:
 def load_country(wh: Warehouse, reference: DataFrame, at: datetime | None = None) -> str | None:
     """Metadata of countries that have none yet; names whose lookup failed are tried again."""
     current = wh.read("SILVER_SALES", "COUNTRY").distinct().select(F.col("COUNTRY").alias("COUNTRY_RAW"))
-    if wh.exists("SILVER_COUNTRY_METADATA"):
-        known = country_table(wh).filter(F.col("ISO3").isNotNull())
-        current = incremental.incr_key_antijoin(current, known, ["COUNTRY_RAW"])
+    stored = country_table(wh) if wh.exists("SILVER_COUNTRY_METADATA") else None
+    if stored is not None:
+        current = incremental.incr_key_antijoin(current, stored.filter(F.col("ISO3").isNotNull()), ["COUNTRY_RAW"])
     fresh = cut_lineage(country.new_country_metadata(current, reference, at))
+    fresh = _news(fresh, stored, ["COUNTRY_RAW"], "ISO3")
     if fresh.isEmpty():
         return None
     batch = _next_batch(wh, "silver_country_mapping")
@@ -138,11 +147,11 @@ def country_table(wh: Warehouse) -> DataFrame:
 def load_rates(wh: Warehouse, first: DataFrame, second: DataFrame) -> str | None:
     """Rates of (date, currency) pairs that have none yet; missing rates are tried again."""
     sales = wh.read("SILVER_SALES", "COUNTRY", "INVOICE_DATE")
-    known = None
-    if wh.exists("SILVER_EXCHANGE_RATE"):
-        known = rate_table(wh).filter(F.col("EXCHANGE_RATE_TO_GBP").isNotNull())
+    stored = rate_table(wh) if wh.exists("SILVER_EXCHANGE_RATE") else None
+    known = None if stored is None else stored.filter(F.col("EXCHANGE_RATE_TO_GBP").isNotNull())
     pairs = fxrates.currency_date_pairs(sales, country_table(wh), known)
     fresh = cut_lineage(fxrates.fx_rate_lookup(pairs, first, second))
+    fresh = _news(fresh, stored, list(fxrates.PAIR), "EXCHANGE_RATE_TO_GBP")
     if fresh.isEmpty():
         return None
     batch = _next_batch(wh, "silver_exchange_rate")

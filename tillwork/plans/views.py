@@ -48,7 +48,10 @@ def catalogue(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, d: str) -> DataFrame:
-    sales = cut_lineage(silver(spark, d))
+    return fact_of(spark, d, cut_lineage(silver(spark, d)))
+
+
+def fact_of(spark: SparkSession, d: str, sales: DataFrame) -> DataFrame:
     products = sales.select("STOCKCODE", F.col("DESCRIPTION").alias("DESCRIPTION_RAW")).distinct()
     return star.fact_sales(sales, countries_of(spark, d, sales), products)
 
