@@ -19,18 +19,18 @@ from tillwork.operators.cltv_features import assign_fold, fit_scaler, standard_s
 TREES = ("Random Forest", "Gradient Boosting")
 
 
-def estimators(n: int, seed: int = 42, trees: int = 100) -> dict[str, Callable]:
-    """Estimator factories for a training set of `n` rows.
+def estimators(n: int = 1, label_deviation: float = 1.0, seed: int = 42, trees: int = 100) -> dict[str, Callable]:
+    """Estimator factories for a training set of `n` rows with the given deviation of the label.
 
-    Ridge's penalty is a sum over rows and Spark's is a mean, hence alpha / n; the lasso penalty has
-    the same form in both.
+    The ridge penalty weighs alpha against a sum over rows. Spark weighs against the mean, and after
+    dividing the label by its deviation, hence alpha * deviation / n. The lasso penalty needs neither.
     """
     common = {"featuresCol": "features", "labelCol": "TARGET", "predictionCol": "PREDICTION"}
     # The features are collinear, so the solver iterates; it needs room to converge.
     linear = {**common, "standardization": False, "maxIter": 1000, "tol": 1e-8}
     return {
         "Linear Regression": lambda: LinearRegression(**linear),
-        "Ridge": lambda: LinearRegression(**linear, regParam=1.0 / max(n, 1), elasticNetParam=0.0),
+        "Ridge": lambda: LinearRegression(**linear, regParam=label_deviation / max(n, 1), elasticNetParam=0.0),
         "Lasso": lambda: LinearRegression(**linear, regParam=1.0, elasticNetParam=1.0),
         "Random Forest": lambda: RandomForestRegressor(
             **common, numTrees=trees, maxDepth=10, seed=seed, featureSubsetStrategy="all"
@@ -76,7 +76,6 @@ class Prepared:
     features: list[str]
     scaled: DataFrame
     raw: DataFrame
-    n_train: int
 
     def side(self, model: str) -> DataFrame:
         return self.raw if model in TREES else self.scaled
@@ -98,7 +97,13 @@ def prepare(data: DataFrame, features: Sequence[str], seed: int = 42, folds: int
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     raw = assembler.transform(split).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
     scaled = assembler.transform(standard_scale(split, scaler)).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-    return Prepared(list(features), scaled, raw, train.count())
+    return Prepared(list(features), scaled, raw)
+
+
+def _estimators_for(rows: DataFrame, **kw) -> dict[str, Callable] | None:
+    """Estimators sized to a training set; None when it is empty."""
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("TARGET").alias("d")).first()
+    return estimators(seen["n"], seen["d"] or 1.0, **kw) if seen["n"] else None
 
 
 def _mae(model, rows: DataFrame) -> float | None:
@@ -116,10 +121,8 @@ def cross_validate(prepared: Prepared, names: Sequence[str], folds: int = 5, par
         name, fold = task
         rows = prepared.side(name).filter("IS_TRAIN")
         fit_on, check_on = rows.filter(F.col("FOLD") != fold), rows.filter(F.col("FOLD") == fold)
-        n = fit_on.count()
-        if n == 0:
-            return None
-        return _mae(estimators(n, **kw)[name]().fit(fit_on), check_on)
+        make = _estimators_for(fit_on, **kw)
+        return None if make is None else _mae(make[name]().fit(fit_on), check_on)
 
     tasks = [(name, fold) for name in reversed(names) for fold in range(folds)]
     with ThreadPoolExecutor(parallelism) as pool:
@@ -138,7 +141,9 @@ class Trained:
 
 
 def fit_models(prepared: Prepared, names: Sequence[str], parallelism: int = 4, **kw) -> dict[str, object]:
-    make = estimators(prepared.n_train, **kw)
+    make = _estimators_for(prepared.raw.filter("IS_TRAIN"), **kw)
+    if make is None:
+        raise ValueError("no training rows")
 
     def one(name: str):
         return make[name]().fit(prepared.side(name).filter("IS_TRAIN"))
@@ -151,7 +156,7 @@ def train_models(
     spark: SparkSession, prepared: Prepared, names: Sequence[str] | None = None, folds: int = 5, **kw
 ) -> Trained:
     """Fit every model on the training rows, score it on the test rows and by cross-validation."""
-    names = list(names or estimators(1))
+    names = list(names or estimators())
     with ThreadPoolExecutor(2) as pool:
         fitted = pool.submit(fit_models, prepared, names, **kw)
         cv = cross_validate(prepared, names, folds, **kw) if folds else {n: [] for n in names}
