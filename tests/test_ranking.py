@@ -54,13 +54,15 @@ def test_quintile_of_rank_equals_pandas_for_many_sizes(spark):
         assert got[got.n == n].sort_values("r").q.tolist() == pandas_quintile(range(n))
 
 
-def test_exact_quantiles(spark):
+@pytest.mark.parametrize("sort_all_upto, accuracy", [(10**9, 1000), (0, 1000), (0, 20)])
+def test_exact_quantiles(spark, sort_all_upto, accuracy):
     rng = np.random.default_rng(1)
     a = rng.normal(size=997).round(2).tolist()
     b = [0.0] * 600 + rng.exponential(size=397).tolist()
     rows = [(x, y if i % 10 else None) for i, (x, y) in enumerate(zip(a, b))]
     probs = [0.0, 0.25, 0.5, 0.95, 1.0]
-    got = ranking.exact_quantiles(spark.createDataFrame(rows, "a double, b double").repartition(5), ["a", "b"], probs)
+    df = spark.createDataFrame(rows, "a double, b double").repartition(5)
+    got = ranking.exact_quantiles(df, ["a", "b"], probs, sort_all_upto, accuracy)
     frame = pd.DataFrame(rows, columns=["a", "b"])
     for c in ("a", "b"):
         assert got[c] == pytest.approx([frame[c].quantile(p) for p in probs], abs=1e-12)

@@ -16,7 +16,12 @@ def split_returns_sales(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     negative = F.coalesce(F.col("QUANTITY") < 0, F.lit(False))
     lettered = F.coalesce(F.col("INVOICE").rlike("[A-Za-z]"), F.lit(False))
     is_return = negative | lettered
-    return df.filter(is_return).orderBy("INVOICE"), df.filter(~is_return).orderBy("INVOICE")
+    return _by_invoice(df.filter(is_return)), _by_invoice(df.filter(~is_return))
+
+
+def _by_invoice(df: DataFrame) -> DataFrame:
+    """Sorted by invoice. The row number breaks ties, so the range shuffle can split a hot invoice."""
+    return df.withColumn("_row", F.monotonically_increasing_id()).orderBy("INVOICE", "_row").drop("_row")
 
 
 def unique_values(df: DataFrame, name: str) -> DataFrame:

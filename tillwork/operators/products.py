@@ -113,7 +113,7 @@ def product_code_reports(mapping: DataFrame) -> dict[str, DataFrame]:
         .groupBy("STOCKCODE")
         .agg(F.count("PRODUCT_NAME").alias("COUNT_PRODUCT_PER_CODE"))
     )
-    several = per_code.filter(F.col("COUNT_PRODUCT_PER_CODE") > 1).join(base, "STOCKCODE").orderBy("STOCKCODE")
+    several = per_code.filter(F.col("COUNT_PRODUCT_PER_CODE") > 1).join(base, "STOCKCODE").orderBy("STOCKCODE", "PRODUCT_NAME")
     per_name = (
         base.filter(F.col("PRODUCT_NAME").isNotNull())
         .groupBy("PRODUCT_NAME")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row
@@ -93,71 +94,141 @@ def quintile_score(df: DataFrame, value: str, tiebreak: str, name: str) -> DataF
     return quintile_scores(df, {value: name}, tiebreak)
 
 
-def exact_quantiles(df: DataFrame, names: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+@dataclass(frozen=True)
+class _Segment:
+    """Values of one column between two bounds, and how many of the column's values are below."""
+
+    name: str
+    low: float | None
+    high: float | None
+    below: int
+
+    def holds(self, c: Column) -> Column:
+        if self.low is None:
+            return F.lit(True)
+        return c.between(F.lit(self.low), F.lit(self.high))
+
+
+def _segments(values: DataFrame, counts: dict[str, int], probs: Sequence[float], accuracy: int) -> list[_Segment]:
+    """Intervals that hold the wanted ranks, from a mergeable sketch with a guaranteed rank error.
+
+    A sketch of accuracy A is off by at most N / A ranks, so bounds 2 / A away from the wanted rank
+    enclose it, and the rows between them are a small share of the column.
+    """
+    reach = 2.0 / accuracy
+    ends = sorted({min(max(p + s, 0.0), 1.0) for p in probs for s in (-reach, reach)})
+    names = [n for n, count in counts.items() if count]
+    row = values.agg(
+        *[F.percentile_approx(F.col(n), list(ends), accuracy).alias(f"q{k}") for k, n in enumerate(names)],
+        *[F.min(n).alias(f"lo{k}") for k, n in enumerate(names)],
+        *[F.max(n).alias(f"hi{k}") for k, n in enumerate(names)],
+    ).first()
+    spans: list[tuple[str, float, float]] = []
+    for k, name in enumerate(names):
+        at = dict(zip(ends, row[f"q{k}"]))
+        wanted = []
+        for p in probs:
+            low, high = max(p - reach, 0.0), min(p + reach, 1.0)
+            wanted.append((row[f"lo{k}"] if low == 0.0 else at[low], row[f"hi{k}"] if high == 1.0 else at[high]))
+        merged: list[list[float]] = []
+        for low, high in sorted(wanted):
+            if merged and low <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], high)
+            else:
+                merged.append([low, high])
+        spans += [(name, low, high) for low, high in merged]
+    below = values.agg(*[F.count_if(F.col(n) < F.lit(low)).alias(f"b{k}") for k, (n, low, _) in enumerate(spans)]).first()
+    return [_Segment(n, low, high, below[f"b{k}"]) for k, (n, low, high) in enumerate(spans)]
+
+
+def exact_quantiles(
+    df: DataFrame, names: Sequence[str], probs: Sequence[float], sort_all_upto: int = 20_000_000, accuracy: int = 10_000
+) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of several numeric columns, exact and in one sort.
 
-    Equal values collapse to one counted row first. The sort, the per-partition totals and the scan
-    of the partitions that hold a wanted rank are all distributed; the driver gets the totals and
-    two values per quantile.
+    Beyond `sort_all_upto` values only those near a wanted rank are sorted: a sketch finds bounds
+    around each rank and the values below them are counted. Equal values collapse to one counted row
+    before the sort, so a value shared by many rows is one row. The driver gets one total per sort
+    partition and two values per quantile.
     """
-    values = df.select(*[F.col(n).cast("double").alias(n) for n in names]).unpivot([], list(names), "col", "value")
+    cast = df.select(*[F.nanvl(F.col(n).cast("double"), F.lit(None)).alias(n) for n in names])
+    sizes = cast.agg(*[F.count(F.col(n)).alias(f"n{k}") for k, n in enumerate(names)]).first()
+    counts = {n: sizes[f"n{k}"] for k, n in enumerate(names)}
+    if sum(counts.values()) > sort_all_upto:
+        segments = _segments(cast, counts, probs, accuracy)
+        found = _quantiles_in(cast, counts, probs, segments)
+        if found is not None:
+            return found
+    whole = [_Segment(n, None, None, 0) for n, count in counts.items() if count]
+    return _quantiles_in(cast, counts, probs, whole) or {}
+
+
+def _quantiles_in(
+    cast: DataFrame, counts: dict[str, int], probs: Sequence[float], segments: list[_Segment]
+) -> dict[str, list[float | None]] | None:
+    """Quantiles from the values inside the segments; None when a wanted rank lies outside of them."""
+    empty = {n: [None] * len(probs) for n, count in counts.items() if not count}
+    if not segments:
+        return empty
+    names = [n for n in counts if counts[n]]
+    long = cast.select(*names).unpivot([], names, "col", "value").filter(F.col("value").isNotNull())
+    seg = F.lit(None).cast("int")
+    for k, s in enumerate(segments):
+        seg = F.when((F.col("col") == s.name) & s.holds(F.col("value")), F.lit(k)).otherwise(seg)
     counted = (
-        values.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("col", "value")
+        long.select(seg.alias("seg"), "value")
+        .filter(F.col("seg").isNotNull())
+        .groupBy("seg", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    parts = cut_lineage(counted.orderBy("col", "value")).withColumn("p", F.spark_partition_id())
-    totals: dict[str, list[tuple[int, int]]] = {}
-    for r in parts.groupBy("col", "p").agg(F.sum("n").alias("n")).orderBy("col", "p").collect():
-        totals.setdefault(r["col"], []).append((r["p"], r["n"]))
-
-    places: dict[str, list[tuple[int, int, float]]] = {}
-    needed: set[tuple[str, int, int, int]] = set()
-    for name, per_part in totals.items():
-        count = sum(n for _, n in per_part)
-        places[name] = []
+    parts = cut_lineage(counted.orderBy("seg", "value")).withColumn("p", F.spark_partition_id())
+    totals = parts.groupBy("seg", "p").agg(F.sum("n").alias("n")).orderBy("seg", "p").collect()
+
+    # First rank of each (segment, partition) piece of a column, and the piece that holds a rank.
+    starts: dict[tuple[int, int], int] = {}
+    pieces: dict[str, list[tuple[int, int, int, int]]] = {n: [] for n in names}
+    reached = {k: s.below for k, s in enumerate(segments)}
+    for r in totals:
+        first = reached[r["seg"]]
+        starts[r["seg"], r["p"]] = first
+        pieces[segments[r["seg"]].name].append((first, first + r["n"], r["seg"], r["p"]))
+        reached[r["seg"]] = first + r["n"]
+
+    def piece(name: str, rank: int) -> tuple[int, int] | None:
+        return next(((s, p) for first, end, s, p in pieces[name] if first <= rank < end), None)
+
+    wanted: dict[tuple[str, int], tuple[int, int]] = {}
+    for name in names:
         for prob in probs:
-            at = (count - 1) * prob
-            low, high = math.floor(at), math.ceil(at)
-            places[name].append((low, high, at - low))
-            for rank in (low, high):
-                before = 0
-                for part, n in per_part:
-                    if rank < before + n:
-                        needed.add((name, part, before, rank))
-                        break
-                    before += n
-    if not needed:
-        return {n: [None] * len(probs) for n in names}
-
-    pairs = {(c, p) for c, p, _, _ in needed}
-    here = F.struct("col", "p").isin([F.struct(F.lit(c), F.lit(p)) for c, p in pairs])
+            at = (counts[name] - 1) * prob
+            for rank in (math.floor(at), math.ceil(at)):
+                where = piece(name, rank)
+                if where is None:
+                    return None
+                wanted[name, rank] = where
+
+    here = F.lit(False)
+    for s, p in set(wanted.values()):
+        here = here | ((F.col("seg") == s) & (F.col("p") == p))
     # Each window group lies inside one range partition of the sort.
-    upto = Window.partitionBy("col", "p").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = Window.partitionBy("seg", "p").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = parts.filter(here).withColumn("last", F.sum("n").over(upto))
-    hits = [
-        (F.col("col") == c) & (F.col("p") == p) & (F.col("last") > rank - before) & (F.col("last") - F.col("n") <= rank - before)
-        for c, p, before, rank in needed
-    ]
-    start = {(c, p): b for c, p, b, _ in needed}
-    any_hit = hits[0]
-    for h in hits[1:]:
-        any_hit = any_hit | h
-    rows = running.filter(any_hit).collect()
+    hit = F.lit(False)
+    for (_, rank), (s, p) in wanted.items():
+        offset = F.lit(rank - starts[s, p])
+        hit = hit | ((F.col("seg") == s) & (F.col("p") == p) & (F.col("last") > offset) & (F.col("last") - F.col("n") <= offset))
+    rows = running.filter(hit).collect()
 
     def value_at(name: str, rank: int) -> float:
-        for r in rows:
-            first = start.get((r["col"], r["p"]))
-            if r["col"] == name and first is not None and first + r["last"] - r["n"] <= rank < first + r["last"]:
-                return r["value"]
-        raise LookupError(f"rank {rank} of {name}")
+        s, p = wanted[name, rank]
+        offset = rank - starts[s, p]
+        return next(r["value"] for r in rows if (r["seg"], r["p"]) == (s, p) and r["last"] - r["n"] <= offset < r["last"])
 
-    result: dict[str, list[float | None]] = {}
+    result = dict(empty)
     for name in names:
-        if name not in places:
-            result[name] = [None] * len(probs)
-            continue
-        result[name] = [
-            (lo := value_at(name, low)) + (value_at(name, high) - lo) * part for low, high, part in places[name]
-        ]
+        result[name] = []
+        for prob in probs:
+            at = (counts[name] - 1) * prob
+            low, high = value_at(name, math.floor(at)), value_at(name, math.ceil(at))
+            result[name].append(low + (high - low) * (at - math.floor(at)))
     return result

@@ -12,7 +12,7 @@ from tillwork.plans import steps, views
 from tillwork.plans.oracle_parts import money, stable_id, ticks, with_parts
 from tillwork.plans.queries_sources import write_landing
 from tillwork.plans.registry import query
-from tillwork.session import cut_lineage, scratch_path
+from tillwork.session import cut_lineage, scratch_path, stage
 from tillwork.sources.warehouse import Warehouse
 
 _FACT = ", ".join(n for n, _ in schemas.columns(schemas.FACT_SALES))
@@ -129,7 +129,7 @@ LEFT JOIN pair_rates p ON p.INVOICE_DATE = l.INVOICE_DATE AND p.CURRENCY = c.CUR
     ),
 )
 def revenue_converted(spark, d):
-    sales = cut_lineage(views.silver(spark, d))
+    sales = stage(views.silver(spark, d))
     countries = views.countries_of(spark, d, sales)
     pairs = fxrates.currency_date_pairs(sales, countries)
     rates = fxrates.fx_rate_lookup(pairs, *given.rate_references(spark, d))

@@ -9,7 +9,7 @@ from tillwork.plans import sample_tables as given
 from tillwork.plans import views
 from tillwork.plans.oracle_parts import with_parts
 from tillwork.plans.registry import query
-from tillwork.session import cut_lineage
+from tillwork.session import stage
 
 _RAW = ("INVOICE", "STOCKCODE", "DESCRIPTION", "QUANTITY", "PRICE", "CUSTOMER_ID", "COUNTRY")
 _ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
@@ -288,7 +288,7 @@ FROM silver s LEFT JOIN pc ON pc.STOCKCODE = s.STOCKCODE LEFT JOIN pd ON pd.DESC
     ),
 )
 def faulty_descriptions(spark, d):
-    sales = cut_lineage(views.silver(spark, d))
+    sales = stage(views.silver(spark, d))
     return explore.faulty_descriptions(
         sales, explore.description_count_per_code(sales), explore.code_count_per_description(sales)
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwork.operators import cleaning, country, cltv_features, rfm, star
 from tillwork.plans import sample_tables as given
-from tillwork.session import cut_lineage
+from tillwork.session import cut_lineage, stage
 
 AT = datetime(2024, 7, 1, tzinfo=timezone.utc)
 
@@ -29,8 +29,8 @@ def valid(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stored_valid(spark: SparkSession, d: str) -> DataFrame:
-    """The valid lines behind a checkpoint, for operators that read them more than once."""
-    return cut_lineage(valid(spark, d))
+    """The valid lines as a written table, for operators that read them more than once."""
+    return stage(valid(spark, d))
 
 
 def countries_of(spark: SparkSession, d: str, sales: DataFrame) -> DataFrame:
@@ -48,7 +48,7 @@ def catalogue(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, d: str) -> DataFrame:
-    return fact_of(spark, d, cut_lineage(silver(spark, d)))
+    return fact_of(spark, d, stage(silver(spark, d)))
 
 
 def fact_of(spark: SparkSession, d: str, sales: DataFrame) -> DataFrame:

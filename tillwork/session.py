@@ -56,8 +56,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write a large frame as a parquet table in the shared folder and read it back.
+
+    For frames that several passes read: later scans are column-pruned and split by file.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows and their partitions no longer depend on recomputation."""
+    """Reliable checkpoint: the rows and their partitions no longer depend on recomputation.
+
+    For frames of keys rather than lines, and where row order and partitions must stay fixed.
+    """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_base(spark))
