@@ -256,7 +256,7 @@ def country_metadata(spark, d):
     from tillwork.plans import steps
 
     wh = Warehouse(spark, scratch_path(spark, "wh"))
-    sales = stage(views.silver(spark, d))
+    sales = stage(views.silver(spark, d).select("COUNTRY"))
     reference = given.country_reference(spark, d)
     wh.overwrite("SILVER", "SALES", sales.filter("COUNTRY < 'NATION_2'"))
     steps.load_country(wh, reference, views.AT)
@@ -270,14 +270,14 @@ def country_metadata(spark, d):
     with_parts("pairs", "SELECT INVOICE_DATE, CURRENCY FROM pairs WHERE NOT (INVOICE_DATE < '1997-01-01' AND CURRENCY IS NULL)"),
 )
 def currency_date_pairs(spark, d):
-    sales = stage(views.silver(spark, d))
+    sales = stage(views.silver(spark, d).select("COUNTRY", "INVOICE_DATE"))
     countries = views.countries_of(spark, d, sales)
     known = sales.filter("INVOICE_DATE < '1997-01-01'").select("INVOICE_DATE", F.lit(None).cast("string").alias("CURRENCY"))
     return fxrates.currency_date_pairs(sales, countries, known)
 
 
 def _rates(spark, d):
-    sales = stage(views.silver(spark, d))
+    sales = stage(views.silver(spark, d).select("COUNTRY", "INVOICE_DATE"))
     pairs = fxrates.currency_date_pairs(sales, views.countries_of(spark, d, sales))
     return fxrates.fx_rate_lookup(pairs, *given.rate_references(spark, d))
 
@@ -304,7 +304,7 @@ def exchange_rate(spark, d):
     from tillwork.plans import steps
 
     wh = Warehouse(spark, scratch_path(spark, "wh"))
-    sales = stage(views.silver(spark, d))
+    sales = stage(views.silver(spark, d).select("COUNTRY", "INVOICE_DATE"))
     first, second = given.rate_references(spark, d)
     wh.write_batch("SILVER", "COUNTRY_METADATA", views.countries_of(spark, d, sales), "1")
     wh.overwrite("SILVER", "SALES", sales.filter("INVOICE_DATE < '1998-01-01'"))
