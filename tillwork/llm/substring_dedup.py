@@ -107,8 +107,10 @@ def _array(value) -> np.ndarray:
     return np.empty(0, dtype=np.int64) if value is None else np.asarray(value, dtype=np.int64)
 
 
-def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20) -> DataFrame:
-    """(key, n_words, n_removed, kept): every row without the words of windows that also start earlier.
+def remove_repeats(
+    df: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """(key, carry, n_words, n_removed, kept): every row without the words of windows that also start earlier.
 
     Earlier is a smaller key, or an earlier start in the same document; windows are judged on the input. Words are
     runs of characters other than ASCII white space; kept words are joined by one space. Null and empty texts
@@ -167,12 +169,22 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
                 rows.append((k, len(words), len(words) - len(left), b" ".join(left).decode()))
             out = pd.DataFrame(rows, columns=[key, "n_words", "n_removed", "kept"])
             out[key] = batch["_key"].to_numpy()
-            yield out
+            for c in carry:
+                out[c] = batch[f"_with_{c}"].to_numpy()
+            yield out[[key, *carry, "n_words", "n_removed", "kept"]]
 
     judged = notes.join(kept, "_doc", "left")
-    rows = docs.select(F.col(key).alias("_key"), "_doc", "_text").join(judged, "_doc", "left")
-    rows = rows.select("_key", "_text", F.coalesce("_copy", F.lit(False)).alias("_copy"), "shared", "kept")
-    return rows.mapInPandas(remove, f"`{key}` {kind}, n_words long, n_removed long, kept string")
+    beside = [f"_with_{c}" for c in carry]
+    rows = df.select(
+        F.col(key).alias("_key"),
+        F.coalesce(key, F.lit(-(2**63))).alias("_doc"),
+        F.coalesce(text, F.lit("")).alias("_text"),
+        *(F.col(c).alias(f"_with_{c}") for c in carry),
+    )
+    rows = rows.join(judged, "_doc", "left")
+    rows = rows.select("_key", "_text", F.coalesce("_copy", F.lit(False)).alias("_copy"), "shared", "kept", *beside)
+    extra = "".join(f"`{c}` {dict(df.dtypes)[c]}, " for c in carry)
+    return rows.mapInPandas(remove, f"`{key}` {kind}, {extra}n_words long, n_removed long, kept string")
 
 
 @query("op10_substring_dedup")
