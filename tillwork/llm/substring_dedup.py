@@ -132,7 +132,8 @@ def remove_repeats(
     copies = stage(copies.select("_doc", (F.col("_doc") > F.col("_first")).alias("_copy")).distinct(), "copies")
     own = filed.select("_doc", "grams").join(copies.filter("NOT _copy"), "_doc", "left_semi")
     suffixes = own.select("_doc", F.explode("grams").alias("gram"))
-    several = suffixes.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # a table of its own, so that adaptive execution can split the join at a hot gram
+    several = stage(suffixes.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "shared")
     shared = suffixes.join(several, "gram", "left_semi").groupBy("_doc").agg(F.collect_set("gram").alias("shared"))
     notes = copies.join(shared, "_doc", "left").filter("_copy OR shared IS NOT NULL")
     notes = stage(notes, "shared-grams")
