@@ -68,16 +68,20 @@ def likeness(a: Column, b: Column, places: int = 64) -> Column:
     return F.when(filled == 0, F.lit(1.0)).otherwise(same / filled)
 
 
-def with_next(df: DataFrame, key: str, carried: list[str], rows_per_part: int = 2000, most_parts: int = 1024) -> DataFrame:
+def with_next(
+    df: DataFrame, key: str, carried: list[str], rows_per_part: int = 2000, most_parts: int = 1024, prepare=None
+) -> DataFrame:
     """Adds `next`, a struct of `carried` of the following row by descending key; after the last comes the first.
 
     Rows are cut at quantiles of the key into parts that are ordered apart. The first row of each part is also put
     at the end of the part before it, so no part depends on another: one shuffle, and at most `most_parts` rows twice.
-    Ties on the key follow the carried columns. A null key comes last. A single row is followed by itself.
+    Ties on the key follow the carried columns. `prepare` may add columns to all rows just before they are dealt;
+    `next` holds them too. A null key comes last. A single row is followed by itself.
     """
     count = df.count()
     if count == 0:
-        return df.withColumn("next", F.struct(*carried))
+        df = prepare(df) if prepare is not None else df
+        return df.withColumn("next", F.struct(*df.columns))
     parts = max(1, min(most_parts, -(-count // rows_per_part)))
     cuts = df.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.5], 100 * parts)).first()[0] or []
     cuts = sorted(set(cuts))  # at most most_parts numbers
@@ -97,22 +101,24 @@ def with_next(df: DataFrame, key: str, carried: list[str], rows_per_part: int =
     first = first.select(*(dealt[c] for c in df.columns), F.col("_to").alias("_part"))
     first = first.withColumn("_i", F.row_number().over(ties)).filter("_i = 1").drop("_i")
     both = dealt.withColumn("_copy", F.lit(0)).unionByName(first.withColumn("_copy", F.lit(1)))
-    ordered = W.partitionBy("_part").orderBy("_copy", *order)
-    return both.withColumn("next", F.lead(F.struct(*carried)).over(ordered)).filter("_copy = 0").drop("_copy", "_part")
+    ordered, told = W.partitionBy("_part").orderBy("_copy", *order), list(carried)
+    if prepare is not None:
+        ready = prepare(both)
+        told += [c for c in ready.columns if c not in both.columns]
+        both = ready
+    return both.withColumn("next", F.lead(F.struct(*told)).over(ordered)).filter("_copy = 0").drop("_copy", "_part")
 
 
 @query("op2_order_minhash")
 def op2_order_minhash(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    chained = with_next(docs, "doc_id", ["text"])
+    chained = with_next(docs, "doc_id", ["text"], prepare=lambda rows: with_fingerprint(rows, F.col("text"), "fingerprint"))
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), F.char_length("text") - half), F.substring(F.col("next.text"), F.lit(1), half)
     )
     rows = chained.withColumn("edited", edited)
-    rows = with_fingerprint(rows, F.col("text"), "fingerprint")
     rows = with_fingerprint(rows, F.col("edited"), "edited_fingerprint")
-    rows = with_fingerprint(rows, F.col("next.text"), "next_fingerprint")
     return rows.select(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
@@ -120,5 +126,5 @@ def op2_order_minhash(spark, sf_dir: str) -> DataFrame:
         "fingerprint",
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        likeness(F.col("fingerprint"), F.col("next.fingerprint")).alias("near_next"),
     )

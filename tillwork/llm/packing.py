@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import heapq
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -19,11 +18,10 @@ CELL_BYTES = 4_000_000
 CELL_ROOM = 1 << 24
 #: Words kept per Python worker.
 CACHE_SIZE = 500_000
-SPACES = re.compile("[\t-\r ]+")
 
 
 class WordIds(dict):
-    """Ids of a run of non-space characters as little-endian unsigned 32-bit integers, remembered.
+    """Ids of a run of non-space bytes in little-endian integers of the vocabulary's width, remembered.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its runs.
     """
@@ -32,16 +30,17 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        self.width = "<u2" if self.model.get_vocab_size() <= 65536 else "<u4"
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) > CACHE_SIZE:
             self.clear()
-        ids = np.asarray(self.model.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = np.asarray(self.model.encode(word.decode(), add_special_tokens=False).ids, dtype=self.width).tobytes()
         self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        return b"".join([self[w] for w in SPACES.split(text) if w])
+        return b"".join(map(self.__getitem__, text.encode().split()))  # bytes: ASCII white space only
 
 
 @lru_cache(maxsize=2)
@@ -116,13 +115,13 @@ def pack_documents(
 
     def tokenise(batches):
         words = word_ids(path)
-        end = np.uint32(end_id).astype("<u4").tobytes()
+        end = np.array([end_id], dtype=words.width).tobytes()
         for batch in batches:
-            ids = [np.frombuffer(words.encode(t) + end, "<u4").astype("<u2" if words.model.get_vocab_size() <= 65536 else "<u4").tobytes() for t in batch["_text"]]
+            ids = [words.encode(t) + end for t in batch["_text"]]
             yield batch.drop(columns=["_text"]).assign(ids=ids)
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
-        width = "<u2" if word_ids(path).model.get_vocab_size() <= 65536 else "<u4"
+        width = word_ids(path).width
         group = group.sort_values("_row", kind="stable").reset_index(drop=True)
         ids = [np.frombuffer(b, width).astype("<u4") for b in group["ids"]]
         base, rows, filled = int(group["_cell"].iloc[0]) * CELL_ROOM, [], {}
