@@ -45,7 +45,7 @@ def _read(d: Direction, x: np.ndarray, mask: np.ndarray | None, order, keep: lis
     h = np.zeros((x.shape[1], hidden), dtype=np.float32)
     out = np.empty((x.shape[0], x.shape[1], hidden), dtype=np.float32)
     for t in order:
-        inputs = d.table[x[t]]
+        inputs = np.take(d.table, x[t], axis=0)
         zr = _sigmoid(inputs[:, : 2 * hidden] + h @ d.gates)
         z, r = zr[:, :hidden], zr[:, hidden:]
         rh = r * h
@@ -86,7 +86,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 class ByteGru:
     """Labels every byte position with a language; parameters are float32 arrays."""
 
-    def __init__(self, languages: list[str], hidden: int = 12, seed: int = 3):
+    def __init__(self, languages: list[str], hidden: int = 8, seed: int = 3):
         rng = np.random.default_rng(seed)
         self.languages = languages
 
@@ -150,11 +150,13 @@ class ByteGru:
         for at in range(0, len(spans), BLOCK):
             x, mask = pad(spans[at : at + BLOCK])
             padded = None if mask.all() else mask
-            states = np.concatenate(
-                [_read(self.forth, x, padded, range(len(x))), _read(self.back, x, padded, range(len(x) - 1, -1, -1))], axis=2
-            )
-            p = _softmax(states @ self.out + self.bias)
-            out[at : at + BLOCK] = (p * mask[:, :, None]).sum(axis=0)
+            hidden = self.forth.state.shape[0]
+            forth = _read(self.forth, x, padded, range(len(x))).reshape(-1, hidden)
+            back = _read(self.back, x, padded, range(len(x) - 1, -1, -1)).reshape(-1, hidden)
+            p = self.out[:hidden].T @ forth.T + self.out[hidden:].T @ back.T + self.bias[:, None]  # languages first
+            np.exp(p - p.max(axis=0), out=p)
+            p *= mask.reshape(-1) / p.sum(axis=0)
+            out[at : at + BLOCK] = p.reshape(len(p), *mask.shape).sum(axis=1).T
         return out
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
