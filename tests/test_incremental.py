@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tillwork.operators import fxrates, incremental, star
@@ -55,7 +56,7 @@ def test_watermarks(spark):
 def test_names(spark):
     assert names.clean_name(" Customer ID ") == "CUSTOMER_ID"
     assert names.table_name(" gold", "dim-country ") == "GOLD_DIM_COUNTRY"
-    assert names.report_name("Desc count per code country and more") == "DESC_COUNT_PER_CODE_COUNTRY_AND"
+    assert names.report_name("Desc count per code country and more") == "DESC_COUNT_PER_CODE_COUNTRY_AND_MORE"
 
 
 def test_write_batch_replaces_only_its_batch(spark):
@@ -99,9 +100,11 @@ def test_fact_keeps_every_line_when_a_product_has_two_names(spark):
 
 def test_reports(spark):
     df = spark.range(10).select(F.col("id").alias("v"))
-    paths = export_reports(spark, {"All rows!": df.orderBy("v"), "List": ["a", "b"]}, scratch_path(spark, "r"), "My report", max_rows=7)
+    paths = export_reports(spark, {"All rows!": df.orderBy("v"), "List": ["a", "b"]}, scratch_path(spark, "r"), "My report")
     assert all("/my_report/" in p for p in paths.values())
-    assert rows_of(report_index(spark, paths)) == [("ALL_ROWS_", 7), ("LIST", 2)]
+    assert rows_of(report_index(spark, paths)) == [("ALL_ROWS_", 10), ("LIST", 2)]
+    with pytest.raises(ValueError):
+        export_reports(spark, {"a b": df, "A  B": df}, scratch_path(spark, "r"), "r")
 
 
 def test_stream_reads_new_files_once(spark):

@@ -21,4 +21,4 @@ def table_name(layer: str, table: str) -> str:
 
 
 def report_name(name: str) -> str:
-    return clean_name(name)[:31]
+    return clean_name(name)
