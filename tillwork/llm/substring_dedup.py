@@ -27,14 +27,13 @@ _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 class WordHashes(dict):
-    """Two 64-bit hashes of a word, remembered."""
+    """The 16 bytes of two 64-bit hashes of a word, remembered."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) > CACHE_SIZE:
             self.clear()
-        both = xxhash.xxh3_128_intdigest(word)
-        self[word] = pair = (both >> 64, both & 0xFFFFFFFFFFFFFFFF)
-        return pair
+        self[word] = both = xxhash.xxh3_128_digest(word)
+        return both
 
 
 @lru_cache(maxsize=1)
@@ -74,31 +73,43 @@ def split_words(text: str) -> list[bytes]:
     return text.encode().split()  # bytes: ASCII white space only
 
 
+def _extremes(x: np.ndarray, width: int, pick) -> np.ndarray:
+    """Minimum or maximum (`pick`) of every run of `width` values, by doubling."""
+    size = 1
+    while size < width:
+        step = min(size, width - size)
+        x, size = pick(x[: len(x) - step], x[step:]), size + step
+    return x
+
+
 def anchors(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place of the filed gram for every window, hash of every gram, word hashes); empty without a window."""
+    """(smallest gram of every window, all grams, word hashes); empty without a window."""
     if len(words) < window:
         empty = np.empty(0, dtype=np.uint64)
-        return np.empty(0, dtype=np.int64), empty, empty.reshape(0, 2)
-    known = word_hashes()
-    hashes = np.array([known[w] for w in words], dtype=np.uint64)
+        return empty, empty, empty.reshape(0, 2)
+    hashes = np.frombuffer(b"".join(map(word_hashes().__getitem__, words)), dtype="<u8").reshape(-1, 2)
     gram = min(GRAM, window)
     grams = _mix(_grams(hashes[:, 0], _BASES[0], gram))
-    span = window - gram + 1
-    views = np.lib.stride_tricks.sliding_window_view(grams, span)
-    return views.argmin(axis=1) + np.arange(len(views)), grams, hashes
+    return _extremes(grams, window - gram + 1, np.minimum), grams, hashes
 
 
 def filed_grams(words: list[bytes], window: int) -> np.ndarray:
-    places, grams, _ = anchors(words, window)
-    return grams[np.unique(places)].view(np.int64)
+    """Every gram that is the smallest of a window, once for each place it stands at."""
+    lows, grams, _ = anchors(words, window)
+    if not len(lows):
+        return lows.view(np.int64)
+    span = len(grams) - len(lows)
+    edge = np.zeros(span, dtype=np.uint64)
+    highest = _extremes(np.concatenate([edge, lows, edge]), span + 1, np.maximum)  # over the windows that hold a gram
+    return grams[highest == grams].view(np.int64)
 
 
 def shared_windows(words: list[bytes], window: int, shared) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the windows whose filed gram is in `shared`, and their 128-bit hashes."""
-    places, grams, hashes = anchors(words, window)
-    if not len(places):
-        return places, np.empty((0, 2), dtype=np.int64)
-    starts = np.flatnonzero(np.isin(grams[places].view(np.int64), shared))
+    lows, _, hashes = anchors(words, window)
+    starts = np.flatnonzero(np.isin(lows.view(np.int64), shared))
+    if not len(starts):
+        return starts, np.empty((0, 2), dtype=np.int64)
     both = [_mix(_grams(hashes[:, k], _BASES[k], window))[starts].view(np.int64) for k in (0, 1)]
     return starts, np.stack(both, axis=1)
 
