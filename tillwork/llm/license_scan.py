@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.llm.common import lower_ascii, query, table
+from tillwork.session import stage
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN_WORDS = WORD.replace("^", "", 1)
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 TEMPLATES = {
     "apache": "licensed under the apache license version 2 0",
@@ -20,8 +22,9 @@ TEMPLATES = {
 }
 
 
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+def words_of(lowered: Column) -> Column:
+    """Words of a lower-cased text; splitting costs a small part of what extracting every match does."""
+    return F.array_remove(F.split(lowered, BETWEEN_WORDS), "")
 
 
 def _starts(words: Column, phrase: str) -> Column:
@@ -51,6 +54,17 @@ def phrase_places(words: Column, phrases: dict[str, str] = PHRASES) -> Column:
     return F.concat(*(labelled(p, label) for p, label in phrases.items()))
 
 
+def _token_sets(templates: dict[str, str]) -> tuple[dict[str, set[str]], list[str]]:
+    """Distinct words of each template that has any, and the words of all of them."""
+    sets = {label: set(t.split()) for label, t in templates.items() if t.split()}
+    return sets, sorted(set().union(*sets.values()))
+
+
+def _shortest(sets: dict[str, set[str]], threshold: float) -> int:
+    """Template words that a block must hold at least to reach the threshold of any template."""
+    return min((max(1, int(threshold * len(s))) for s in sets.values()), default=1)
+
+
 def containment_join(
     blocks: DataFrame, templates: dict[str, str], threshold: float = 0.8, keys: tuple[str, ...] = ("_row", "_block")
 ) -> DataFrame:
@@ -63,10 +77,9 @@ def containment_join(
     has one row per template and prefix word, so it is broadcast, and hot words are not shuffled.
     """
     spark = blocks.sparkSession
-    sets = {label: sorted(set(t.split())) for label, t in templates.items() if t.split()}
+    sets, vocabulary = _token_sets(templates)
     if not sets:
         return blocks.select(*keys, F.lit("").alias("label"), F.lit(0.0).alias("score")).limit(0)
-    vocabulary = sorted({w for s in sets.values() for w in s})
     inside = blocks.withColumn("_set", F.array_intersect("words", F.array(*map(F.lit, vocabulary))))
     held = inside.select(F.explode("_set").alias("_token")).groupBy("_token").count()
     counts = {r["_token"]: r["count"] for r in held.collect()}  # at most one row per template word
@@ -81,7 +94,7 @@ def containment_join(
     index = spark.createDataFrame(
         index, "_token string, label string, _at int, _size int, _need int, _template array<string>"
     )
-    shortest = min(r for r in (max(1, int(threshold * len(s))) for s in sets.values()))
+    shortest = _shortest(sets, threshold)
     pairs = (
         inside.withColumn("_set", F.array_intersect(F.array(*map(F.lit, order)), "words"))
         .filter(F.size("_set") >= shortest)
@@ -100,26 +113,35 @@ def containment_join(
 
 def scan_licenses(
     df: DataFrame, text: str = "text", phrases: dict[str, str] = PHRASES, templates: dict[str, str] = TEMPLATES,
-    threshold: float = 0.8,
+    threshold: float = 0.8, keep: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """Adds n_words, places, template_labels and score to every row; other columns stay.
+    """Adds n_words, places, template_labels and score to every row; the columns `keep` stay (all, if not given).
 
     A block is a line. Null and empty texts have no words, no places and score 0. Rows are told apart by a row
     number, so repeated rows and repeated ids stay apart. Score is 1 where a phrase stands, else the best template
-    containment at or above the threshold, else 0.
+    containment at or above the threshold, else 0. Words are cut once: that pass writes a table of word counts, places
+    and, for the lines with enough template words for any template, those words; all else reads that table. The global
+    word order counts these lines.
     """
     df = df.drop("n_words", "places", "template_labels", "score")
-    columns = df.columns
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    lines = numbered.select("_row", F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("_block", "_line"))
-    blocks = lines.select("_row", "_block", F.array_distinct(words_of(F.col("_line"))).alias("words"))
-    found = containment_join(blocks, templates, threshold)
-    found = found.groupBy("_row").agg(F.collect_set("label").alias("_labels"), F.max("score").alias("_score"))
-    scanned = numbered.withColumn("_words", words_of(F.col(text))).select(
-        *columns, "_row", F.size("_words").cast("long").alias("n_words"), phrase_places(F.col("_words"), phrases).alias("places")
+    columns = list(df.columns if keep is None else keep)
+    sets, vocabulary = _token_sets(templates)
+    held = F.array(*map(F.lit, vocabulary)).cast("array<string>")
+    lines = F.transform(F.split(lower_ascii(F.coalesce(text, F.lit(""))), "\n"), words_of)
+    candidates = F.filter(
+        F.transform("_lines", lambda words, i: F.struct(i.alias("_block"), F.array_intersect(words, held).alias("words"))),
+        lambda b: F.size(b["words"]) >= _shortest(sets, threshold),
+    )
+    cut = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_lines", lines)
+    cut = cut.withColumn("_words", F.flatten("_lines")).select(
+        *columns, "_row", F.size("_words").cast("long").alias("n_words"),
+        phrase_places(F.col("_words"), phrases).alias("places"), candidates.alias("_blocks"),
     )
+    cut = stage(cut, "licenses")
+    found = containment_join(cut.select("_row", F.inline("_blocks")), templates, threshold)
+    found = found.groupBy("_row").agg(F.collect_set("label").alias("_labels"), F.max("score").alias("_score"))
     score = F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce("_score", F.lit(0.0)))
-    return scanned.join(found, "_row", "left").select(
+    return cut.drop("_blocks").join(found, "_row", "left").select(
         *columns, "n_words", "places",
         F.array_sort(F.coalesce("_labels", F.array().cast("array<string>"))).alias("template_labels"),
         score.alias("score"),
@@ -128,7 +150,7 @@ def scan_licenses(
 
 @query("op3_license_scan")
 def op3_license_scan(spark, sf_dir: str) -> DataFrame:
-    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=("doc_id",))
     base = F.array_distinct(F.col("places.label"))
     return found.select(
         "doc_id",
