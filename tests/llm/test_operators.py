@@ -376,3 +376,23 @@ def test_pipeline(spark, docs_dir, empty_dir, rows):
     packed = corpus_pipeline.run(spark, docs_dir).collect()
     assert {r.doc_id for r in packed} == ids
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
+
+
+def test_plain_words_get_the_tokenizers_ids():
+    """The rank encoder against the tokenizer: vocabulary words, random and joined words, case, marks, other scripts."""
+    import random
+
+    import public_tokenizers
+
+    from tillwork.llm.packing import WordIds
+
+    known = WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    assert known.letters is not None
+    rng = random.Random(1)
+    bare = sorted({k.removesuffix("</w>") for k in known.model.get_vocab()})
+    words = rng.sample([k for k in bare if k.isascii() and k.isalpha()], 3000)
+    words += ["".join(rng.choices(words, k=3)) for _ in range(2000)]
+    words += ["".join(rng.choices("abcdeAB", k=rng.randint(1, 30))) + rng.choice(["", ".", ",", "?"]) for _ in range(2000)]
+    words += ["<|endoftext|>", "<|ENDOFTEXT|>", "don't", "I'll.", "a.b.", "...", "É!", "x1,", "日本", "ſK", "ΣΑΣ", "."]
+    known.learn({w.encode() for w in words})
+    assert all(known[w.encode()] == known._encode(w.encode()) for w in words)
