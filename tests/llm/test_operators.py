@@ -202,6 +202,26 @@ def test_pack_cuts_what_does_not_fit():
     assert len({p[3] for p in pieces}) == 3 and sum(p[2] for p in pieces) == 300
 
 
+def test_pack_finds_the_cheapest_sequence_with_room():
+    """Every whole piece against a search of all sequences; only what fits nowhere is cut."""
+    rng = random.Random(6)
+    lengths = [rng.randint(1400, 2000) for _ in range(250)] + [rng.randint(1, 120) for _ in range(9000)]
+    room, quadratic = 2048, 1 / 2048
+    bins = -(-sum(lengths) // room)
+    assert bins > 250
+    free, cost, expect, cut = [room] * bins, [0.0] * bins, {}, set()
+    for size, i in sorted((-x, i) for i, x in enumerate(lengths)):
+        fits = [(cost[b], b) for b in range(bins) if free[b] >= -size]
+        if not fits:
+            cut.add(i)
+            continue
+        c, b = min(fits)
+        free[b], cost[b], expect[i] = free[b] + size, c - size + quadratic * size * size, b
+    pieces = packing.pack(lengths, room, quadratic)
+    whole = {i: b for i, _, size, b in pieces if size == lengths[i] and i not in cut}
+    assert whole == expect and sum(p[2] for p in pieces) == sum(lengths)
+
+
 def vectors():
     rng = np.random.default_rng(4)
     x = rng.standard_normal((150, 16))

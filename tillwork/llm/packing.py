@@ -112,6 +112,46 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+class Cheapest:
+    """Sequences by remaining room: a heap of (cost, sequence) for every room, under a tree of the heaps' smallest entries."""
+
+    def __init__(self, bins: int, room: int):
+        self.leaves = 1 << room.bit_length()
+        self.heaps = [[] for _ in range(room + 1)]
+        self.least: list[tuple[float, int] | None] = [None] * (2 * self.leaves)
+        self.heaps[room] = [(0.0, b) for b in range(bins)]  # in order, so a heap
+        self._mend(room)
+
+    def _mend(self, space: int) -> None:
+        least, at = self.least, self.leaves + space
+        least[at] = self.heaps[space][0] if self.heaps[space] else None
+        while at > 1:
+            at >>= 1
+            a, b = least[2 * at], least[2 * at + 1]
+            least[at] = b if a is None or b is not None and b < a else a
+
+    def push(self, space: int, entry: tuple[float, int]) -> None:
+        if space:  # a full sequence takes nothing more
+            heapq.heappush(self.heaps[space], entry)
+            self._mend(space)
+
+    def pop(self, size: int) -> tuple[float, int] | None:
+        """Takes out the sequence of the lowest cost among all with room for `size`; None if there is none."""
+        least, at = self.least, self.leaves + size
+        best, node = least[at], at
+        while at > 1:
+            if at % 2 == 0 and least[at + 1] is not None and (best is None or least[at + 1] < best):
+                best, node = least[at + 1], at + 1
+            at >>= 1
+        if best is None:
+            return None
+        while node < self.leaves:
+            node = 2 * node if least[2 * node] == best else 2 * node + 1
+        heapq.heappop(self.heaps[node - self.leaves])
+        self._mend(node - self.leaves)
+        return best
+
+
 def pack(lengths: list[int], room: int, quadratic: float) -> list[tuple[int, int, int, int]]:
     """Pieces (document, start, length, sequence) in sequences of at most `room`.
 
@@ -128,25 +168,16 @@ def pack(lengths: list[int], room: int, quadratic: float) -> list[tuple[int, int
             left.append((-(length % room), i, full * room))
     bins = -(-sum(-x[0] for x in left) // room)
     free = [room] * bins
-    costs = [(0.0, b) for b in range(bins)]
+    cheapest = Cheapest(bins, room)
     uncut = []
     for size, i, start in sorted(left):
-        size, aside, chosen = -size, [], None
-        while costs:
-            cost, b = heapq.heappop(costs)
-            if free[b] >= size:
-                chosen = b
-                break
-            aside.append((cost, b))
-            if len(aside) >= 64:  # the remaining ones cost more; the cut below places the piece whole or in parts
-                break
-        for entry in aside:
-            heapq.heappush(costs, entry)
-        if chosen is None:
+        size, found = -size, cheapest.pop(-size)
+        if found is None:  # room only shrinks from here on, so it will not fit later either
             uncut.append((size, i, start))
             continue
+        cost, chosen = found
         free[chosen] -= size
-        heapq.heappush(costs, (cost + size + quadratic * size * size, chosen))
+        cheapest.push(free[chosen], (cost + size + quadratic * size * size, chosen))
         pieces.append((i, start, size, n + chosen))
     open_bins = [(-f, b) for b, f in enumerate(free) if f]
     heapq.heapify(open_bins)
