@@ -272,6 +272,11 @@ def test_language_gradients():
         assert abs((up - down) / (2 * step) - g[at]) < 2e-3 + 0.02 * abs(g[at])
 
 
+def test_language_network_has_its_full_size():
+    model = language_id.ByteGru(["a", "b", "c"])
+    assert model.forth.state.shape == model.back.state.shape == (12, 12) and model.out.shape == (24, 3)
+
+
 def test_language(spark, docs_dir, rows):
     got = QUERIES["op8_language_id"](spark, docs_dir).collect()
     assert as_bag((r.doc_id, r.held_out) for r in got) == as_bag(
