@@ -286,6 +286,19 @@ def test_language(spark, docs_dir, rows):
     assert all((r.lang_pred == "und") == (r.doc_id in none) and 0 <= r.score <= 1 for r in got)
 
 
+def test_language_sample_counts_a_text_once(spark):
+    """Copies neither crowd out the other texts of their language nor come to the driver."""
+    rows = [("hot", f"many copies {i % 3}") for i in range(6000)] + [("hot", f"other text {i}") for i in range(300)]
+    rows += [("few", f"rare {i}") for i in range(7)] + [("hot", None), (None, "no label"), ("few", "12")]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    drawn = [(r.l, r.parts[0]) for r in language_id.sample(df, rows=50, per_text=1).collect()]
+    assert Counter(lang for lang, _ in drawn) == {"hot": 50, "few": 7} and len(set(drawn)) == 57
+    assert sum(t.startswith("other") for _, t in drawn) >= 47
+    assert sorted(drawn) == sorted((r.l, r.parts[0]) for r in language_id.sample(df.repartition(2), rows=50, per_text=1).collect())
+    everything = language_id.sample(df, rows=1000, per_text=1).collect()
+    assert len(everything) == 303 + 7
+
+
 def test_language_learns(spark):
     rng = random.Random(2)
     sounds = {"aa": ["ka", "lo", "mi"], "bb": ["str", "önk", "eß"], "cc": ["ou", "eau", "ç"]}

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.llm.common import query, table
@@ -15,7 +15,7 @@ from tillwork.llm.common import query, table
 UNKNOWN = "und"
 #: Bytes that one run of the network reads; a text is cut into such spans and every span is read.
 SPAN = 64
-#: Labelled rows per language that training reads at most, and spans taken from each.
+#: Different labelled texts per language that training reads at most, and spans taken from each.
 SAMPLE_ROWS, SAMPLE_SPANS = 800, 6
 #: Spans of one step of prediction.
 BLOCK = 4096
@@ -185,21 +185,38 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 3 == 1, F.lit(False))
 
 
-def learn(df: DataFrame, label: str = "lang", text: str = "text", rows: int = SAMPLE_ROWS, per_text: int = SAMPLE_SPANS) -> ByteGru | None:
-    """Network trained on at most about `rows` rows of each label and `per_text` spans of each; None without labels.
+def sample(df: DataFrame, label: str = "lang", text: str = "text", rows: int = SAMPLE_ROWS, per_text: int = SAMPLE_SPANS) -> DataFrame | None:
+    """(l, parts): spans of at most `rows` different texts of each label, those with the smallest hashes; None without labels.
 
-    Rows are chosen by a hash of their text, so the same table gives the same model.
+    A text counts once for its label, however many copies it has. Texts are told apart by two 64-bit hashes, so only
+    hashes are counted and ranked. About twice the wanted number passes the draw, and the rank sees no others.
     """
-    usable = df.filter(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(label).alias("l"), F.col(text).alias("t"))
-    counts = {r["l"]: r["count"] for r in usable.groupBy("l").count().collect()}
+    usable = df.filter(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
+        F.col(label).alias("l"), F.col(text).alias("t"), F.xxhash64(F.lit(11), text).alias("h1"), F.xxhash64(F.lit(12), text).alias("h2")
+    )
+    counts = {r["l"]: r["count"] for r in usable.select("l", "h1", "h2").distinct().groupBy("l").count().collect()}
     if not counts:
         return None
-    share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, rows / n))))
-    draw = F.pmod(F.xxhash64(F.lit(11), "t"), F.lit(1_000_000)) / 1_000_000
+    share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, (2 * rows + 100) / n))))
+    draw = F.pmod("h1", F.lit(1_000_000_000)) / 1_000_000_000
     step = F.greatest(F.lit(1), F.floor(F.char_length("t") / per_text)).cast("int")
     parts = F.array(*(F.substring("t", F.lit(1) + step * i, F.lit(SPAN)) for i in range(per_text)))
-    chosen = usable.filter(draw < share[F.col("l")]).select("l", parts.alias("parts")).toPandas()
-    languages, pairs = sorted(counts), []
+    drawn = usable.filter(draw < share[F.col("l")]).select("l", "h1", "h2", draw.alias("draw"), parts.alias("parts"))
+    drawn = drawn.groupBy("l", "h1", "h2").agg(F.min("draw").alias("draw"), F.min("parts").alias("parts"))  # copies are alike
+    rank = F.row_number().over(Window.partitionBy("l").orderBy("draw", "h1", "h2"))
+    return drawn.withColumn("rank", rank).filter(F.col("rank") <= rows).select("l", "parts")
+
+
+def learn(df: DataFrame, label: str = "lang", text: str = "text", rows: int = SAMPLE_ROWS, per_text: int = SAMPLE_SPANS) -> ByteGru | None:
+    """Network trained on at most `rows` different texts of each label and `per_text` spans of each; None without labels.
+
+    Texts are chosen by a hash, so the same table gives the same model.
+    """
+    found = sample(df, label, text, rows, per_text)
+    if found is None:
+        return None
+    chosen, pairs = found.toPandas(), []
+    languages = sorted(set(chosen["l"]))
     for lang, texts in zip(chosen["l"], chosen["parts"]):
         pairs += [(t.encode()[:SPAN], lang) for t in texts if LETTER.search(t)]
     if not pairs:
