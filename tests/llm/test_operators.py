@@ -416,6 +416,35 @@ def test_pipeline(spark, docs_dir, empty_dir, rows):
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
 
 
+def test_pipeline_keeps_distinct_texts_of_one_id(spark):
+    """Rows without an id or of one id are documents of their own, in every stage."""
+    import corpus_pipeline
+
+    rng = random.Random(7)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(12)]
+    rows = [(None if i < 5 else 7 if i < 9 else i, t, None, "s", 1) for i, t in enumerate(texts)]
+    rows += [(3, texts[6], None, "s", 1), (None, texts[10], None, "s", 1), (8, "12 34", None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    for name, step in corpus_pipeline.STAGES[:3]:
+        docs = corpus_pipeline.stage(step(spark, docs, ""), name)
+        got = {r.text: r for r in docs.collect()}
+        assert docs.count() == len(texts) + 2 * (name == "language_id") and set(got) == set(texts)
+        assert all(r.lang == "und" for r in got.values())
+    assert got[texts[6]].doc_id == 3 and got[texts[10]].doc_id == 10 and got[texts[0]].doc_id is None
+
+
+def test_pipeline_passages_of_one_id(spark):
+    """Two texts under one id, one of them a copy of an earlier text: neither is lost or doubled."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    a, b = (" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(2))
+    rows = [(1, a, "en", "s", 1), (2, a + " tail", "en", "s", 1), (2, b, "en", "s", 1), (2, a, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.passage_stage(spark, docs, "").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == {(1, a): 1, (2, b): 1, (2, "tail"): 1}
+
+
 def test_plain_words_get_the_tokenizers_ids():
     """The rank encoder against the tokenizer: vocabulary words, random and joined words, case, marks, other scripts."""
     import random
