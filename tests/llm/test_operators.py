@@ -433,6 +433,46 @@ def test_pipeline_keeps_distinct_texts_of_one_id(spark):
     assert got[texts[6]].doc_id == 3 and got[texts[10]].doc_id == 10 and got[texts[0]].doc_id is None
 
 
+@pytest.mark.parametrize("counted", [20_000, 10])
+def test_pipeline_near_copies(spark, monkeypatch, counted):
+    """The stage against all pairs: copies with a few edited words, chains, a common passage, and short texts."""
+    import corpus_pipeline
+    from tillwork.llm import near_text
+
+    monkeypatch.setattr(near_text, "COUNTED_TEXTS", counted)
+    rng = random.Random(9)
+
+    def prose(n):
+        return [f"w{rng.randrange(3000)}" for _ in range(n)]
+
+    passage, texts = prose(60), []
+    for _ in range(12):
+        base = prose(rng.randint(60, 300))
+        texts.append(base)
+        for _ in range(6):
+            base = list(base)
+            for at in rng.sample(range(len(base)), rng.randint(1, 8)):
+                base[at] = "EDIT" + str(rng.randrange(1000))
+            texts.append(base)
+    texts += [prose(10) + passage + prose(10) for _ in range(8)] + [passage + prose(i) for i in (1, 3, 9)]
+    texts += [["a", "b"], ["A", "b"], ["a"], prose(5), prose(6)]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+    def sets(t):
+        w = [x.lower() for x in t]
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+    s = [sets(t) for t in texts]
+    near = {i: [j for j in range(len(s)) if 10 * len(s[i] & s[j]) >= 8 * len(s[i] | s[j])] for i in range(len(s))}
+    low = linked(list(near), near)
+    expect = {i for i in low if low[i] == i}
+    assert len(expect) < len(texts) - 25
+    got = [r.doc_id for r in corpus_pipeline.simhash_stage(spark, docs, "").collect()]
+    assert len(got) == len(set(got)) and set(got) == expect
+
+
 def test_pipeline_passages_of_one_id(spark):
     """Two texts under one id, one of them a copy of an earlier text: neither is lost or doubled."""
     import corpus_pipeline
