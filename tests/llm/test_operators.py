@@ -118,6 +118,44 @@ def test_license_scan(spark, docs_dir, rows):
     assert any("mit" in r.labels for r in got)
 
 
+def test_licenses_wrapped_and_in_long_lines(spark):
+    """Windows of twice a template's words, wherever lines break, against every window of every text."""
+    rng = random.Random(4)
+    bsd = "Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that"
+    gpl = "# you can redistribute it and/or modify\n# it under the terms of the GNU General Public\n# License as published"
+    spread = license_scan.TEMPLATES["public-domain"].split()[:8]
+    filler = [f"f{i}" for i in range(50)] + ["the", "of", "and", "in", "license", "public", "software", "under"]
+
+    def prose(n):
+        return [rng.choice(filler) for _ in range(n)]
+
+    long = prose(20000)
+    for i, w in enumerate(spread):
+        long[1000 + 2400 * i] = w
+    texts = [bsd, gpl, " ".join(long), "", None, "permission"]
+    for label, t in license_scan.TEMPLATES.items():
+        for extra in (0, 3, 9, 30):
+            words = t.split()
+            for _ in range(extra):
+                words.insert(rng.randint(1, len(words) - 1), "x")
+            if rng.random() < 0.5:
+                del words[rng.randrange(len(words))]
+            texts.append(rng.choice([" ", "\n"]).join(prose(rng.randint(0, 200)) + words + prose(rng.randint(0, 200))))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string").repartition(3)
+    got = {r.i: (set(r.template_labels), r.score if not r.places else None) for r in license_scan.scan_licenses(df).collect()}
+    for i, text in enumerate(texts):
+        words = re.findall(license_scan.WORD, (text or "").lower())
+        labels, score = set(), 0.0
+        for label, t in license_scan.TEMPLATES.items():
+            need, span = set(t.split()), 2 * len(t.split())
+            part = max(len(need & set(words[k : k + span])) for k in range(max(1, len(words) - span + 1))) / len(need)
+            if part >= 0.8:
+                labels.add(label)
+                score = max(score, part)
+        assert got[i][0] == labels and got[i][1] in (None, score)
+    assert got[0][0] == {"bsd"} and got[1][0] == {"gpl"} and got[2][0] == set()
+
+
 def test_containment_join_is_exact(spark):
     rng = random.Random(3)
     vocabulary = [f"v{i}" for i in range(30)]

@@ -1,4 +1,4 @@
-"""License phrases and license templates found in text blocks by an exact set-similarity join."""
+"""License phrases and license templates found in windows of words by an exact set-similarity join."""
 
 from __future__ import annotations
 
@@ -60,6 +60,28 @@ def _token_sets(templates: dict[str, str]) -> tuple[dict[str, set[str]], list[st
     return sets, sorted(set().union(*sets.values()))
 
 
+def _needed(words: set[str], threshold: float) -> int:
+    """Words of a template that must be there."""
+    return max(1, next(k for k in range(len(words) + 1) if k >= threshold * len(words) - 1e-9))
+
+
+def _telling(sets: dict[str, set[str]], threshold: float) -> list[str]:
+    """The longest words of each template, so many that whoever holds enough of the template holds one of them."""
+    return sorted({w for s in sets.values() for w in sorted(s, key=lambda w: (-len(w), w))[: len(s) - _needed(s, threshold) + 1]})
+
+
+def _spans(templates: dict[str, str]) -> dict[str, int]:
+    """Length in words of the window in which a template is looked for: twice its own."""
+    return {label: 2 * len(t.split()) for label, t in templates.items() if t.split()}
+
+
+def _best_window(words: Column, template: str, span: int) -> Column:
+    """The most distinct template words that any `span` words in a row hold."""
+    known = F.array(*map(F.lit, sorted(set(template.split()))))
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - F.lit(span - 1)))
+    return F.array_max(F.transform(starts, lambda i: F.size(F.array_intersect(F.slice(words, i, span), known))))
+
+
 def _shortest(sets: dict[str, set[str]], threshold: float) -> int:
     """Template words that a block must hold at least to reach the threshold of any template."""
     return min((max(1, int(threshold * len(s))) for s in sets.values()), default=1)
@@ -88,8 +110,7 @@ def containment_join(
     index = []
     for label, words in sets.items():
         ranked = sorted(words, key=place.__getitem__)
-        need = next(k for k in range(len(ranked) + 1) if k >= threshold * len(ranked) - 1e-9)
-        need = max(need, 1)
+        need = _needed(words, threshold)
         index += [(w, label, i, len(ranked), need, ranked) for i, w in enumerate(ranked[: len(ranked) - need + 1])]
     index = spark.createDataFrame(
         index, "_token string, label string, _at int, _size int, _need int, _template array<string>"
@@ -117,29 +138,48 @@ def scan_licenses(
 ) -> DataFrame:
     """Adds n_words, places, template_labels and score to every row; the columns `keep` stay (all, if not given).
 
-    A block is a line. Null and empty texts have no words, no places and score 0. Rows are told apart by a row
-    number, so repeated rows and repeated ids stay apart. Score is 1 where a phrase stands, else the best template
-    containment at or above the threshold, else 0. Words are cut once: that pass writes a table of word counts, places
-    and, for the lines with enough template words for any template, those words; all else reads that table. The global
-    word order counts these lines.
+    A template is looked for in every window of twice its number of words, wherever lines break. Blocks are twice the
+    longest window and start a window apart, so each window lies in one of them; blocks that hold enough of a template
+    are found by the join, and their windows are then counted exactly. Null and empty texts have no words, no places
+    and score 0. Rows are told apart by a row number, so repeated rows and repeated ids stay apart. Score is 1 where a
+    phrase stands, else the best template containment of a window at or above the threshold, else 0. Words are cut
+    once: that pass writes a table of word counts, places and the blocks that hold a long word of a template and enough
+    template words for any; all else reads that table. The global word order counts these blocks.
     """
     df = df.drop("n_words", "places", "template_labels", "score")
     columns = list(df.columns if keep is None else keep)
     sets, vocabulary = _token_sets(templates)
     held = F.array(*map(F.lit, vocabulary)).cast("array<string>")
-    lines = F.transform(F.split(lower_ascii(F.coalesce(text, F.lit(""))), "\n"), words_of)
+    telling = F.array(*map(F.lit, _telling(sets, threshold))).cast("array<string>")
+    spans = _spans(templates)
+    pace = max(spans.values(), default=1)
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("_words") - F.lit(pace + 1)), F.lit(pace)),
+        lambda i: F.struct(i.alias("_block"), F.slice("_words", i + 1, 2 * pace).alias("words")),
+    )
     candidates = F.filter(
-        F.transform("_lines", lambda words, i: F.struct(i.alias("_block"), F.array_intersect(words, held).alias("words"))),
-        lambda b: F.size(b["words"]) >= _shortest(sets, threshold),
+        blocks,
+        lambda b: F.arrays_overlap(b["words"], telling)
+        & (F.size(F.array_intersect(b["words"], held)) >= _shortest(sets, threshold)),
     )
-    cut = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_lines", lines)
-    cut = cut.withColumn("_words", F.flatten("_lines")).select(
+    none = F.array().cast("array<struct<_block:int,words:array<string>>>")
+    cut = df.withColumn("_row", F.monotonically_increasing_id())
+    cut = cut.withColumn("_words", words_of(lower_ascii(F.coalesce(text, F.lit("")))))
+    cut = cut.select(
         *columns, "_row", F.size("_words").cast("long").alias("n_words"),
-        phrase_places(F.col("_words"), phrases).alias("places"), candidates.alias("_blocks"),
+        phrase_places(F.col("_words"), phrases).alias("places"),
+        F.when(F.arrays_overlap("_words", telling), candidates).otherwise(none).alias("_blocks"),
     )
     cut = stage(cut, "licenses")
-    found = containment_join(cut.select("_row", F.inline("_blocks")), templates, threshold)
-    found = found.groupBy("_row").agg(F.collect_set("label").alias("_labels"), F.max("score").alias("_score"))
+    within = cut.select("_row", F.inline("_blocks"))
+    found = containment_join(within, templates, threshold).drop("score").join(within, ["_row", "_block"])
+    part, enough = F.lit(0.0), F.lit(False)
+    for label, words in sets.items():
+        best, here = _best_window(F.col("words"), templates[label], spans[label]), F.col("label") == label
+        part = F.when(here, best / len(words)).otherwise(part)
+        enough = F.when(here, best >= _needed(words, threshold)).otherwise(enough)
+    found = found.filter(enough).withColumn("_part", part)
+    found = found.groupBy("_row").agg(F.collect_set("label").alias("_labels"), F.max("_part").alias("_score"))
     score = F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce("_score", F.lit(0.0)))
     return cut.drop("_blocks").join(found, "_row", "left").select(
         *columns, "n_words", "places",
