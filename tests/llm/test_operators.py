@@ -471,7 +471,7 @@ def test_pipeline_keeps_distinct_texts_of_one_id(spark):
     assert got[texts[6]].doc_id == 3 and got[texts[10]].doc_id == 10 and got[texts[0]].doc_id is None
 
 
-@pytest.mark.parametrize("counted", [20_000, 10])
+@pytest.mark.parametrize("counted", [2_000, 10])
 def test_pipeline_near_copies(spark, monkeypatch, counted):
     """The stage against all pairs: copies with a few edited words, chains, a common passage, and short texts."""
     import corpus_pipeline
