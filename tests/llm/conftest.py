@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+ITEMS = "item_id long, text string, rank int, score long, query long"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, _row long, score string, words string, count int"
 
 
@@ -29,9 +30,18 @@ def rows():
 
 
 @pytest.fixture(scope="session")
-def docs_dir(spark, rows, tmp_path_factory):
+def items(rows):
+    """Parts of texts, repeated terms, a repeated row, texts without terms and a null id."""
+    texts = [rows[20][1][:200], rows[30][1], "the the ofwh THE", "nothing_of_this zzzzqqq", None, "", "!!", rows[8 + 40][1][:90]]
+    out = [(2**60 + 2 * i + 1, t, 1, 2, 3) for i, t in enumerate(texts)]
+    return out + [out[2], (None, "ab abng x9", None, None, None)]
+
+
+@pytest.fixture(scope="session")
+def docs_dir(spark, rows, items, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("docs"))
     spark.createDataFrame(rows, DOCS).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, ITEMS).write.parquet(f"{folder}/benchmark.parquet")
     return folder
 
 
@@ -39,6 +49,7 @@ def docs_dir(spark, rows, tmp_path_factory):
 def empty_dir(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("none"))
     spark.createDataFrame([], DOCS).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], ITEMS).write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame([], "page_id long, url string").write.parquet(f"{folder}/pages.parquet")
     spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
     return folder
