@@ -2,10 +2,13 @@
 
 from tillwork.llm import (  # noqa: F401
     byte_bpe,
+    collocations,
     language_id,
+    lexical_search,
     license_scan,
     order_minhash,
     packing,
+    personal_data,
     sharding,
     simhash,
     substring_dedup,
