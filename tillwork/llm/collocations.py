@@ -1,7 +1,7 @@
 """Phrase collocations by best-first growth: counted prefixes bound the scores of everything that extends them.
 
-Words come first, then pairs of frequent words, since a phrase is never more frequent than a part of it. From there on a
-prefix is grown only if its bound reaches the language's threshold, best bounds first: with `a` the prefix's count and
+Words come first, then pairs of frequent words, since a phrase is never more frequent than a part of it; both are
+counted by hash before the frequent ones are counted as texts. From there on a prefix is grown only if its bound reaches the language's threshold, best bounds first: with `a` the prefix's count and
 `l` that of its first word, the cut after that word gives every extension at most 2000000 * a / (l + a). The threshold
 starts at a generous score of each language and is lowered, round by round, in the languages where fewer than the
 wanted number of phrases survive at or above it; a round counts only what lies between its threshold and the last.
@@ -12,7 +12,9 @@ counts exactly and under the phrase itself, so a stranger let through costs time
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,37 +31,72 @@ from tillwork.session import stage
 BREAK = b"\xff"
 #: A-Z in lower case, marks and line ends as BREAK, tabs as blanks.
 PIECE_BYTES = bytes(255 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256)).lower()
-#: Text bytes that are cut into words together, and words that a worker numbers before it starts anew.
-BLOCK_BYTES = 6_000_000
-MOST_WORDS = 2_000_000
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
-class Numbers(dict):
-    """Words numbered as they come, with a hash each; number 0 is the break between pieces."""
-
-    def __init__(self):
-        super().__init__({BREAK: 0})
-        self.hashes = np.zeros(1, dtype=np.uint64)
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        known = len(self)
-        numbers = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
-        if len(self) > known:
-            new = list(self)[known:] if known * 2 < len(self) else [*_last(self, len(self) - known)]
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, new), dtype=np.uint64, count=len(new))
-            self.hashes = np.concatenate([self.hashes, hashes])
-        return numbers
-
+#: Text bytes that are cut into words together.
+BLOCK_BYTES = 4_000_000
+#: Rows of a batch that are turned into Python texts at a time.
+SLICE_ROWS = 500
+#: Bytes whose prefix sums are taken together, and the longest word that is hashed by them.
+CHUNK, LONG_WORD = 1 << 19, 512
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+@lru_cache(maxsize=1)
+def _powers() -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers of each base and of its inverse, modulo 2**64."""
+    out = []
+    for base in _BASES:
+        pair = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            steps = np.full(CHUNK + 1, b, dtype=np.uint64)
+            steps[0] = 1
+            pair.append(np.cumprod(steps))
+        out.append(tuple(pair))
+    return out
+
+
+class Words:
+    """Words of a block of bytes: where they start and end, their piece, and two 64-bit hashes each.
+
+    All words are hashed at once: a polynomial over the bytes between two prefix sums. Long words, where such
+    polynomials are weak, get a hash of their own.
+    """
 
-def _last(d: dict, n: int) -> list:
-    """The n keys put in last, oldest first."""
-    back = reversed(d)
-    return [next(back) for _ in range(n)][::-1]
+    def __init__(self, raw: bytes):
+        self.raw, data = raw, np.frombuffer(raw, dtype=np.uint8)
+        broken = data == BREAK[0]
+        inside = np.empty(len(data) + 2, dtype=np.int8)
+        inside[0] = inside[-1] = 0
+        inside[1:-1] = ~(broken | (data == 32))
+        steps = np.diff(inside)
+        self.starts, self.ends = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
+        self.pieces = np.cumsum(broken, dtype=np.int64)[self.starts]
+        self.hashes = self._hashed(data)
+
+    def _hashed(self, data: np.ndarray) -> list[np.ndarray]:
+        starts, ends, lengths = self.starts, self.ends, (self.ends - self.starts).astype(np.uint64)
+        out, at = [np.empty(len(starts), dtype=np.uint64) for _ in _BASES], 0
+        while at < len(starts):
+            stop = max(int(np.searchsorted(ends, starts[at] + CHUNK, side="right")), at + 1)
+            low = starts[at]
+            size = int(min(ends[stop - 1] - low, CHUNK))
+            x, s, e = data[low : low + size].astype(np.uint64) + np.uint64(1), starts[at:stop] - low, np.minimum(ends[at:stop] - low, size)
+            for hashes, (powers, inverse) in zip(out, _powers()):
+                sums = np.zeros(size + 1, dtype=np.uint64)
+                np.cumsum(x * powers[:size], out=sums[1:])
+                hashes[at:stop] = mix((sums[e] - sums[s]) * inverse[s] + lengths[at:stop])
+            at = stop
+        for i in np.flatnonzero(lengths > LONG_WORD).tolist():
+            both = xxhash.xxh3_128_intdigest(self.raw[starts[i] : ends[i]])
+            out[0][i], out[1][i] = both >> 64, both & (1 << 64) - 1
+        return out
+
+    def whole(self, n: int) -> np.ndarray:
+        """For every run of n words, whether it lies in one piece."""
+        return self.pieces[: max(0, len(self.pieces) - n + 1)] == self.pieces[n - 1 :]
+
+    def phrase(self, start: int, n: int) -> bytes:
+        whole = self.raw[self.starts[start] : self.ends[start + n - 1]]
+        return whole if n == 1 else b" ".join(whole.split())  # only blanks are left of all ASCII white space
 
 
 def gram_hashes(word_hashes: np.ndarray, n: int, lang: str) -> np.ndarray:
@@ -67,7 +104,7 @@ def gram_hashes(word_hashes: np.ndarray, n: int, lang: str) -> np.ndarray:
     size = max(0, len(word_hashes) - n + 1)
     out = np.full(size, xxhash.xxh3_64_intdigest(lang.encode(), n), dtype=np.uint64)
     for j in range(n):
-        out = out * _BASE + word_hashes[j : j + size]
+        out = out * np.uint64(_BASES[0]) + word_hashes[j : j + size]
     return mix(out)
 
 
@@ -80,74 +117,98 @@ class Rule:
     members: Bitmap
 
 
-def _selected(ids: np.ndarray, hashes: np.ndarray, n: int, lang: str, every: list[Rule], some: list[Rule]) -> np.ndarray:
+def _selected(words: Words, n: int, lang: str, every: Sequence[Rule], some: Sequence[Rule]) -> np.ndarray:
     """Starts of the runs of n words inside a piece that keep every rule of `every` and, if there are any, one of `some`."""
-    size = len(ids) - n + 1
-    if size <= 0:
-        return np.empty(0, dtype=np.int64)
-    fits = np.ones(size, dtype=bool)
-    for j in range(n):
-        fits &= ids[j : j + size] != 0
-    tested: dict = {}
+    fits = words.whole(n)
+    size, tested = len(fits), {}
 
     def holds(rule: Rule) -> np.ndarray:
         if (rule.width, id(rule.members)) not in tested:
-            tested[rule.width, id(rule.members)] = rule.members.holds(gram_hashes(hashes, rule.width, lang))
+            tested[rule.width, id(rule.members)] = rule.members.holds(gram_hashes(words.hashes[0], rule.width, lang))
         return tested[rule.width, id(rule.members)][rule.offset : rule.offset + size]
 
     for rule in every:
-        fits &= holds(rule)
+        fits = fits & holds(rule)
     if some:
-        fits &= np.logical_or.reduce([holds(rule) for rule in some])
+        fits = fits & np.logical_or.reduce([holds(rule) for rule in some])
     return np.flatnonzero(fits)
 
 
-def _tally(ids: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(a start of every distinct run of n words, its count); runs are told apart by their words' numbers."""
-    key = ids[starts]
-    if n > 1:
-        key = key << 32 | ids[starts + 1]
-    for j in range(2, n):
-        _, key = np.unique(key, return_inverse=True)
-        key = key << 32 | ids[starts + j]
-    _, first, counts = np.unique(key, return_index=True, return_counts=True)
-    return starts[first], counts
-
-
-def count_phrases(docs: DataFrame, n: int, every: list[Rule] = (), some: list[Rule] = (), least: int = 1) -> DataFrame:
-    """(lang, phrase, f) of all phrases of n words that keep the rules and stand at `least` times in their language."""
-
-    def blocks(batch):
-        """(lang, joined bytes) of at most about BLOCK_BYTES, texts of one language together."""
-        held: dict = {}
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+def _tally(words: Words, starts: np.ndarray, n: int, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a start of every distinct run of n words, its count, its hash); runs are told apart by 128 bits of hash."""
+    one, two = (gram_hashes(h, n, lang)[starts] for h in words.hashes)
+    order = np.argsort(one)
+    same = one[order][1:] == one[order][:-1]
+    if (two[order][1:] != two[order][:-1])[same].any():  # equal in the first half only
+        order = np.lexsort((two, one))
+        same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
+    first = np.flatnonzero(np.concatenate([[True], ~same])) if len(order) else np.empty(0, dtype=np.int64)
+    return starts[order[first]], np.diff(np.append(first, len(order))), one[order[first]]
+
+
+def _blocks(batch: pa.RecordBatch):
+    """(lang, joined bytes) of about BLOCK_BYTES at most, texts of one language together."""
+    held: dict = {}
+    for at in range(0, batch.num_rows, SLICE_ROWS):
+        part = batch.slice(at, SLICE_ROWS)
+        for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
             parts = held.setdefault(lang, [0, []])
             raw = text.encode().translate(PIECE_BYTES)
             parts[0] += len(raw)
             parts[1].append(raw)
             if parts[0] > BLOCK_BYTES:
                 yield lang, BREAK.join(held.pop(lang)[1])
-        for lang, (_, raws) in held.items():
-            yield lang, BREAK.join(raws)
+    for lang, (_, raws) in held.items():
+        yield lang, BREAK.join(raws)
+
+
+def _words(batches):
+    """(lang, words) of every block."""
+    for batch in batches:
+        for lang, raw in _blocks(batch):
+            yield lang, Words(raw)
+
+
+def frequent_hashes(docs: DataFrame, n: int, every: list[Rule], least: int) -> Bitmap:
+    """Filter of the phrases of n words that keep the rules and stand at `least` times in their language.
+
+    Counted by hash: numbers in place of texts, most of which are rare. What shares a hash may get in too.
+    """
 
     def run(batches):
-        numbers = Numbers()
-        for batch in batches:
-            for lang, raw in blocks(batch):
-                words = raw.replace(BREAK, b" \xff ").split()  # only blanks are left of all ASCII white space
-                if len(numbers) > MOST_WORDS:
-                    numbers = Numbers()
-                ids = numbers.of(words)
-                starts, counts = _tally(ids, _selected(ids, numbers.hashes[ids], n, lang, every, some), n)
-                if len(starts):
-                    found = [b" ".join(words[s : s + n]) for s in starts.tolist()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(found), pa.string()), pa.array(found, pa.string()), pa.array(counts, pa.int64())],
-                        ["lang", "phrase", "f"],
-                    )
+        for lang, words in _words(batches):
+            _, counts, found = _tally(words, _selected(words, n, lang, every, []), n, lang)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], ["h", "f"])
+
+    counted = docs.mapInArrow(run, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
+    return bitmap(stage(counted.filter(F.col("f") >= least).select("h"), "frequent-hashes"))
+
+
+@dataclass
+class Wanted:
+    """Phrases of n words that keep all rules of `every` and, if there are any, one of `some`."""
+
+    n: int
+    every: Sequence[Rule] = ()
+    some: Sequence[Rule] = ()
+
+
+def count_phrases(docs: DataFrame, *wanted: Wanted, least: int = 1) -> DataFrame:
+    """(lang, phrase, f) of the wanted phrases that stand at `least` times; the phrase `` is all words of the language."""
+
+    def run(batches):
+        for lang, words in _words(batches):
+            texts, counts = [""], [len(words.starts)]
+            for w in wanted:
+                starts, found, _ = _tally(words, _selected(words, w.n, lang, w.every, w.some), w.n, lang)
+                texts += [words.phrase(s, w.n) for s in starts.tolist()]
+                counts += found.tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(texts), pa.string()), pa.array(texts, pa.string()), pa.array(counts, pa.int64())], ["lang", "phrase", "f"]
+            )
 
     counted = docs.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-    return counted.filter(F.col("f") >= least)
+    return counted.filter((F.col("f") >= least) | (F.col("phrase") == ""))
 
 
 def members(phrases: DataFrame) -> Bitmap:
@@ -155,14 +216,12 @@ def members(phrases: DataFrame) -> Bitmap:
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                split = [p.encode().split(b" ") for p in batch.column("phrase").to_pylist()]
-                words = [np.array([xxhash.xxh3_64_intdigest(w) for w in at], dtype=np.uint64) for at in zip(*split)]
-                seeds = [xxhash.xxh3_64_intdigest(lang.encode(), len(words)) for lang in batch.column("lang").to_pylist()]
-                out = np.array(seeds, dtype=np.uint64)
-                for w in words:
-                    out = out * _BASE + w
-                yield pa.RecordBatch.from_arrays([pa.array(mix(out).view(np.int64))], ["h"])
+            held: dict = {}
+            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()):
+                held.setdefault((lang, phrase.count(" ") + 1), []).append(phrase.encode())
+            for (lang, n), phrases in held.items():
+                hashes = gram_hashes(Words(BREAK.join(phrases)).hashes[0], n, lang)[::n]
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["h"])
 
     return bitmap(stage(phrases.select("lang", "phrase").mapInArrow(run, "h long"), "members"))
 
@@ -229,13 +288,13 @@ def collocations(
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(lang, F.lit("und")).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
-    words = stage(count_phrases(rows, 1), "words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    words = stage(words.filter(F.col("f") >= least), "frequent-words")
-    single = members(words)
-    pairs = stage(count_phrases(rows, 2, [Rule(0, 1, single), Rule(1, 1, single)], least=least), "pairs")
-    frequent = members(pairs)
-    pairs = stage(_score(pairs, words, 2).drop("missing"), "scored-pairs")
+    single = frequent_hashes(rows, 1, [], least)
+    frequent = frequent_hashes(rows, 2, [Rule(0, 1, single), Rule(1, 1, single)], least)
+    counted = stage(count_phrases(rows, Wanted(1, [Rule(0, 1, single)]), Wanted(2, [Rule(0, 2, frequent)]), least=least), "counted")
+    totals = counted.filter("phrase = ''").select("lang", F.col("f").alias("n"))
+    is_pair = F.col("phrase").contains(" ")
+    words = counted.filter((F.col("phrase") != "") & ~is_pair)
+    pairs = stage(_score(counted.filter(is_pair), words, 2).drop("missing"), "scored-pairs")
     triples = spark.createDataFrame([], "lang string, phrase string, f long")
     quads = extra = triples
     bands, reach = None, reach or 2 * top
@@ -252,20 +311,20 @@ def collocations(
 
         grown, judged = members(_band(pairs, "bound", bands)), members(_band(pairs, "score", bands))
         apriori = [Rule(0, 2, frequent), Rule(1, 2, frequent)]
-        found = count_phrases(rows, 3, apriori, [Rule(0, 2, grown), Rule(1, 2, judged)], least)
-        triples = stage(triples.unionByName(found).dropDuplicates(["lang", "phrase"]), "triples")
+        found = count_phrases(rows, Wanted(3, apriori, [Rule(0, 2, grown), Rule(1, 2, judged)]), least=least)
+        triples = stage(triples.unionByName(found.filter("phrase <> ''")).dropDuplicates(["lang", "phrase"]), "triples")
         known = words.unionByName(pairs.select("lang", "phrase", "f"))
         scored = stage(_score(triples, known, 3).drop("missing"), "scored-triples")
 
         grown, judged = members(_band(scored, "bound", bands)), members(_band(scored, "score", bands))
-        found = count_phrases(rows, 4, [*apriori, Rule(2, 2, frequent)], [Rule(0, 3, grown), Rule(1, 3, judged)], least)
-        quads = stage(quads.unionByName(found).dropDuplicates(["lang", "phrase"]), "quads")
+        found = count_phrases(rows, Wanted(4, [*apriori, Rule(2, 2, frequent)], [Rule(0, 3, grown), Rule(1, 3, judged)]), least=least)
+        quads = stage(quads.unionByName(found.filter("phrase <> ''")).dropDuplicates(["lang", "phrase"]), "quads")
         known = known.unionByName(triples).unionByName(extra)
         low = bands.select("lang", "low")
         hopeful = _score(quads, known, 4).join(low, "lang").filter("score >= low")
         missing = stage(hopeful.select("lang", F.explode("missing").alias("phrase")).distinct(), "missing-parts")
         if not missing.isEmpty():
-            parts = count_phrases(rows, 3, some=[Rule(0, 3, members(missing))], least=least).join(triples, ["lang", "phrase"], "left_anti")
+            parts = count_phrases(rows, Wanted(3, [Rule(0, 3, members(missing))]), least=least).filter("phrase <> ''").join(triples, ["lang", "phrase"], "left_anti")
             extra = stage(extra.unionByName(parts).dropDuplicates(["lang", "phrase"]), "extra-parts")
             known = words.unionByName(pairs.select("lang", "phrase", "f")).unionByName(triples).unionByName(extra)
         kept = _surviving(pairs, triples, share).select(RESULT).unionByName(_surviving(scored, quads, share).select(RESULT))
