@@ -7,7 +7,7 @@ from tillwork.operators import cltv_features, explore, incremental, profiling, r
 from tillwork.plans import sample_tables as given
 from tillwork.plans import steps, views
 from tillwork.session import scratch_path
-from tillwork.sources.warehouse import Warehouse
+from tillwork.sources.warehouse import BATCH, Warehouse
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,12 +67,16 @@ def test_value_share_limits_groups_before_the_shuffle(stored):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
-def test_increment_is_pruned_by_the_stored_date(spark):
+def test_stored_lines_are_pruned_by_month_and_batch(spark):
     wh = Warehouse(spark, scratch_path(spark, "wh"))
-    wh.overwrite("BRONZE", "ONLINE_RETAIL_1", steps.with_event_date(given.text_sales(spark, SF)))
-    fresh, rejects = steps.new_sales(wh.prefix_union_scan("BRONZE_ONLINE_RETAIL"), "2000-01-01 00:00:00")
-    assert "GreaterThanOrEqual(EVENT_DATE,2000-01-01)" in plan(fresh)
-    assert "IsNull(EVENT_DATE)" in plan(rejects)
+    lines = steps.keyed_lines(steps.with_event_date(given.text_sales(spark, SF))).select(steps.EVENT_DATE, steps.LINE)
+    wh.write_batch("SILVER", "SALES_LINES", lines, "000000000001")
+    few = lines.filter("EVENT_DATE BETWEEN '1995-02-03' AND '1995-03-09' OR EVENT_DATE LIKE '1997-11%'")
+    stored = wh.read_batches("SILVER_SALES_LINES").filter(F.col(BATCH) < "b_000000000009")
+    text = plan(incremental.unseen_lines(few, stored, steps.EVENT_DATE, steps.LINE))
+    assert "GreaterThanOrEqual(EVENT_DATE,1995-02),LessThanOrEqual(EVENT_DATE,1995-03-99)" in text
+    assert "PartitionFilters: [isnotnull(LOAD_BATCH" in text
+    assert "ReadSchema: struct<EVENT_DATE:string,LINE:binary>" in text
 
 
 def test_distinct_invoices_of_one_customer_are_spread(stored):

@@ -1,9 +1,12 @@
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tillwork.operators import ranking, rfm
+from tillwork.session import stage
 
 
 def pandas_quintile(values):
@@ -54,20 +57,50 @@ def test_quintile_of_rank_equals_pandas_for_many_sizes(spark):
         assert got[got.n == n].sort_values("r").q.tolist() == pandas_quintile(range(n))
 
 
-@pytest.mark.parametrize("sort_all_upto, accuracy", [(10**9, 1000), (0, 1000), (0, 20)])
-def test_exact_quantiles(spark, sort_all_upto, accuracy):
+@pytest.mark.parametrize("partitions", [1, 4, 60])
+def test_exact_quantiles(spark, partitions):
     rng = np.random.default_rng(1)
     a = rng.normal(size=997).round(2).tolist()
     b = [0.0] * 600 + rng.exponential(size=397).tolist()
     rows = [(x, y if i % 10 else None) for i, (x, y) in enumerate(zip(a, b))]
     probs = [0.0, 0.25, 0.5, 0.95, 1.0]
     df = spark.createDataFrame(rows, "a double, b double").repartition(5)
-    got = ranking.exact_quantiles(df, ["a", "b"], probs, sort_all_upto, accuracy)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = ranking.exact_quantiles(df, ["a", "b"], probs)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     frame = pd.DataFrame(rows, columns=["a", "b"])
     for c in ("a", "b"):
         assert got[c] == pytest.approx([frame[c].quantile(p) for p in probs], abs=1e-12)
 
 
+def test_positions_do_not_depend_on_the_number_of_partitions(spark):
+    """20,000 partitions before this one: the plan holds none of them."""
+    sizes = spark.range(20_000).select(F.col("id").cast("int").alias("_part"), F.lit(3).alias("n"))
+    before = stage(ranking.offsets(sizes))
+    parts = spark.createDataFrame([("a",), ("b",)], "k string").coalesce(1).withColumn("_part", F.lit(19_999))
+    start = time.monotonic()
+    got = ranking.positions(parts, before, "RANK")
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 3000
+    assert [r["RANK"] for r in got.orderBy("k").collect()] == [3 * 19_999 + 1, 3 * 19_999 + 2]
+    assert time.monotonic() - start < 10
+
+
+def test_quintiles_of_ties_over_many_partitions(spark):
+    rows = [(f"k{i:04d}", 1 if i % 3 else i % 7, float(i // 400)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, v int, w double").repartition(9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ranking.quintile_scores(df, {"v": "a", "w": "b"}, "k").orderBy("k").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [r["a"] for r in got] == pandas_quintile([r[1] for r in rows])
+    assert [r["b"] for r in got] == pandas_quintile([r[2] for r in rows])
+
+
 def test_exact_quantiles_of_nothing(spark):
     assert ranking.exact_quantiles(spark.createDataFrame([(None,)], "a double"), ["a"], [0.5]) == {"a": [None]}
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillwork.plans import sample_tables as given
 from tillwork.plans import steps
 from tillwork.session import scratch_path
+from tillwork.sources import storage
 from tillwork.sources.warehouse import Warehouse
 
 SF = "/root/testdata/sf0.001"
@@ -108,3 +109,65 @@ def test_mapping_is_reloaded_only_when_it_changed(spark):
     df.withColumn("rfm_name", F.lit("Very best")).write.mode("overwrite").option("header", True).csv(path)
     assert steps.load_bronze_mapping(wh, path) and steps.load_silver_mapping(wh)
     assert [r["RFM_NAME"] for r in wh.read("SILVER_RFM_MAPPING").collect()] == ["Very best"]
+
+
+def test_arrival_counts_and_not_the_time_of_the_sale(spark, text):
+    wh, landing = Warehouse(spark, scratch_path(spark, "wh")), scratch_path(spark, "land")
+    good = text.filter("INVOICEDATE <> '2010-13-99'")
+    given.land(good.filter("INVOICEDATE >= '1996-01-01'"), landing, "online_retail_1")
+    steps.load_bronze(wh, landing)
+    steps.load_silver_sales(wh)
+    top = good.agg(F.max("INVOICEDATE")).first()[0]
+    twin = good.filter(F.col("INVOICEDATE") == top).withColumn("INVOICE", F.concat(F.lit("77"), "INVOICE"))
+    given.land(good.filter("INVOICEDATE < '1996-04-01'").union(twin), landing, "online_retail_2", days_old=9000)
+    steps.load_bronze(wh, landing)
+    steps.load_silver_sales(wh)
+    whole = Warehouse(spark, scratch_path(spark, "wh"))
+    whole.overwrite("BRONZE", "ONLINE_RETAIL_1", good.union(twin))
+    steps.load_silver_sales(whole)
+    assert content(wh, "SILVER_SALES") == content(whole, "SILVER_SALES")
+
+    given.land(text.filter("INVOICEDATE = '2010-13-99'"), landing, "online_retail_3")
+    assert steps.load_bronze(wh, landing) and steps.load_silver_sales(wh) is None
+    assert steps.rejected_sales(wh).count() == 1
+    assert steps.load_bronze(wh, landing) == [] and steps.load_silver_sales(wh) is None
+
+
+def test_a_changed_file_replaces_its_rows_and_an_interrupted_load_is_repeated(spark):
+    wh, landing = Warehouse(spark, scratch_path(spark, "wh")), scratch_path(spark, "land")
+    line = "1,s,{},1,2010-01-0{},2,c,X\n"
+    head = "INVOICE,STOCKCODE,DESCRIPTION,QUANTITY,INVOICEDATE,PRICE,CUSTOMER_ID,COUNTRY\n"
+
+    def put(name, *rows):
+        fs, p = storage._fs(spark, f"{landing}/{name}")
+        out = fs.create(p, True)
+        out.write(bytearray((head + "".join(rows)).encode()))
+        out.close()
+
+    put("online_retail.csv", line.format("a", 1), line.format("b", 1), "too,few\n")
+    lost = Warehouse(spark, wh.root)
+    lost.note_files = lambda rows: None  # the rows were written, the ledger was not
+    steps.load_bronze(lost, landing)
+    put("online_retail_2.csv", line.format("c", 2))
+    steps.load_bronze(wh, landing)
+    assert sorted(r.DESCRIPTION for t in wh.tables("BRONZE") for r in steps.bronze_lines(wh, t).collect()) == ["a", "b", "c"]
+    assert wh.read("REJECTED_ONLINE_RETAIL").select("CORRUPT_ROW").collect()[0][0] == "too,few"
+    put("online_retail.csv", line.format("a", 1), line.format("dd", 1))
+    assert steps.load_bronze(wh, landing) == ["BRONZE_ONLINE_RETAIL"]
+    assert sorted(r.DESCRIPTION for r in steps.bronze_lines(wh, "BRONZE_ONLINE_RETAIL").collect()) == ["a", "dd"]
+    steps.load_silver_sales(wh)
+    assert sorted(r.DESCRIPTION for r in wh.read("SILVER_SALES").collect()) == ["A", "C", "DD"]
+
+
+def test_quoted_breaks_and_colliding_sheets(spark):
+    wh, landing = Warehouse(spark, scratch_path(spark, "wh")), scratch_path(spark, "land")
+    fs, p = storage._fs(spark, f"{landing}/notes.csv")
+    out = fs.create(p, True)
+    out.write(bytearray(b'id,note\n1,"two\nlines, ""quoted"""\n2,plain\n3,x,y\n'))
+    out.close()
+    assert steps.load_bronze(wh, landing, quoted_breaks=True) == ["BRONZE_NOTES"]
+    assert sorted(tuple(r)[:2] for r in wh.read("BRONZE_NOTES").collect()) == [("1", 'two\nlines, "quoted"'), ("2", "plain")]
+    assert wh.read("REJECTED_NOTES").count() == 1
+    fs.create(storage._fs(spark, f"{landing}/Notes.CSV")[1], True).close()
+    with pytest.raises(ValueError, match="NOTES"):
+        steps.load_bronze(wh, landing)

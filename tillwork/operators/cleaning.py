@@ -65,8 +65,12 @@ def classify_return_sale(df: DataFrame, name: str = "INVOICE_TYPE") -> DataFrame
 
 def clean_sales(raw: DataFrame, fmt: str | None = None) -> DataFrame:
     """Raw invoice lines to the ten clean sales columns."""
-    df = dedupe_rows(raw)
-    df = clean_text_key(df, *SALES_TEXT_KEYS)
+    return clean_lines(dedupe_rows(raw), fmt)
+
+
+def clean_lines(raw: DataFrame, fmt: str | None = None) -> DataFrame:
+    """`clean_sales` for lines that hold no duplicates."""
+    df = clean_text_key(raw, *SALES_TEXT_KEYS)
     df = coerce_numeric(df, {"QUANTITY": "bigint", "PRICE": "double"})
     df = coerce_timestamp_split(df, fmt=fmt)
     df = clean_customer_id(df)

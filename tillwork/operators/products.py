@@ -72,24 +72,35 @@ def name_length(df: DataFrame, name: str, target: str = "NAME_LENGTH") -> DataFr
     return df.withColumn(target, F.length(name))
 
 
+def count_names(sales: DataFrame) -> DataFrame:
+    """(STOCKCODE, DESCRIPTION_RAW, LINES): sales lines per raw name of a code."""
+    return sales.groupBy("STOCKCODE", F.col("DESCRIPTION").alias("DESCRIPTION_RAW")).agg(F.count(F.lit(1)).alias("LINES"))
+
+
 def product_mapping(
     sales: DataFrame,
     keep: Sequence[str] = fixed.PRODUCTS_TO_KEEP,
     remove: Sequence[str] = fixed.PRODUCTS_TO_REMOVE,
     min_codes: int = 1,
 ) -> DataFrame:
-    """(STOCKCODE, DESCRIPTION_RAW) with its resolved PRODUCT_NAME.
+    """(STOCKCODE, DESCRIPTION_RAW) of the sales with its resolved PRODUCT_NAME; see `resolve_names`."""
+    return resolve_names(count_names(sales), keep, remove, min_codes)
+
+
+def resolve_names(
+    counted: DataFrame,
+    keep: Sequence[str] = fixed.PRODUCTS_TO_KEEP,
+    remove: Sequence[str] = fixed.PRODUCTS_TO_REMOVE,
+    min_codes: int = 1,
+) -> DataFrame:
+    """Names of counted (STOCKCODE, DESCRIPTION_RAW, LINES) pairs.
 
     `min_codes` is the number of catalogue rows from which a name outside `keep` is dropped: 1 drops
     all of them, 2 only repeated ones. The first two votes weigh a name by its sales lines, the
     third by its catalogue rows.
     """
-    lines = F.col("_lines")
-    base = cut_lineage(
-        sales.groupBy("STOCKCODE", F.col("DESCRIPTION").alias("DESCRIPTION_RAW")).agg(
-            F.count(F.lit(1)).alias("_lines")
-        )
-    )
+    lines = F.col("LINES")
+    base = cut_lineage(counted)
     named = fill_product_name(description_clean(base), "DESCRIPTION_CLEAN", "PRODUCT_NAME", lines)
     if min_codes > 1:
         named = cut_lineage(named)

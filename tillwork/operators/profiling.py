@@ -7,7 +7,6 @@ unpivoted (column, value) count, which combines on the map side before any shuff
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,14 +14,9 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from tillwork.functions.amounts import ratio
+from tillwork.operators.profile_scan import QUARTILES, Profile, correlations, fixed_size, numeric_columns
 from tillwork.operators.ranking import exact_quantiles
 
-QUARTILES = (0.25, 0.5, 0.75)
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-
 
 def _as_rows(totals: DataFrame, per_column: Sequence[Sequence[Column]], names: Sequence[str]) -> DataFrame:
     """One wide row of totals to one row per profiled column."""
@@ -54,18 +48,22 @@ def _null_counts(df: DataFrame) -> DataFrame:
 
 
 def profile_info(df: DataFrame) -> DataFrame:
-    """Totals, then non-null count, null count and type per column."""
+    """Totals, then non-null count, null count and type per column. Memory is that of the values themselves."""
     blank = F.lit("")
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = sum((F.count(c) * fixed_size(df.schema[c].dataType) for c in df.columns if c not in texts), F.lit(0))
+    size = sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts), fixed)
+    totals = df.agg(F.count(F.lit(1)).alias("_rows"), size.alias("_bytes"), *[F.count(F.col(c)).alias(c) for c in df.columns])
+    memory = F.concat(F.format_string("%.1f", F.col("_bytes") / 1024**2), F.lit(" MB"))
     rows = [
         (F.lit("Total Entries"), F.col("_rows").cast("string"), blank, blank),
         (F.lit("Total Columns"), F.lit(str(len(df.columns))), blank, blank),
-        (F.lit("Memory Usage"), blank, blank, F.lit(f"{size / 1024**2:.1f} MB")),
+        (F.lit("Memory Usage"), blank, blank, memory),
     ]
     for name, kind in df.dtypes:
         missing = (F.col("_rows") - F.col(name)).cast("string")
         rows.append((F.lit(name), F.col(name).cast("string"), missing, F.lit(kind)))
-    return _as_rows(_null_counts(df), rows, ["Column", "Non-Null Count", "Null Count", "Dtype"])
+    return _as_rows(totals, rows, ["Column", "Non-Null Count", "Null Count", "Dtype"])
 
 
 def profile_fill_rate(df: DataFrame) -> DataFrame:
@@ -189,76 +187,44 @@ def profile_distribution(df: DataFrame, bins: int = 10) -> dict[str, DataFrame]:
     return {"Skewness": profile_skewness(df), "Histogram": profile_histogram(df, bins)}
 
 
+def pairs_of(rows: DataFrame, numbers: Sequence[str]) -> DataFrame:
+    """(feature_1, feature_2, correlation) of every pair, the earlier column first, from rows (i, r) of the matrix."""
+    names = F.array(*[F.lit(c) for c in numbers]) if numbers else F.array().cast("array<string>")
+    long = rows.select("i", F.posexplode("r").alias("j", "correlation")).filter("i < j")
+    return long.select(F.get(names, F.col("i")).alias("feature_1"), F.get(names, F.col("j")).alias("feature_2"), "correlation")
+
+
 def profile_corr_pairs(df: DataFrame) -> DataFrame:
     """Pearson correlation of every pair of numeric columns over the rows where both have a value.
 
-    The first scan finds each column's mean, range and missing values. The second sums products of
-    deviations: one plain sum per pair, and the extra sums that restrict a pair to its common rows
-    only where a column has gaps. A column without spread has no correlation.
+    One scan adds up pairwise sums in arrays, so the plan is the same for three columns and for hundreds. A column
+    without spread over the common rows has no correlation.
     """
     numbers = numeric_columns(df)
-    cast = df.select(*[F.col(c).cast("double").alias(c) for c in numbers])
-    first = cast.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[f(c).alias(f"{k}{i}") for i, c in enumerate(numbers) for k, f in _SHAPE.items()],
-    ).first()
-    gaps = {c for i, c in enumerate(numbers) if first[f"count{i}"] < first["n"]}
-    flat = {c for i, c in enumerate(numbers) if first[f"min{i}"] is None or first[f"min{i}"] == first[f"max{i}"]}
-    dev = {c: F.col(c) - F.lit(first[f"mean{i}"]) for i, c in enumerate(numbers)}
-
-    aggs = [F.sum(dev[c] * dev[c]).alias(f"ss{i}") for i, c in enumerate(numbers) if c not in gaps]
-    rows = []
-    for (i, a), (j, b) in combinations(enumerate(numbers), 2):
-        key = f"{i}_{j}"
-        if a in flat or b in flat:
-            r = F.lit(None).cast("double")
-        elif a in gaps or b in gaps:
-            x, y = F.when(F.col(b).isNotNull(), dev[a]), F.when(F.col(a).isNotNull(), dev[b])
-            parts = {"n": F.count(x), "x": F.sum(x), "y": F.sum(y), "xx": F.sum(x * x), "yy": F.sum(y * y), "xy": F.sum(x * y)}
-            spread = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
-            aggs += [f.alias(f"{k}{key}") for k, f in parts.items()] + [spread.alias(f"ok{key}")]
-            n, sx, sy, xx, yy, xy = (F.col(f"{k}{key}") for k in parts)
-            r = ratio(xy - ratio(sx * sy, n), F.sqrt((xx - ratio(sx * sx, n)) * (yy - ratio(sy * sy, n))))
-            r = F.when(F.col(f"ok{key}"), r)
-        else:
-            aggs.append(F.sum(dev[a] * dev[b]).alias(f"xy{key}"))
-            r = ratio(F.col(f"xy{key}"), F.sqrt(F.col(f"ss{i}")) * F.sqrt(F.col(f"ss{j}")))
-        rows.append((F.lit(a), F.lit(b), r))
-    totals = cast.agg(*aggs) if aggs else cast.agg(F.count(F.lit(1)))
-    return _as_rows(totals, rows, ["feature_1", "feature_2", "correlation"])
+    return pairs_of(correlations(df, numbers), numbers)
 
 
-_SHAPE = {"mean": F.avg, "min": F.min, "max": F.max, "count": F.count}
+def corr_matrix(rows: DataFrame, numbers: Sequence[str]) -> DataFrame:
+    """One row and one column per numeric column, from rows (i, r) of the matrix; 1 on the diagonal of a column with spread."""
+    names = F.array(*[F.lit(c) for c in numbers]) if numbers else F.array().cast("array<string>")
+    itself = F.when(F.get("r", F.col("i")).isNotNull(), F.lit(1.0))
+    cells = [F.when(F.col("i") == k, itself).otherwise(F.get("r", F.lit(k))).alias(c) for k, c in enumerate(numbers)]
+    return rows.select(F.get(names, F.col("i")).alias("feature"), *cells)
 
 
 def profile_corr_matrix(df: DataFrame) -> DataFrame:
     """Square matrix: one row and one column per numeric column."""
     numbers = numeric_columns(df)
-    pairs = profile_corr_pairs(df)
-    mirrored = pairs.unionByName(
-        pairs.select(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "correlation")
-    )
-    spread = df.agg(*[F.stddev_pop(c).alias(c) for c in numbers])
-    itself = _as_rows(
-        spread, [(F.lit(c), F.lit(c), F.when(F.col(c) > 0, F.lit(1.0))) for c in numbers], mirrored.columns
-    )
-    return (
-        mirrored.unionByName(itself)
-        .groupBy(F.col("feature_1").alias("feature"))
-        .pivot("feature_2", numbers)
-        .agg(F.max("correlation"))
-    )
+    return corr_matrix(correlations(df, numbers), numbers)
 
 
-def profile_corr_top(df: DataFrame, size: int = 10) -> tuple[DataFrame, DataFrame]:
+def corr_top(pairs: DataFrame, size: int = 10) -> tuple[DataFrame, DataFrame]:
     """Most positive and most negative pairs; pairs without a defined correlation are left out.
 
     As in an upper triangle read column by column, feature_1 is the later column of the table.
     """
-    pairs = profile_corr_pairs(df).select(
-        F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "correlation"
-    )
-    known = pairs.filter(F.col("correlation").isNotNull() & ~F.isnan("correlation"))
+    turned = pairs.select(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "correlation")
+    known = turned.filter(F.col("correlation").isNotNull())
     names = ["feature_1", "feature_2"]
     return (
         known.orderBy(F.desc("correlation"), *names).limit(size),
@@ -266,23 +232,10 @@ def profile_corr_top(df: DataFrame, size: int = 10) -> tuple[DataFrame, DataFram
     )
 
 
+def profile_corr_top(df: DataFrame, size: int = 10) -> tuple[DataFrame, DataFrame]:
+    return corr_top(profile_corr_pairs(df), size)
+
+
 def profile_all(df: DataFrame, order: Sequence[str], size: int = 100) -> dict[str, DataFrame | list[str]]:
-    """All profile results by name, each a pruned scan of `df`; pass a stored table."""
-    positive, negative = profile_corr_top(df)
-    return {
-        "Head": profile_head(df, size, order),
-        "Tail": profile_tail(df, size, order),
-        "Sample": profile_sample(df, size, order),
-        "Info": profile_info(df),
-        "Col_list": profile_columns(df),
-        "Describe": profile_describe(df),
-        "Missing_rates": profile_missing_rate(df),
-        "Fullfill_rates": profile_fill_rate(df),
-        "Trim_me": profile_need_trim(df),
-        "Share_value": profile_value_share(df),
-        "Variance": profile_skewness(df),
-        "Histogram": profile_histogram(df),
-        "Corr_Matrix": profile_corr_matrix(df),
-        "Corr_Series_Pos": positive,
-        "Corr_Series_Neg": negative,
-    }
+    """All profile results by name, cut from one scan of `df`."""
+    return Profile(df, order, size).results()

@@ -1,51 +1,48 @@
 """Ranks, quintiles and quantiles over a whole table without a one-partition window.
 
-A range shuffle on a total order spreads ties as well as distinct values; the sorted rows are then
-checkpointed, so a row's position is its partition's offset plus its index in the partition. The
-driver sees one count per partition.
+Rows, or values with the number of rows that have them, are dealt by a range shuffle on a total order and checkpointed.
+A position is then the sum of the partitions before, from a small table with one row per partition that is joined on
+the partition's number, plus the place inside the partition. Nothing about single partitions is put into an
+expression or brought to the driver, so plans and driver work are the same for ten partitions and for many thousands.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tillwork.session import cut_lineage
+from tillwork.session import cut_lineage, stage
 
-_POSITION_BITS = 33
+_PLACE_BITS = 33
+_PART = "_part"
 
 
-def _sorted_with_offsets(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, list[int], int]:
-    """Checkpointed sorted rows, the offset of each partition, and the row count."""
-    parts = cut_lineage(df.orderBy(*order))
-    per_part = (
-        parts.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()
-    )
-    counts = {r["p"]: r["n"] for r in per_part}
-    last = max(counts, default=-1)
-    sizes = [counts.get(p, 0) for p in range(last + 1)]
-    return parts, [0, *accumulate(sizes)][: max(len(sizes), 1)], sum(sizes)
+def offsets(sizes: DataFrame, *group: str) -> DataFrame:
+    """(group, _part, before): what comes before a partition, from (group, _part, n). One row per partition."""
+    earlier = Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(*group, _PART, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
 
 
-def _position(offsets: Sequence[int]) -> Column:
-    """1-based position over all partitions."""
-    here = F.monotonically_increasing_id()
-    part = F.shiftright(here, _POSITION_BITS).cast("int")
-    within = here.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), part + 1) + within + F.lit(1)
+def _dealt(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Sorted rows with the number of their partition; both stay as they are however often they are read."""
+    return cut_lineage(df.orderBy(*order)).withColumn(_PART, F.spark_partition_id())
+
+
+def positions(parts: DataFrame, before: DataFrame, name: str) -> DataFrame:
+    """Adds the 1-based position over all partitions. The measured size of `before` decides how it is joined."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    numbered = parts.withColumn("_place", place)
+    return numbered.join(before, _PART).withColumn(name, F.col("before") + F.col("_place") + 1).drop(_PART, "_place", "before")
 
 
 def rank_first(df: DataFrame, value: str, tiebreak: str, name: str = "RANK") -> DataFrame:
     """Rank 1..n ascending by `value`, ties in order of the unique column `tiebreak`."""
-    parts, offsets, _ = _sorted_with_offsets(df, [value, tiebreak])
-    return parts.withColumn(name, _position(offsets).cast("bigint"))
+    parts = _dealt(df, [value, tiebreak])
+    before = stage(offsets(parts.groupBy(_PART).agg(F.count(F.lit(1)).alias("n"))), "offsets")
+    return positions(parts, before, name)
 
 
 def quintile_of_rank(rank: Column, n: Column) -> Column:
@@ -54,181 +51,105 @@ def quintile_of_rank(rank: Column, n: Column) -> Column:
     return F.when(n > 1, F.greatest(F.lit(1).cast("bigint"), steps)).cast("int")
 
 
-def quintile_cuts(df: DataFrame, value: str, tiebreak: str) -> list[Row] | None:
-    """Last row of quintiles 1 to 4 in rank order; None when there are fewer than two rows."""
-    parts, offsets, n = _sorted_with_offsets(df.select(value, tiebreak), [value, tiebreak])
-    if n < 2:
-        return None
-    wanted = [1 + q * (n - 1) // 5 for q in range(1, 5)]
-    found = {
-        r["pos"]: r
-        for r in parts.withColumn("pos", _position(offsets)).filter(F.col("pos").isin(wanted)).collect()
-    }
-    return [found[w] for w in wanted]
+def at_ranks(counted: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(name, rank, value, within): the value at each wanted 0-based rank, and the rank among rows of that value.
+
+    `counted` has one row (name, value, n) per distinct value, `wanted` is a small table (name, rank). The values are
+    sorted once for all names; running sums are built only in the pieces that hold a wanted rank.
+    """
+    parts = _dealt(counted, ["name", "value"])
+    sizes = parts.groupBy("name", _PART).agg(F.sum("n").alias("n"))
+    pieces = sizes.join(offsets(sizes, "name"), ["name", _PART])
+    inside = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n"))
+    pieces = stage(pieces.join(wanted, "name").filter(inside).select("name", _PART, "before", "rank"), "pieces")
+    # Each window group is one name's share of one range partition.
+    upto = Window.partitionBy("name", _PART).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = parts.join(pieces.select("name", _PART).distinct(), ["name", _PART], "left_semi")
+    held = held.withColumn("upto", F.sum("n").over(upto)).join(pieces, ["name", _PART])
+    within = F.col("rank") - F.col("before") - F.col("upto") + F.col("n")
+    return held.withColumn("within", within).filter("within >= 0 AND within < n").select("name", "rank", "value", "within")
+
+
+def quintile_cuts(df: DataFrame, values: Sequence[str], tiebreak: str) -> dict[str, list[Row]]:
+    """Last row (value, tiebreak) of quintiles 1 to 4 in rank order, per column; without columns that have no two rows.
+
+    Counted values give the value of each cut and the place among its ties; only the rows that share such a value are
+    sorted by the tiebreak. NULL comes first.
+    """
+    long = df.select(*[F.col(v).cast("double").alias(v) for v in values], F.col(tiebreak).alias("tiebreak"))
+    long = long.unpivot(["tiebreak"], list(values), "name", "value")
+    counted = long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = stage(counted, "counted")
+    total = counted.groupBy("name").agg(F.sum("n").alias("total")).filter("total > 1")
+    quarter = F.explode(F.sequence(F.lit(1), F.lit(4))).alias("q")
+    wanted = total.select("name", "total", quarter).selectExpr("name", "q", "q * (total - 1) div 5 AS rank")
+    wanted = stage(wanted, "wanted-ranks")
+    cuts = stage(at_ranks(counted, wanted.select("name", "rank").distinct()), "cuts")
+    same = F.struct("name", "value")
+    tied = long.join(cuts.select("name", "value").distinct().withColumnsRenamed({"name": "_n", "value": "_v"}),
+                     (F.col("name") == F.col("_n")) & F.col("value").eqNullSafe(F.col("_v")), "left_semi")
+    parts = _dealt(tied, ["name", "value", "tiebreak"]).withColumn("key", same)
+    sizes = parts.groupBy("key", _PART).agg(F.count(F.lit(1)).alias("n"))
+    pieces = sizes.join(offsets(sizes, "key"), ["key", _PART])
+    pieces = pieces.join(cuts.select(same.alias("_key"), "rank", "within"), F.col("key").eqNullSafe(F.col("_key")))
+    inside = (F.col("within") >= F.col("before")) & (F.col("within") < F.col("before") + F.col("n"))
+    pieces = stage(pieces.filter(inside).select("key", _PART, "rank", (F.col("within") - F.col("before") + 1).alias("place")), "tied-pieces")
+    inner = Window.partitionBy("name", "value", _PART).orderBy("tiebreak")
+    pieces = pieces.select(F.col("key").alias("_key"), F.col(_PART).alias("_p"), "rank", "place")
+    here = F.col("key").eqNullSafe(F.col("_key")) & (F.col(_PART) == F.col("_p"))
+    held = parts.join(pieces.select("_key", "_p").distinct(), here, "left_semi").withColumn("at", F.row_number().over(inner))
+    rows = held.join(pieces, here & (F.col("at") == F.col("place"))).join(wanted, ["name", "rank"]).select("name", "q", "value", "tiebreak")
+    found: dict[str, list[Row]] = {}
+    for r in rows.orderBy("name", "q").collect():  # four per column
+        found.setdefault(r["name"], []).append(r)
+    return found
 
 
 def _score_by_cuts(cuts: list[Row] | None, value: str, tiebreak: str) -> Column:
     """1 plus the number of cut rows that come before this row."""
     if cuts is None:
         return F.lit(None).cast("int")
-    v, t = F.col(value), F.col(tiebreak)
+    v, t = F.col(value).cast("double"), F.col(tiebreak)
     score = F.lit(1)
     for c in cuts:
-        after = (v > F.lit(c[value])) | ((v == F.lit(c[value])) & (t > F.lit(c[tiebreak])))
+        after = (v > F.lit(c["value"])) | ((v == F.lit(c["value"])) & (t > F.lit(c["tiebreak"])))
         score = score + F.coalesce(after, F.lit(False)).cast("int")
     return score
 
 
 def quintile_scores(df: DataFrame, scores: Mapping[str, str], tiebreak: str) -> DataFrame:
-    """Quintiles 1..5 of several columns, `scores` maps column to score name.
+    """Quintiles 1..5 of several numeric columns, `scores` maps column to score name; values count as doubles.
 
-    Four cut rows per column are compared in place: no join, no window. The sorts that find them are
-    independent jobs started side by side. They read `df` again, so pass a stored or checkpointed one.
+    Four cut rows per column are compared in place. Finding them reads `df` twice, so pass a stored or checkpointed one.
     """
-    with ThreadPoolExecutor(max(len(scores), 1)) as pool:
-        cuts = dict(zip(scores, pool.map(lambda v: quintile_cuts(df, v, tiebreak), scores)))
-    return df.withColumns({name: _score_by_cuts(cuts[v], v, tiebreak) for v, name in scores.items()})
+    cuts = quintile_cuts(df, list(scores), tiebreak)
+    return df.withColumns({name: _score_by_cuts(cuts.get(v), v, tiebreak) for v, name in scores.items()})
 
 
 def quintile_score(df: DataFrame, value: str, tiebreak: str, name: str) -> DataFrame:
     return quintile_scores(df, {value: name}, tiebreak)
 
 
-@dataclass(frozen=True)
-class _Segment:
-    """Values of one column between two bounds, and how many of the column's values are below."""
+def exact_quantiles(df: DataFrame, names: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles of several numeric columns, exact, in one sort of distinct values.
 
-    name: str
-    low: float | None
-    high: float | None
-    below: int
-
-    def holds(self, c: Column) -> Column:
-        if self.low is None:
-            return F.lit(True)
-        return c.between(F.lit(self.low), F.lit(self.high))
-
-
-def _segments(values: DataFrame, counts: dict[str, int], probs: Sequence[float], accuracy: int) -> list[_Segment]:
-    """Intervals that hold the wanted ranks, from a mergeable sketch with a guaranteed rank error.
-
-    A sketch of accuracy A is off by at most N / A ranks, so bounds 2 / A away from the wanted rank
-    enclose it, and the rows between them are a small share of the column.
-    """
-    reach = 2.0 / accuracy
-    ends = sorted({min(max(p + s, 0.0), 1.0) for p in probs for s in (-reach, reach)})
-    names = [n for n, count in counts.items() if count]
-    row = values.agg(
-        *[F.percentile_approx(F.col(n), list(ends), accuracy).alias(f"q{k}") for k, n in enumerate(names)],
-        *[F.min(n).alias(f"lo{k}") for k, n in enumerate(names)],
-        *[F.max(n).alias(f"hi{k}") for k, n in enumerate(names)],
-    ).first()
-    spans: list[tuple[str, float, float]] = []
-    for k, name in enumerate(names):
-        at = dict(zip(ends, row[f"q{k}"]))
-        wanted = []
-        for p in probs:
-            low, high = max(p - reach, 0.0), min(p + reach, 1.0)
-            wanted.append((row[f"lo{k}"] if low == 0.0 else at[low], row[f"hi{k}"] if high == 1.0 else at[high]))
-        merged: list[list[float]] = []
-        for low, high in sorted(wanted):
-            if merged and low <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], high)
-            else:
-                merged.append([low, high])
-        spans += [(name, low, high) for low, high in merged]
-    below = values.agg(*[F.count_if(F.col(n) < F.lit(low)).alias(f"b{k}") for k, (n, low, _) in enumerate(spans)]).first()
-    return [_Segment(n, low, high, below[f"b{k}"]) for k, (n, low, high) in enumerate(spans)]
-
-
-def exact_quantiles(
-    df: DataFrame, names: Sequence[str], probs: Sequence[float], sort_all_upto: int = 20_000_000, accuracy: int = 10_000
-) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of several numeric columns, exact and in one sort.
-
-    Beyond `sort_all_upto` values only those near a wanted rank are sorted: a sketch finds bounds
-    around each rank and the values below them are counted. Equal values collapse to one counted row
-    before the sort, so a value shared by many rows is one row. The driver gets one total per sort
-    partition and two values per quantile.
+    Equal values collapse to one counted row on the map side, so a value shared by many rows is one row, and hot values
+    cost nothing. NULL and NaN do not count. The driver gets two values per quantile.
     """
     cast = df.select(*[F.nanvl(F.col(n).cast("double"), F.lit(None)).alias(n) for n in names])
-    sizes = cast.agg(*[F.count(F.col(n)).alias(f"n{k}") for k, n in enumerate(names)]).first()
-    counts = {n: sizes[f"n{k}"] for k, n in enumerate(names)}
-    if sum(counts.values()) > sort_all_upto:
-        segments = _segments(cast, counts, probs, accuracy)
-        found = _quantiles_in(cast, counts, probs, segments)
-        if found is not None:
-            return found
-    whole = [_Segment(n, None, None, 0) for n, count in counts.items() if count]
-    return _quantiles_in(cast, counts, probs, whole) or {}
-
-
-def _quantiles_in(
-    cast: DataFrame, counts: dict[str, int], probs: Sequence[float], segments: list[_Segment]
-) -> dict[str, list[float | None]] | None:
-    """Quantiles from the values inside the segments; None when a wanted rank lies outside of them."""
-    empty = {n: [None] * len(probs) for n, count in counts.items() if not count}
-    if not segments:
-        return empty
-    names = [n for n in counts if counts[n]]
-    long = cast.select(*names).unpivot([], names, "col", "value").filter(F.col("value").isNotNull())
-    seg = F.lit(None).cast("int")
-    for k, s in enumerate(segments):
-        seg = F.when((F.col("col") == s.name) & s.holds(F.col("value")), F.lit(k)).otherwise(seg)
-    counted = (
-        long.select(seg.alias("seg"), "value")
-        .filter(F.col("seg").isNotNull())
-        .groupBy("seg", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    parts = cut_lineage(counted.orderBy("seg", "value")).withColumn("p", F.spark_partition_id())
-    totals = parts.groupBy("seg", "p").agg(F.sum("n").alias("n")).orderBy("seg", "p").collect()
-
-    # First rank of each (segment, partition) piece of a column, and the piece that holds a rank.
-    starts: dict[tuple[int, int], int] = {}
-    pieces: dict[str, list[tuple[int, int, int, int]]] = {n: [] for n in names}
-    reached = {k: s.below for k, s in enumerate(segments)}
-    for r in totals:
-        first = reached[r["seg"]]
-        starts[r["seg"], r["p"]] = first
-        pieces[segments[r["seg"]].name].append((first, first + r["n"], r["seg"], r["p"]))
-        reached[r["seg"]] = first + r["n"]
-
-    def piece(name: str, rank: int) -> tuple[int, int] | None:
-        return next(((s, p) for first, end, s, p in pieces[name] if first <= rank < end), None)
-
-    wanted: dict[tuple[str, int], tuple[int, int]] = {}
-    for name in names:
-        for prob in probs:
-            at = (counts[name] - 1) * prob
-            for rank in (math.floor(at), math.ceil(at)):
-                where = piece(name, rank)
-                if where is None:
-                    return None
-                wanted[name, rank] = where
-
-    here = F.lit(False)
-    for s, p in set(wanted.values()):
-        here = here | ((F.col("seg") == s) & (F.col("p") == p))
-    # Each window group lies inside one range partition of the sort.
-    upto = Window.partitionBy("seg", "p").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = parts.filter(here).withColumn("last", F.sum("n").over(upto))
-    hit = F.lit(False)
-    for (_, rank), (s, p) in wanted.items():
-        offset = F.lit(rank - starts[s, p])
-        hit = hit | ((F.col("seg") == s) & (F.col("p") == p) & (F.col("last") > offset) & (F.col("last") - F.col("n") <= offset))
-    rows = running.filter(hit).collect()
-
-    def value_at(name: str, rank: int) -> float:
-        s, p = wanted[name, rank]
-        offset = rank - starts[s, p]
-        return next(r["value"] for r in rows if (r["seg"], r["p"]) == (s, p) and r["last"] - r["n"] <= offset < r["last"])
-
-    result = dict(empty)
-    for name in names:
-        result[name] = []
-        for prob in probs:
-            at = (counts[name] - 1) * prob
-            low, high = value_at(name, math.floor(at)), value_at(name, math.ceil(at))
-            result[name].append(low + (high - low) * (at - math.floor(at)))
+    long = cast.unpivot([], list(names), "name", "value").filter(F.col("value").isNotNull())
+    counted = stage(long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n")), "counted")
+    ends = [F.struct(F.lit(k).alias("k"), F.lit(p).alias("p")) for k, p in enumerate(probs)]
+    asked = counted.groupBy("name").agg(F.sum("n").alias("total")).select("name", "total", F.inline(F.array(*ends)))
+    asked = asked.withColumn("at", (F.col("total") - 1) * F.col("p"))
+    asked = stage(asked.select("name", "k", "at", F.floor("at").alias("low"), F.ceil("at").alias("high")), "asked")
+    wanted = asked.select("name", F.explode(F.array("low", "high")).alias("rank")).distinct()
+    found = stage(at_ranks(counted, wanted), "values")
+    low = found.select("name", F.col("rank").alias("low"), F.col("value").alias("a"))
+    high = found.select("name", F.col("rank").alias("high"), F.col("value").alias("b"))
+    between = asked.join(low, ["name", "low"]).join(high, ["name", "high"])
+    between = between.withColumn("value", F.expr("a + (b - a) * (at - low)"))
+    result: dict[str, list[float | None]] = {n: [None] * len(probs) for n in names}
+    for r in between.select("name", "k", "value").collect():
+        result[r["name"]][r["k"]] = r["value"]
     return result

@@ -48,6 +48,10 @@ def stable_id(c: str) -> str:
     return f"('0x' || substr(md5({c}), 1, 15))::BIGINT"
 
 
+def product_key(code: str, name: str) -> str:
+    return stable_id(f"length({code}) || ':' || {code} || {name}")
+
+
 def ticks(c: str) -> str:
     return f"CAST(round({c} * 10000.0) AS BIGINT)"
 
@@ -211,7 +215,7 @@ part(
     "fact",
     ("lines", "countries"),
     f"""SELECT INVOICE, l.STOCKCODE, QUANTITY, PRICE, CUSTOMER_ID, INVOICE_DATE, INVOICE_TIME, INVOICE_TYPE,
-       {stable_id('c.COUNTRY_RAW')} AS COUNTRY_ID, {stable_id("p.STOCKCODE || '_' || p.DESCRIPTION")} AS PRODUCT_ID, REVENUE
+       {stable_id('c.COUNTRY_RAW')} AS COUNTRY_ID, {product_key("p.STOCKCODE", "p.DESCRIPTION")} AS PRODUCT_ID, REVENUE
 FROM lines l LEFT JOIN countries c ON COUNTRY = COUNTRY_RAW
 LEFT JOIN (SELECT DISTINCT STOCKCODE, DESCRIPTION FROM silver) p
   ON p.STOCKCODE = l.STOCKCODE AND p.DESCRIPTION = l.DESCRIPTION""",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.operators import explore, profiling
@@ -15,6 +18,8 @@ _RAW = ("INVOICE", "STOCKCODE", "DESCRIPTION", "QUANTITY", "PRICE", "CUSTOMER_ID
 _ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 _LINE_NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
+_RAW_BYTES = " + ".join(f"8 * count({c})" if c in ("QUANTITY", "PRICE") else f"coalesce(sum(strlen({c})), 0)" for c in _RAW)
+
 
 def _raw(spark, d):
     return given.raw_sales(spark, d).select(*_RAW)
@@ -49,6 +54,7 @@ def profile_sample(spark, d):
         "raw",
         "SELECT 'Total Entries' AS \"Column\", CAST(count(*) AS VARCHAR) AS \"Non-Null Count\", '' AS \"Null Count\", '' AS \"Dtype\" FROM raw\n"
         f"UNION ALL SELECT 'Total Columns', '{len(_RAW)}', '', ''\n"
+        f"UNION ALL SELECT 'Memory Usage', '', '', printf('%.1f', ({_RAW_BYTES}) / 1048576.0) || ' MB' FROM raw\n"
         + "\n".join(
             f"UNION ALL SELECT '{c}', CAST(count({c}) AS VARCHAR), CAST(count(*) - count({c}) AS VARCHAR), "
             f"'{ {'QUANTITY': 'bigint', 'PRICE': 'double'}.get(c, 'string') }' FROM raw"
@@ -57,8 +63,7 @@ def profile_sample(spark, d):
     ),
 )
 def profile_info(spark, d):
-    """Without the memory row, which is an estimate of the engine."""
-    return profiling.profile_info(_raw(spark, d)).filter(F.col("Column") != "Memory Usage")
+    return profiling.profile_info(_raw(spark, d))
 
 
 def _describe(c: str) -> str:
@@ -182,21 +187,110 @@ def profile_corr_top_negative(spark, d):
     return profiling.profile_corr_top(_numbers(spark, d))[1].withColumn("correlation", F.round("correlation", 6))
 
 
-@query(
-    "profile_all",
-    """SELECT * FROM (VALUES ('Head', 100::BIGINT), ('Tail', 100), ('Sample', 100), ('Info', 8), ('Col_list', 5), ('Describe', 5),
-  ('Missing_rates', 5), ('Fullfill_rates', 5), ('Trim_me', 5), ('Variance', 3), ('Corr_Matrix', 3), ('Corr_Series_Pos', 3),
-  ('Corr_Series_Neg', 3)) v(name, row_count)""",
-)
-def profile_all(spark, d):
-    """Row count of each profile result whose size follows from the table's columns."""
-    results = profiling.profile_all(_orders(spark, d), ["o_orderkey"])
-    rows = []
-    for name, content in results.items():
-        if name in ("Share_value", "Histogram"):
+_ALL_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}
+_ALL_NUMBERS = list(_ALL_TYPES)
+_BYTES = " + ".join(f"sum({'8' if c in _ALL_TYPES else f'strlen({c})'})" for c in _ORDERS)
+
+
+def _cell(result: str, key: str, text: str, number: str, source: str) -> str:
+    return f"SELECT '{result}' AS result, {key} AS key, {text} AS text, CAST({number} AS DOUBLE) AS number FROM {source}"
+
+
+def _all_parts() -> list[str]:
+    line = "concat_ws('|', o_custkey, o_orderstatus, o_orderpriority)"
+    parts = [
+        _cell("Head", "CAST(o_orderkey AS VARCHAR)", line, "o_totalprice", "(SELECT * FROM orders ORDER BY o_orderkey LIMIT 100)"),
+        _cell("Tail", "CAST(o_orderkey AS VARCHAR)", line, "o_totalprice", "(SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 100)"),
+        _cell("Sample", "CAST(o_orderkey AS VARCHAR)", line, "o_totalprice", "(SELECT * FROM orders ORDER BY md5(o_orderkey || '|' || '42') LIMIT 100)"),
+        _cell("Info", "'Total Entries'", "CAST(count(*) AS VARCHAR) || '||'", "NULL", "orders"),
+        _cell("Info", "'Total Columns'", f"'{len(_ORDERS)}||'", "NULL", "(SELECT 1)"),
+        _cell("Info", "'Memory Usage'", f"'||' || printf('%.1f', ({_BYTES}) / 1048576.0) || ' MB'", "NULL", "orders"),
+    ]
+    for k, c in enumerate(_ORDERS):
+        kind = _ALL_TYPES.get(c, "string")
+        parts += [
+            _cell("Info", f"'{c}'", f"count({c}) || '|' || (count(*) - count({c})) || '|{kind}'", "NULL", "orders"),
+            _cell("Col_list", f"'{c}'", "NULL", str(k), "(SELECT 1)"),
+            _cell("Missing_rates", f"'{c}'", "NULL", f"round(CAST(count(*) - count({c}) AS DOUBLE) / count(*) * 100, 2)", "orders"),
+            _cell("Fullfill_rates", f"'{c}'", "NULL", f"round((1 - CAST(count(*) - count({c}) AS DOUBLE) / count(*)) * 100, 2)", "orders"),
+            _cell("Trim_me", f"'{c}'", "NULL", "0" if c in _ALL_TYPES else f"count(*) FILTER ({c} LIKE ' %' OR {c} LIKE '% ')", "orders"),
+            _cell("Describe", f"'{c}:count'", "NULL", f"count({c})", "orders"),
+            _cell(
+                "Share_value", f"'{c}:' || value" if c != "o_totalprice" else f"'{c}:' || printf('%.6f', value)", "NULL", "round(share, 6)",
+                f"(SELECT {c} AS value, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS share FROM orders GROUP BY {c}"
+                f" ORDER BY count(*) DESC, {_as_text(c)} LIMIT 20)",
+            ),
+        ]
+        if c not in _ALL_TYPES:
+            counts = f"(SELECT {c}, count(*) AS n FROM orders GROUP BY {c})"
+            parts += [
+                _cell("Describe", f"'{c}:unique'", "NULL", "count(*)", counts),
+                _cell("Describe", f"'{c}:top'", f"arg_min({c}, (-n, {c}))", "max(n)", counts),
+            ]
             continue
-        rows.append((name, len(content) if isinstance(content, list) else content.count()))
-    return spark.createDataFrame(rows, "name STRING, row_count BIGINT")
+        for name, value in {
+            "mean": f"avg({c})", "std": f"stddev_samp({c})", "min": f"min({c})", "p25": f"quantile_cont({c}, 0.25)",
+            "p50": f"quantile_cont({c}, 0.5)", "p75": f"quantile_cont({c}, 0.75)", "max": f"max({c})",
+        }.items():
+            parts.append(_cell("Describe", f"'{c}:{name}'", "NULL", f"round(CAST({value} AS DOUBLE), 4)", "orders"))
+        binned = f"""(SELECT CAST(least(floor((v - lo) * 10 / (hi - lo)) + 1, 10) AS INTEGER) AS bin, count(*) AS n FROM (SELECT CAST({c} AS DOUBLE) AS v,
+ CAST(min({c}) OVER () AS DOUBLE) AS lo, CAST(max({c}) OVER () AS DOUBLE) AS hi FROM orders) GROUP BY 1)"""
+        parts += [
+            _cell("Variance", f"'{c}'", "NULL", f"round(skewness({c}), 5)", "orders"),
+            _cell("Histogram", f"'{c}:' || bin", "NULL", "n", binned),
+        ]
+        for other in _ALL_NUMBERS:
+            parts.append(_cell("Corr_Matrix", f"'{c}:{other}'", "NULL", "1" if c == other else f"round(corr({c}, {other}), 6)", "orders"))
+    pairs = [(b, a) for i, a in enumerate(_ALL_NUMBERS) for b in _ALL_NUMBERS[i + 1 :]]
+    for result in ("Corr_Series_Pos", "Corr_Series_Neg"):
+        parts += [_cell(result, f"'{b}:{a}'", "NULL", f"round(corr({a}, {b}), 6)", "orders") for b, a in pairs]
+    return parts
+
+
+def _as_text(c: str) -> str:
+    """Order of a value's text among equals; whole numbers have the same text in both engines."""
+    return f"CAST({c} AS VARCHAR)"
+
+
+@query("profile_all", "\nUNION ALL ".join(_all_parts()))
+def profile_all(spark, d):
+    """The rows of all fifteen results, as (result, key, text, number)."""
+    found = profiling.profile_all(_orders(spark, d), ["o_orderkey"])
+
+    def rows(name, df, key, text=None, number=None):
+        return df.select(
+            F.lit(name).alias("result"), key.alias("key"), (F.lit(None) if text is None else text).cast("string").alias("text"),
+            (F.lit(None) if number is None else number).cast("double").alias("number"),
+        )
+
+    col, line = F.col("col"), F.concat_ws("|", "o_custkey", "o_orderstatus", "o_orderpriority")
+    parts = [rows(n, found[n], F.col("o_orderkey").cast("string"), line, F.col("o_totalprice")) for n in ("Head", "Tail", "Sample")]
+    parts.append(rows("Info", found["Info"], F.col("Column"), F.concat_ws("|", "Non-Null Count", "Null Count", "Dtype")))
+    names = spark.createDataFrame(list(enumerate(found["Col_list"])), "k INT, col STRING")
+    parts.append(rows("Col_list", names, col, None, F.col("k")))
+    parts += [
+        rows("Missing_rates", found["Missing_rates"], col, None, F.col("null_rate")),
+        rows("Fullfill_rates", found["Fullfill_rates"], col, None, F.col("fill_rate")),
+        rows("Trim_me", found["Trim_me"], col, None, F.col("needs_trim")),
+        rows("Variance", found["Variance"], col, None, F.round("skewness", 5)),
+        rows("Histogram", found["Histogram"], F.concat_ws(":", "col", "bin"), None, F.col("n")),
+    ]
+    price = F.format_string("%.6f", F.col("value").cast("double"))
+    shown = F.when(col == "o_totalprice", price).otherwise(F.col("value"))
+    parts.append(rows("Share_value", found["Share_value"], F.concat_ws(":", col, shown), None, F.round("share", 6)))
+    table = stage(found["Describe"], "describe")
+    parts.append(rows("Describe", table, F.concat(col, F.lit(":count")), None, F.col("count")))
+    texts = table.filter("top IS NOT NULL")
+    parts.append(rows("Describe", texts, F.concat(col, F.lit(":unique")), None, F.col("unique")))
+    parts.append(rows("Describe", texts, F.concat(col, F.lit(":top")), F.col("top"), F.col("freq")))
+    stats = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    long = table.filter("mean IS NOT NULL").unpivot(["col"], stats, "k", "v")
+    parts.append(rows("Describe", long, F.concat_ws(":", "col", "k"), None, F.round("v", 4)))
+    matrix = found["Corr_Matrix"].unpivot(["feature"], _ALL_NUMBERS, "k", "v")
+    parts.append(rows("Corr_Matrix", matrix, F.concat_ws(":", "feature", "k"), None, F.round("v", 6)))
+    for name in ("Corr_Series_Pos", "Corr_Series_Neg"):
+        parts.append(rows(name, found[name], F.concat_ws(":", "feature_1", "feature_2"), None, F.round("correlation", 6)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 _RETURN = "QUANTITY < 0 OR regexp_matches(coalesce(INVOICE, ''), '[A-Za-z]')"

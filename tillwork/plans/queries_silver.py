@@ -11,7 +11,7 @@ from tillwork.plans import views
 from tillwork.plans.oracle_parts import bare, key, offset, product_parts, title, with_parts, words
 from tillwork.plans.registry import query
 from tillwork.session import scratch_path, stage
-from tillwork.sources.warehouse import Warehouse
+from tillwork.sources.warehouse import BATCH, Warehouse
 
 
 @query(
@@ -102,6 +102,30 @@ def silver_sales(spark, d):
     return wh.read(steps.load_silver_sales(wh))
 
 
+@query("silver_sales_late", with_parts("silver", "SELECT * FROM silver"))
+def silver_sales_late(spark, d):
+    """What counts is arrival: a second landing brings older lines, equal times, lines already stored and an old file."""
+    from tillwork.plans import steps
+
+    wh, landing = Warehouse(spark, scratch_path(spark, "wh")), scratch_path(spark, "landing")
+    text = stage(given.text_sales(spark, d), "text-sales")
+    day, number = F.col("INVOICEDATE"), F.regexp_extract("INVOICE", "[0-9]+", 0).cast("long")
+    unreadable = text.filter(number % 50 == 1).withColumn("INVOICEDATE", F.lit("2010-13-99"))
+    given.land(text.filter((day >= "1997-01-01") & (number % 3 != 0)), landing, "online retail 1")
+    steps.load_bronze(wh, landing)
+    steps.load_silver_sales(wh)
+    given.land(text.filter(day < "1997-06-01"), landing, "online retail 2")  # older, and stored ones of half a year
+    given.land(text.filter((day >= "1997-06-01") & (number % 3 == 0)), landing, "online retail 3", days_old=3000)
+    given.land(unreadable, landing, "online retail 4")
+    steps.load_bronze(wh, landing)
+    steps.load_silver_sales(wh)
+    given.land(unreadable.withColumn("INVOICEDATE", F.lit("?")), landing, "online retail 5")  # rejects only
+    steps.load_bronze(wh, landing)
+    if steps.load_silver_sales(wh) is not None or steps.rejected_sales(wh).select(BATCH).distinct().count() != 2:
+        raise AssertionError("rejects are stored by arrival, and are no sales")
+    return wh.read("SILVER_SALES")
+
+
 @query(
     "silver_rfm_mapping",
     """SELECT DISTINCT CAST(111 + c_custkey % 5 AS INTEGER) AS RFM_SCORE, c_mktsegment AS RFM_SEGMENT, 'x' AS RFM_NAME FROM customer""",
@@ -314,11 +338,11 @@ def exchange_rate(spark, d):
     return steps.rate_table(wh)
 
 
-_KEEP = [f"{a}_{b}" for a in ("RED", "BLUE", "HOT") for b in ("RING", "BOLT", "PLATE", "ROD", "ANVIL", "WIDGET", "GEAR", "GIZMO")]
-_REMOVE = ["RED_RING", "RED_BOLT", "HOT_GEAR", "BLUE_ROD", "RED_WIDGET", "HOT_PLATE"]
+KEEP = [f"{a}_{b}" for a in ("RED", "BLUE", "HOT") for b in ("RING", "BOLT", "PLATE", "ROD", "ANVIL", "WIDGET", "GEAR", "GIZMO")]
+REMOVE = ["RED_RING", "RED_BOLT", "HOT_GEAR", "BLUE_ROD", "RED_WIDGET", "HOT_PLATE"]
 _FIXED = product_parts("fixed", fixed.PRODUCTS_TO_KEEP, fixed.PRODUCTS_TO_REMOVE)
-_LISTS = product_parts("lists", _KEEP, _REMOVE)
-_REPEATED = product_parts("repeated", _KEEP, _REMOVE, 2)
+LISTS = product_parts("lists", KEEP, REMOVE)
+_REPEATED = product_parts("repeated", KEEP, REMOVE, 2)
 
 
 def _catalogue(spark, d):
@@ -342,13 +366,13 @@ def fill_product_name(spark, d):
     with_parts(
         "named1",
         f"""SELECT STOCKCODE, DESCRIPTION_RAW,
-       CASE WHEN PRODUCT_NAME IN ({', '.join(repr(k) for k in _KEEP)}) AND PRODUCT_NAME NOT IN ({', '.join(repr(k) for k in _REMOVE)})
+       CASE WHEN PRODUCT_NAME IN ({', '.join(repr(k) for k in KEEP)}) AND PRODUCT_NAME NOT IN ({', '.join(repr(k) for k in REMOVE)})
             THEN PRODUCT_NAME END AS PRODUCT_NAME FROM named1""",
     ),
 )
 def null_out_names(spark, d):
     named = fill_product_name(spark, d)
-    return products.null_out_names(named, "PRODUCT_NAME", keep=_KEEP, remove=_REMOVE)
+    return products.null_out_names(named, "PRODUCT_NAME", keep=KEEP, remove=REMOVE)
 
 
 @query("code_count_per_name", with_parts("name_codes", "SELECT * FROM name_codes"))
@@ -362,14 +386,14 @@ def product_mapping(spark, d):
     return products.product_mapping(views.silver(spark, d))
 
 
-@query("product_mapping_lists", with_parts(_LISTS, f"SELECT * FROM {_LISTS}"))
+@query("product_mapping_lists", with_parts(LISTS, f"SELECT * FROM {LISTS}"))
 def product_mapping_lists(spark, d):
-    return products.product_mapping(views.silver(spark, d), _KEEP, _REMOVE)
+    return products.product_mapping(views.silver(spark, d), KEEP, REMOVE)
 
 
 @query("product_mapping_repeated", with_parts(_REPEATED, f"SELECT * FROM {_REPEATED}"))
 def product_mapping_repeated(spark, d):
-    return products.product_mapping(views.silver(spark, d), _KEEP, _REMOVE, min_codes=2)
+    return products.product_mapping(views.silver(spark, d), KEEP, REMOVE, min_codes=2)
 
 
 @query("name_length", with_parts("named1", "SELECT STOCKCODE, PRODUCT_NAME, CAST(length(PRODUCT_NAME) AS INTEGER) AS NAME_LENGTH FROM named1"))

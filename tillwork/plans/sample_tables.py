@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwork.sources.storage import set_age
+
 CURRENCIES = ("GBP", "EUR", "USD")
 ZONES = ("Europe/London", "America/New_York", "Asia/Kolkata", "Mars/Base")
 
@@ -48,6 +50,15 @@ def text_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
 
 
+def land(df: DataFrame, folder: str, name: str, days_old: int = 0) -> None:
+    """Write a sheet of CSV parts into a landing folder, blanks kept; its files may look older than they are."""
+    path = f"{folder}/{name}.csv"
+    plain = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+    df.write.options(**plain).csv(path)
+    if days_old:
+        set_age(df.sparkSession, path, days_old)
+
+
 def country_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NAME, CONTINENT, CAPITAL, ISO3, CURRENCY, ZONE per nation."""
     key = F.col("n_nationkey")

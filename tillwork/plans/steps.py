@@ -6,9 +6,11 @@ without new input changes nothing.
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillwork import schemas
@@ -24,34 +26,60 @@ from tillwork.operators import (
     rfm,
     star,
 )
-from tillwork.session import cut_lineage
+from tillwork.session import cut_lineage, stage
 from tillwork.sources import files
 from tillwork.sources.reports import export_reports
-from tillwork.sources.storage import modified
-from tillwork.sources.warehouse import BATCH, Warehouse, conform
+from tillwork.sources.storage import children, modified
+from tillwork.sources.warehouse import BATCH, Warehouse, batch_key, conform
 
 BRONZE_SALES = "BRONZE_ONLINE_RETAIL"
-EVENT_DATE = "EVENT_DATE"
+BRONZE_FILES = "bronze_csv_files"
+EVENT_DATE, LINE = "EVENT_DATE", "LINE"
 
 
-def load_bronze(wh: Warehouse, landing: str, fmt: str | None = None) -> list[str]:
-    """Each CSV of the landing folder that changed since the last load becomes a Bronze table.
+def load_bronze(wh: Warehouse, landing: str, fmt: str | None = None, quoted_breaks: bool = False) -> list[str]:
+    """The files of the landing folder that have not been loaded become one batch of their sheet's Bronze table.
 
-    All columns stay text. The parsed date is stored beside the raw one for the increments to prune by.
+    A file is new if the ledger lacks its path, time and size, whatever its time is; a changed file replaces its
+    former rows. All columns stay text; the parsed date is stored beside the raw one for the increments to prune by.
+    Rows with a wrong number of fields go to REJECTED_ tables. The list of new files is what the reader itself holds.
     """
-    last = wh.get_watermark("bronze_csv_files") or ""
-    names, newest = [], last
-    for table, (path, df) in files.csv_scan(wh.spark, landing).items():
-        changed = modified(wh.spark, path) or ""
-        if changed <= last:
-            continue
-        names.append(wh.overwrite("BRONZE", table, with_event_date(df, fmt)))
-        newest = max(newest, changed)
-    if names:
-        wh.set_watermark("bronze_csv_files", newest)
+    ledger = wh.seen_files(BRONZE_FILES)
+    known = ["file_path", "modified", "size"]
+    arrived = incremental.incr_key_antijoin(files.landed_files(wh.spark, landing), ledger, known)
+    rows = arrived.filter(F.lower("entry").endswith(".csv")).collect()
+    tables = files.sheets(children(wh.spark, landing))
+    if not rows:
+        return []
+    load = f"{int(ledger.agg(F.max('load')).first()[0] or 0) + 1:012d}"
+    names = []
+    for table, entry in tables.items():
+        paths = sorted(r.path for r in rows if r.entry == entry)
+        if paths:
+            sheet = files.read_csv_checked(wh.spark, paths, quoted_breaks)
+            broken = F.col(files.CORRUPT).isNotNull()
+            noted = Observation(f"broken rows of {table}")
+            good = sheet.observe(noted, F.count_if(broken).alias("n")).filter(~broken).drop(files.CORRUPT)
+            names.append(wh.write_batch("BRONZE", table, with_event_date(good, fmt), load))
+            if noted.get["n"]:
+                wh.write_batch("REJECTED", table, sheet.filter(broken), load)
+    seen = [(BRONZE_FILES, r.file_path, r.modified, r.size, load) for r in rows]
+    wh.note_files(wh.spark.createDataFrame(seen, schemas.FILES))
     return names
 
 
+def bronze_lines(wh: Warehouse, name: str) -> DataFrame:
+    """Rows of a Bronze table with their batch, without those of files that were loaded again later."""
+    df = wh.read_batches(name)
+    if files.SOURCE_FILE not in df.columns:
+        return df
+    ledger = wh.seen_files(BRONZE_FILES)
+    last = ledger.groupBy("file_path").agg(F.max("load").alias("last"))
+    former = ledger.join(last, "file_path").filter("load < last")
+    former = former.select(F.col("file_path").alias(files.SOURCE_FILE), F.concat(F.lit(batch_key("")), "load").alias(BATCH))
+    return df.join(former, [files.SOURCE_FILE, BATCH], "left_anti")
+
+
 def with_event_date(df: DataFrame, fmt: str | None = None) -> DataFrame:
     if "INVOICEDATE" not in df.columns:
         return df
@@ -68,31 +96,71 @@ def load_bronze_mapping(wh: Warehouse, path: str) -> str | None:
     return name
 
 
-def new_sales(raw: DataFrame, last: str | None, fmt: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Raw lines after the mark, cleaned, and the raw lines whose time cannot be read."""
-    date = EVENT_DATE if EVENT_DATE in raw.columns else None
-    timed = raw.withColumn("INVOICEDATE", cleaning.parse_timestamp(F.col("INVOICEDATE"), fmt))
-    fresh = incremental.incr_timestamp_filter(timed.filter(F.col("INVOICEDATE").isNotNull()), "INVOICEDATE", last, date)
-    unreadable = cleaning.parse_timestamp(F.col("INVOICEDATE"), fmt).isNull()
-    if date is not None:
-        unreadable = F.col(date).isNull() & unreadable
-    return fresh, raw.filter(unreadable)
+def _arrived_sales(wh: Warehouse, seen: dict[str, str]) -> tuple[DataFrame | None, dict[str, str]]:
+    """Raw lines of the Bronze sales batches after each table's mark, and the marks after them.
+
+    A table without batches has arrived whole if it was written since.
+    """
+    parts, marks = [], dict(seen)
+    for name in wh.tables(BRONZE_SALES):
+        df = bronze_lines(wh, name)
+        if BATCH in df.columns:
+            last = max(wh.batches(name))
+            fresh = df.filter(F.col(BATCH) > F.lit(seen.get(name, "")))
+        else:
+            last, fresh = modified(wh.spark, wh.path(name)) or "", df
+        if last != seen.get(name):
+            marks[name] = last
+            parts.append(fresh.drop(BATCH, files.SOURCE_FILE))
+    if not parts:
+        return None, marks
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), marks
+
+
+def keyed_lines(raw: DataFrame, fmt: str | None = None) -> DataFrame:
+    """Raw lines with their date (empty if unreadable) and the key of the whole raw line."""
+    columns = [c for c in raw.columns if c != EVENT_DATE]
+    dated = raw if EVENT_DATE in raw.columns else with_event_date(raw, fmt)
+    return dated.withColumns({EVENT_DATE: F.coalesce(EVENT_DATE, F.lit("")), LINE: incremental.line_key(columns)})
 
 
 def load_silver_sales(wh: Warehouse, fmt: str | None = None) -> str | None:
-    """Clean the Bronze lines after the mark into a new batch of SILVER_SALES."""
-    last = wh.get_watermark("silver_sales")
-    raw = wh.prefix_union_scan(BRONZE_SALES)
-    fresh, rejects = new_sales(raw, last, fmt)
-    top = fresh.agg(F.max("INVOICEDATE").cast("string")).first()[0]
-    if top is None:
+    """Clean the Bronze lines that arrived since the last load into a new batch of SILVER_SALES.
+
+    What counts is arrival, not the time of the sale: late lines, equal times and lines without a readable time are
+    taken. A line that was stored before, as a whole raw line, is not stored again; to tell, only the keys of the
+    months touched are read. The wide lines are read once and staged.
+    """
+    state = json.loads(wh.get_watermark("silver_sales") or "{}")
+    raw, seen = _arrived_sales(wh, state.get("seen", {}))
+    if raw is None:
         return None
-    name = wh.write_batch("SILVER", "SALES", cleaning.clean_sales(fresh), last or "first", schemas.SILVER_SALES)
-    wh.overwrite("SILVER", "SALES_REJECTS", cleaning.dedupe_rows(rejects))
-    wh.set_watermark("silver_sales", top)
+    batch = f"{state.get('batch', 0) + 1:012d}"
+    lines = keyed_lines(raw, fmt)
+    if wh.exists("SILVER_SALES_LINES"):
+        stored = wh.read_batches("SILVER_SALES_LINES").filter(F.col(BATCH) < F.lit(batch_key(batch)))
+        lines = incremental.unseen_lines(lines, stored, EVENT_DATE, LINE)
+    else:
+        lines = lines.dropDuplicates([EVENT_DATE, LINE])
+    lines = stage(lines.sortWithinPartitions(EVENT_DATE), "arrived")
+    name = None
+    rejects = lines.filter(F.col(EVENT_DATE) == "").drop(EVENT_DATE, LINE)
+    if not rejects.isEmpty():
+        wh.write_batch("SILVER", "SALES_REJECTS", rejects, batch)
+    if not lines.isEmpty():
+        fresh = lines.filter(F.col(EVENT_DATE) != "").drop(EVENT_DATE, LINE)
+        if not fresh.isEmpty():
+            name = wh.write_batch("SILVER", "SALES", cleaning.clean_lines(fresh, fmt), batch, schemas.SILVER_SALES)
+        wh.write_batch("SILVER", "SALES_LINES", lines, batch, schemas.SALES_LINES)
+    wh.set_watermark("silver_sales", json.dumps({"batch": int(batch), "seen": seen}, sort_keys=True), "state")
     return name
 
 
+def rejected_sales(wh: Warehouse) -> DataFrame:
+    """All raw lines whose time cannot be read, with their batch; columns of all loads."""
+    return wh.spark.read.option("mergeSchema", True).parquet(wh.path("SILVER_SALES_REJECTS"))
+
+
 def load_silver_mapping(wh: Warehouse) -> str | None:
     """Copy the mapping when its content fingerprint changed."""
     source = wh.read("BRONZE_RFM_MAPPING")
@@ -118,45 +186,82 @@ def _news(fresh: DataFrame, stored: DataFrame | None, keys: list[str], found: st
     return fresh.filter(F.col(found).isNotNull()).unionByName(incremental.incr_key_antijoin(failed, stored, keys))
 
 
-def _next_batch(wh: Warehouse, step: str) -> str:
-    """Sortable number of the batch a step writes next; the same until its mark moves."""
-    last = wh.get_watermark(step)
-    return f"{int(last or 0) + 1:012d}"
+def _state(wh: Warehouse, step: str) -> dict:
+    """What a step has done: the number of its last batch and the last Silver sales batch it has read."""
+    return json.loads(wh.get_watermark(step) or '{"batch": 0, "sales": ""}')
+
+
+def _set_state(wh: Warehouse, step: str, batch: int, sales: str) -> None:
+    wh.set_watermark(step, json.dumps({"batch": batch, "sales": sales}, sort_keys=True), "state")
+
+
+def _sales_after(wh: Warehouse, mark: str) -> tuple[DataFrame, str]:
+    """Silver sales of the batches after the mark, a partition filter, and the last batch. Without batches, all sales."""
+    sales, batches = wh.read_batches("SILVER_SALES"), wh.batches("SILVER_SALES")
+    return (sales.filter(F.col(BATCH) > F.lit(mark)), batches[-1]) if batches else (sales, "")
+
+
+def _batch_number(n: int) -> str:
+    return f"{n:012d}"
 
 
 def load_country(wh: Warehouse, reference: DataFrame, at: datetime | None = None) -> str | None:
-    """Metadata of countries that have none yet; names whose lookup failed are tried again."""
-    current = wh.read("SILVER_SALES", "COUNTRY").distinct().select(F.col("COUNTRY").alias("COUNTRY_RAW"))
+    """Metadata of the countries of new sales batches that have none yet; names whose lookup failed are tried again."""
+    state = _state(wh, "silver_country_mapping")
+    sales, last = _sales_after(wh, state["sales"])
+    current = sales.select(F.col("COUNTRY").alias("COUNTRY_RAW")).distinct()
     stored = country_table(wh) if wh.exists("SILVER_COUNTRY_METADATA") else None
     if stored is not None:
-        current = incremental.incr_key_antijoin(current, stored.filter(F.col("ISO3").isNotNull()), ["COUNTRY_RAW"])
-    fresh = cut_lineage(country.new_country_metadata(current, reference, at))
+        current = incremental.incr_key_antijoin(current, stored, ["COUNTRY_RAW"])
+        current = current.unionByName(stored.filter(F.col("ISO3").isNull()).select("COUNTRY_RAW"))
+    fresh = stage(country.new_country_metadata(current, reference, at), "countries")
     fresh = _news(fresh, stored, ["COUNTRY_RAW"], "ISO3")
-    if fresh.isEmpty():
-        return None
-    batch = _next_batch(wh, "silver_country_mapping")
-    name = wh.write_batch("SILVER", "COUNTRY_METADATA", fresh, batch, schemas.COUNTRY_METADATA)
-    wh.set_watermark("silver_country_mapping", batch, "id")
+    name, batch = None, state["batch"]
+    if not fresh.isEmpty():
+        batch += 1
+        name = wh.write_batch("SILVER", "COUNTRY_METADATA", fresh, _batch_number(batch), schemas.COUNTRY_METADATA)
+    if (batch, last) != (state["batch"], state["sales"]):
+        _set_state(wh, "silver_country_mapping", batch, last)
+        wh.fold("SILVER", "COUNTRY_METADATA", _latest("COUNTRY_RAW"))
     return name
 
 
+def _latest(*keys: str):
+    return lambda df: incremental.latest_per_key(df, keys, BATCH)
+
+
 def country_table(wh: Warehouse) -> DataFrame:
     return stored_latest(wh, "SILVER_COUNTRY_METADATA", ["COUNTRY_RAW"])
 
 
 def load_rates(wh: Warehouse, first: DataFrame, second: DataFrame) -> str | None:
-    """Rates of (date, currency) pairs that have none yet; missing rates are tried again."""
-    sales = wh.read("SILVER_SALES", "COUNTRY", "INVOICE_DATE")
+    """Rates of (date, currency) pairs that have none yet; missing rates are tried again.
+
+    The sales are reduced, batch by batch, to a table of countries and days, which the calendar bounds. All else reads
+    that table, so a country that gets its currency late has its old days looked up without a look at old sales.
+    """
+    state = _state(wh, "silver_exchange_rate")
+    sales, last = _sales_after(wh, state["sales"])
+    keys, batch = ["COUNTRY", "INVOICE_DATE"], state["batch"] + 1
+    days = sales.select(*keys).distinct()
+    if wh.exists("SILVER_COUNTRY_DAYS"):
+        before = wh.read_batches("SILVER_COUNTRY_DAYS").filter(F.col(BATCH) < F.lit(batch_key(_batch_number(batch))))
+        days = incremental.incr_key_antijoin(days, before, keys)
+    days = stage(days, "country-days")
+    if not days.isEmpty():
+        wh.write_batch("SILVER", "COUNTRY_DAYS", days, _batch_number(batch))
     stored = rate_table(wh) if wh.exists("SILVER_EXCHANGE_RATE") else None
     known = None if stored is None else stored.filter(F.col("EXCHANGE_RATE_TO_GBP").isNotNull())
-    pairs = fxrates.currency_date_pairs(sales, country_table(wh), known)
-    fresh = cut_lineage(fxrates.fx_rate_lookup(pairs, first, second))
+    pairs = fxrates.currency_date_pairs(wh.read("SILVER_COUNTRY_DAYS"), country_table(wh), known)
+    fresh = stage(fxrates.fx_rate_lookup(pairs, first, second), "rates")
     fresh = _news(fresh, stored, list(fxrates.PAIR), "EXCHANGE_RATE_TO_GBP")
-    if fresh.isEmpty():
-        return None
-    batch = _next_batch(wh, "silver_exchange_rate")
-    name = wh.write_batch("SILVER", "EXCHANGE_RATE", fresh, batch, schemas.EXCHANGE_RATE)
-    wh.set_watermark("silver_exchange_rate", batch, "id")
+    name = None
+    if not fresh.isEmpty():
+        name = wh.write_batch("SILVER", "EXCHANGE_RATE", fresh, _batch_number(batch), schemas.EXCHANGE_RATE)
+    if name or last != state["sales"]:
+        _set_state(wh, "silver_exchange_rate", batch, last)
+        wh.fold("SILVER", "EXCHANGE_RATE", _latest(*fxrates.PAIR))
+        wh.fold("SILVER", "COUNTRY_DAYS", _latest(*keys))
     return name
 
 
@@ -165,17 +270,37 @@ def rate_table(wh: Warehouse) -> DataFrame:
 
 
 def load_products(wh: Warehouse, **options) -> str | None:
-    """Rebuild the product names when sales carry a stock code that has no mapping."""
-    sales = wh.read("SILVER_SALES", "STOCKCODE", "DESCRIPTION")
+    """Resolve the names of the codes for which new sales batches brought a raw name that has no mapping.
+
+    Lines per (code, raw name) are kept as a table that each load adds its new batches to. All names of a touched
+    code are voted on again, from all its lines; other codes stay as they are.
+    """
+    state = _state(wh, "silver_product_mapping")
+    sales, last = _sales_after(wh, state["sales"])
+    if last and last == state["sales"]:
+        return None
+    pair, batch = ["STOCKCODE", "DESCRIPTION_RAW"], state["batch"] + 1
+    number = _batch_number(batch)
+    counted = stage(products.count_names(sales), "names")
+    if not last:  # sales without batches are counted whole each time
+        wh.overwrite("SILVER", "PRODUCT_COUNTS", counted.withColumn(BATCH, F.lit(batch_key(number))), by=BATCH)
+    elif not counted.isEmpty():
+        wh.write_batch("SILVER", "PRODUCT_COUNTS", counted, number)
+    fresh = counted.select(*pair)
     if wh.exists("SILVER_PRODUCT_MAPPING"):
-        codes = sales.select("STOCKCODE").distinct()
-        known = wh.read("SILVER_PRODUCT_MAPPING", "STOCKCODE")
-        if incremental.incr_key_antijoin(codes, known, ["STOCKCODE"]).isEmpty():
-            return None
-    batch = _next_batch(wh, "silver_product_mapping")
-    mapping = products.product_mapping(sales, **options)
-    name = wh.write_batch("SILVER", "PRODUCT_MAPPING", mapping, batch, schemas.PRODUCT_MAPPING)
-    wh.set_watermark("silver_product_mapping", batch, "id")
+        before = wh.read_batches("SILVER_PRODUCT_MAPPING").filter(F.col(BATCH) < F.lit(batch_key(number)))
+        fresh = incremental.incr_key_antijoin(fresh, before, pair)
+    codes = stage(fresh.select(F.col("STOCKCODE").alias("_code")).distinct(), "touched-codes")
+    name = None
+    if not codes.isEmpty():
+        all_lines = wh.read("SILVER_PRODUCT_COUNTS").join(codes, F.col("STOCKCODE").eqNullSafe(F.col("_code")), "left_semi")
+        all_lines = all_lines.groupBy(*pair).agg(F.sum("LINES").alias("LINES"))
+        mapping = products.resolve_names(all_lines, **options)
+        name = wh.write_batch("SILVER", "PRODUCT_MAPPING", mapping, number, schemas.PRODUCT_MAPPING)
+    if name or last:
+        _set_state(wh, "silver_product_mapping", batch, last)
+        wh.fold("SILVER", "PRODUCT_MAPPING", _latest(*pair))
+        wh.fold("SILVER", "PRODUCT_COUNTS", lambda df: df.groupBy(*pair).agg(F.sum("LINES").alias("LINES")))
     return name
 
 
@@ -190,15 +315,16 @@ def _gate(wh: Warehouse, step: str, df: DataFrame) -> str | None:
     return None if wh.get_watermark(step) == mark else mark
 
 
-def load_fact(wh: Warehouse, countries: DataFrame, product_names: DataFrame) -> str | None:
-    """Build the fact batches that are missing, incomplete, or have lines without a key.
+def load_fact(wh: Warehouse, countries: DataFrame, product_names: DataFrame, recheck: bool = True) -> str | None:
+    """Build the fact batches that are missing or incomplete and, on `recheck`, those that have lines without a key.
 
-    Keys are a function of the line, so a finished batch can only change where a key was missing.
+    Keys are a function of the line, so a finished batch can only change where a key was missing, and only after a
+    dimension changed.
     """
     sales = wh.read_batches("SILVER_SALES")
     source, done = wh.batch_counts("SILVER_SALES"), wh.batch_counts("GOLD_FACT_SALES")
     stale = {b for b, n in source.items() if done.get(b) != n}
-    if done:
+    if done and recheck:
         keyless = F.col("COUNTRY_ID").isNull() | F.col("PRODUCT_ID").isNull()
         stale |= {r[0] for r in wh.read_batches("GOLD_FACT_SALES").filter(keyless).select(BATCH).distinct().collect()}
     if not stale:
@@ -208,23 +334,51 @@ def load_fact(wh: Warehouse, countries: DataFrame, product_names: DataFrame) ->
     return wh.write_batches("GOLD", "FACT_SALES", conform(fact, f"{schemas.FACT_SALES}, {BATCH} STRING"))
 
 
+#: The Silver tables that each Gold table is made from.
+GOLD_SOURCES = {
+    "GOLD_DIM_COUNTRY": ("SILVER_COUNTRY_METADATA",),
+    "GOLD_DIM_PRODUCT": ("SILVER_PRODUCT_MAPPING",),
+    "GOLD_DIM_EXCHANGE_RATE": ("SILVER_EXCHANGE_RATE",),
+    "GOLD_DIM_RFM_MAPPING": ("SILVER_RFM_MAPPING",),
+    "GOLD_FACT_SALES": ("SILVER_SALES", "SILVER_COUNTRY_METADATA", "SILVER_PRODUCT_MAPPING"),
+}
+
+
+def source_mark(wh: Warehouse, name: str) -> str:
+    """Changes whenever a table does: its last batch and when that was written."""
+    batches = wh.batches(name)
+    folder = f"{wh.current(name)}/{BATCH}={batches[-1]}" if batches else wh.current(name)
+    return f"{batches[-1] if batches else ''}@{modified(wh.spark, folder)}"
+
+
 def load_gold(wh: Warehouse) -> list[str]:
-    """The sales fact and its four dimensions."""
-    mark = _gate(wh, "gold_layer", wh.read("SILVER_SALES"))
-    if mark is None:
-        return []
-    countries, product_names = country_table(wh), product_table(wh)
-    names = [
-        wh.overwrite("GOLD", "DIM_COUNTRY", star.dim_country(countries), schemas.DIM_COUNTRY),
-        wh.overwrite("GOLD", "DIM_PRODUCT", star.dim_product(product_names), schemas.DIM_PRODUCT),
-        wh.overwrite("GOLD", "DIM_EXCHANGE_RATE", star.dim_exchange_rate(rate_table(wh)), schemas.EXCHANGE_RATE),
-    ]
-    if load_fact(wh, countries, product_names):
-        names.append("GOLD_FACT_SALES")
-    if wh.exists("SILVER_RFM_MAPPING"):
-        mapping = star.dim_rfm_mapping(wh.read("SILVER_RFM_MAPPING"))
-        names.append(wh.overwrite("GOLD", "DIM_RFM_MAPPING", mapping, schemas.RFM_MAPPING))
-    wh.set_watermark("gold_layer", mark)
+    """The sales fact and its four dimensions, each rebuilt when one of the tables it is made from has changed.
+
+    The marks of the inputs are stored per Gold table, so a late rate or a new mapping rebuilds its dimension alone.
+    """
+    seen = json.loads(wh.get_watermark("gold_layer") or "{}")
+    present = {n for sources in GOLD_SOURCES.values() for n in sources if wh.exists(n)}
+    marks = {n: source_mark(wh, n) for n in present}
+    now = {g: {n: marks.get(n) for n in sources} for g, sources in GOLD_SOURCES.items()}
+    due = [g for g, sources in GOLD_SOURCES.items() if present.issuperset(sources) and seen.get(g) != now[g]]
+    names = []
+    for gold in due:
+        table = gold.removeprefix("GOLD_")
+        if gold == "GOLD_DIM_COUNTRY":
+            made = wh.overwrite("GOLD", table, star.dim_country(country_table(wh)), schemas.DIM_COUNTRY)
+        elif gold == "GOLD_DIM_PRODUCT":
+            made = wh.overwrite("GOLD", table, star.dim_product(product_table(wh)), schemas.DIM_PRODUCT)
+        elif gold == "GOLD_DIM_EXCHANGE_RATE":
+            made = wh.overwrite("GOLD", table, star.dim_exchange_rate(rate_table(wh)), schemas.EXCHANGE_RATE)
+        elif gold == "GOLD_DIM_RFM_MAPPING":
+            made = wh.overwrite("GOLD", table, star.dim_rfm_mapping(wh.read("SILVER_RFM_MAPPING")), schemas.RFM_MAPPING)
+        else:
+            before = seen.get(gold, {})
+            recheck = any(before.get(n) != marks[n] for n in GOLD_SOURCES[gold][1:])
+            made = load_fact(wh, country_table(wh), product_table(wh), recheck)
+        names += [made] if made else []
+    if due:
+        wh.set_watermark("gold_layer", json.dumps(seen | {g: now[g] for g in due}, sort_keys=True), "marks")
     return names
 
 

@@ -45,6 +45,11 @@ CLTV_MODEL_RESULTS = "MODEL STRING, R2 DOUBLE, MAE DOUBLE, RMSE DOUBLE, MAPE DOU
 WATERMARKS = "table_name STRING, last_value STRING, watermark_type STRING, updated_at STRING, version BIGINT"
 
 
+FILES = "step STRING, file_path STRING, modified TIMESTAMP, size BIGINT, load STRING"
+
+SALES_LINES = "EVENT_DATE STRING, LINE BINARY"
+
+
 def columns(ddl: str) -> list[tuple[str, str]]:
     """(name, type) pairs of a flat DDL string."""
     return [tuple(part.split()) for part in ddl.split(",")]

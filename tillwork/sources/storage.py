@@ -29,6 +29,12 @@ def modified(spark: SparkSession, path: str) -> str | None:
     return datetime.fromtimestamp(newest / 1000, tz=timezone.utc).isoformat(timespec="milliseconds")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as file listings show it."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Sorted names in a folder, hidden and bookkeeping entries left out."""
     fs, p = _fs(spark, path)
@@ -36,3 +42,24 @@ def children(spark: SparkSession, path: str) -> list[str]:
         return []
     names = [status.getPath().getName() for status in fs.listStatus(p)]
     return sorted(n for n in names if not n.startswith((".", "_")))
+
+
+def set_age(spark: SparkSession, path: str, days: int) -> None:
+    """Date the files of a folder back, as a copy that keeps times does."""
+    fs, p = _fs(spark, path)
+    found = fs.listFiles(p, True)
+    while found.hasNext():
+        status = found.next()
+        fs.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file; it is there at once or not at all."""
+    fs, p = _fs(spark, path)
+    fs.create(p, False).close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or a folder with all it holds."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

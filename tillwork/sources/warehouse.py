@@ -4,10 +4,14 @@ Growing tables are appended in batches: a batch is a partition named by the mark
 is written with dynamic partition overwrite. A step that dies after writing and before moving its
 mark rewrites the same partition when it runs again, so no row is lost or doubled and no stored row
 is rewritten.
+
+A table that is replaced as a whole is written as a new version beside the old one; an empty marker file, created when
+all rows are there, makes the version the current one. Until then, and after a write that dies, readers see the old one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +24,10 @@ from tillwork.sources.names import clean_name, table_name
 
 BATCH = "LOAD_BATCH"
 _MARKS = "_watermarks"
+_FILES = "_files"
+_VERSIONS, _CURRENT = "versions", "current"
+#: Versions that stay: the current one, and the one that running readers may still hold.
+KEPT_VERSIONS = 2
 
 
 class Warehouse:
@@ -30,8 +38,15 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def current(self, name: str) -> str:
+        """Folder of the table's rows: its current version, or the table's own folder if it never was replaced."""
+        done = storage.children(self.spark, f"{self.path(name)}/{_CURRENT}")
+        return f"{self.path(name)}/{_VERSIONS}/{done[-1]}" if done else self.path(name)
+
     def exists(self, name: str) -> bool:
-        """Finished: marked by a plain write, or holding batches, which appear only at commit."""
+        """Finished: with a current version, marked by a plain write, or holding batches, which appear only at commit."""
+        if self.current(name) != self.path(name):
+            return True
         if storage.exists(self.spark, f"{self.path(name)}/_SUCCESS"):
             return True
         return any(c.startswith(f"{BATCH}=") for c in storage.children(self.spark, self.path(name)))
@@ -41,12 +56,12 @@ class Warehouse:
         return [n for n in storage.children(self.spark, self.root) if n.startswith(prefix) and self.exists(n)]
 
     def read(self, name: str, *columns: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(self.current(name))
         return df.select(*columns) if columns else df.drop(BATCH)
 
     def read_batches(self, name: str) -> DataFrame:
         """With the batch column; a filter on it prunes partitions."""
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.parquet(self.current(name))
 
     def prefix_union_scan(self, prefix: str) -> DataFrame:
         """All tables of a prefix in name order, columns aligned by name."""
@@ -58,12 +73,51 @@ class Warehouse:
             result = result.unionByName(self.read(name), allowMissingColumns=True)
         return result
 
-    def overwrite(self, layer: str, table: str, df: DataFrame, ddl: str | None = None) -> str:
-        """Replace a table by `df`, cast to the declared columns. `df` must not read the table."""
+    def overwrite(self, layer: str, table: str, df: DataFrame, ddl: str | None = None, by: str | None = None) -> str:
+        """Replace a table by `df`, cast to the declared columns. `df` may read the table itself.
+
+        `by` partitions the new version by a column, as the batches of a folded table are.
+        """
         name = table_name(layer, table)
-        conform(df, ddl).write.mode("overwrite").parquet(self.path(name))
+        made = storage.children(self.spark, f"{self.path(name)}/{_VERSIONS}")
+        version = f"{int(made[-1]) + 1 if made else 1:012d}"
+        writer = conform(df, ddl).write
+        (writer.partitionBy(by) if by else writer).parquet(f"{self.path(name)}/{_VERSIONS}/{version}")
+        storage.touch(self.spark, f"{self.path(name)}/{_CURRENT}/{version}")
+        self._forget_versions(name)
         return name
 
+    def _forget_versions(self, name: str) -> None:
+        """Delete versions older than the kept ones, rows before markers, and rows of the table's time without versions."""
+        done = storage.children(self.spark, f"{self.path(name)}/{_CURRENT}")
+        if len(done) >= KEPT_VERSIONS:
+            oldest = done[-KEPT_VERSIONS]
+            for part in (_VERSIONS, _CURRENT):
+                for old in storage.children(self.spark, f"{self.path(name)}/{part}"):
+                    if old < oldest:
+                        storage.delete(self.spark, f"{self.path(name)}/{part}/{old}")
+            for old in storage.children(self.spark, self.path(name)):
+                if old.startswith(f"{BATCH}="):
+                    storage.delete(self.spark, f"{self.path(name)}/{old}")
+
+    def fold(self, layer: str, table: str, combine: Callable[[DataFrame], DataFrame], most: int = 16) -> bool:
+        """Rewrite a table of more than `most` batches as one batch with the rows that `combine` makes of all of them.
+
+        The batch keeps the latest name, so marks that compare batch names stay valid.
+        """
+        name = table_name(layer, table)
+        batches = self.batches(name)
+        if len(batches) <= most:
+            return False
+        rows = combine(self.read_batches(name)).drop(BATCH)
+        self.overwrite(layer, table, rows.withColumn(BATCH, F.lit(batches[-1])), by=BATCH)
+        return True
+
+    def batches(self, name: str) -> list[str]:
+        """Sorted batches of a table, from the folder names."""
+        found = [c for c in storage.children(self.spark, self.current(name)) if c.startswith(f"{BATCH}=")]
+        return sorted(c[len(BATCH) + 1 :] for c in found)
+
     def batch_counts(self, name: str) -> dict[str, int]:
         """Rows per batch, from partition names and file footers."""
         if not self.exists(name):
@@ -82,10 +136,20 @@ class Warehouse:
             df.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BATCH)
-            .parquet(self.path(name))
+            .parquet(self.current(name))
         )
         return name
 
+    def seen_files(self, step: str) -> DataFrame:
+        """Ledger of the files a step has loaded: path, time, size and load."""
+        if not storage.exists(self.spark, self.path(_FILES)):
+            return self.spark.createDataFrame([], schemas.FILES).filter(F.col("step") == step)
+        return self.spark.read.schema(schemas.FILES).parquet(self.path(_FILES)).filter(F.col("step") == step)
+
+    def note_files(self, rows: DataFrame) -> None:
+        """Add files to the ledger. Called after their rows are written."""
+        conform(rows, schemas.FILES).coalesce(1).write.mode("append").parquet(self.path(_FILES))
+
     def watermarks(self) -> DataFrame:
         """Latest mark per step."""
         empty = self.spark.createDataFrame([], schemas.WATERMARKS)
@@ -94,6 +158,10 @@ class Warehouse:
         stored = self.spark.read.schema(schemas.WATERMARKS).parquet(self.path(_MARKS))
         return merge_watermarks(empty, stored)
 
+    def marks(self) -> dict[str, str]:
+        """Latest mark of every step, in one read."""
+        return {r["table_name"]: r["last_value"] for r in self.watermarks().collect()}
+
     def get_watermark(self, name: str) -> str | None:
         row = self.watermarks().filter(F.col("table_name") == name).select("last_value").first()
         return row[0] if row else None
