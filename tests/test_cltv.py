@@ -69,7 +69,9 @@ def test_pivot_and_target_equal_pandas(spark):
     assert list(got.columns) == list(wide.columns)
     assert np.allclose(got.values, wide.values)
     y = wide.iloc[:, 12:].sum(axis=1)
-    capped = cf.future_revenue_target(df).toPandas().set_index("CUSTOMER_ID").sort_index().TARGET
+    found = cf.capped_target(df)
+    assert found.cap == pytest.approx(y.quantile(0.95)) and found.count == (y > y.quantile(0.95)).sum() > 0
+    capped = found.rows.toPandas().set_index("CUSTOMER_ID").sort_index().TARGET
     assert capped.tolist() == pytest.approx(y.clip(upper=y.quantile(0.95)).tolist())
 
 
@@ -116,7 +118,7 @@ def linear_data(spark):
 
 def test_linear_models_equal_closed_forms(spark, linear_data):
     prepared = cm.prepare(linear_data, list("abcd"))
-    rows = prepared.scaled.filter("IS_TRAIN").select("features", "TARGET").collect()
+    rows = prepared.side("Ridge").filter("IS_TRAIN").select("features", "TARGET").collect()
     x = np.array([r["features"].toArray() for r in rows])
     y = np.array([r["TARGET"] for r in rows])
     models = cm.fit_models(prepared, ["Linear Regression", "Ridge", "Lasso"])
@@ -142,7 +144,7 @@ def test_train_models_end_to_end(spark, linear_data):
     assert [r["R2"] for r in results] == sorted((r["R2"] for r in results), reverse=True)
     assert trained.best == results[0]["MODEL"] and results[0]["R2"] > 0.95
     assert all(r["CV_MAE"] > 0 for r in results)
-    test_rows = prepared.raw.filter("NOT IS_TRAIN").count()
+    test_rows = prepared.rows.filter("NOT IS_TRAIN").count()
     assert trained.predictions.count() == test_rows
     top = cm.feature_importance(spark, trained.models["Lasso"], prepared.features).first()
     assert top["FEATURE"] == "a"

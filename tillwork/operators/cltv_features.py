@@ -7,6 +7,7 @@ are those present in the data, found once as a scalar subquery (one short array)
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,16 +144,30 @@ def future_revenue(sales: DataFrame, train_months: int = 12) -> DataFrame:
     return long.groupBy("CUSTOMER_ID").agg(from_ticks(summed).alias("TARGET"))
 
 
-def cap_quantile(df: DataFrame, name: str = "TARGET", q: float = 0.95) -> tuple[DataFrame, float]:
-    """The column cut at its exact quantile, and the cut. `df` is read twice: pass a stored one."""
+@dataclass(frozen=True)
+class Capped:
+    """Rows with the column cut at its quantile, the cut, and how many rows were above it."""
+
+    rows: DataFrame
+    cap: float
+    count: int
+
+
+def cap_quantile(df: DataFrame, name: str = "TARGET", q: float = 0.95) -> Capped:
+    """The column cut at its exact quantile. `df` is read three times: pass a stored one."""
     cap = exact_quantiles(df, [name], [q])[name][0]
     if cap is None:
-        return df, float("nan")
-    return df.withColumn(name, F.least(F.col(name), F.lit(cap))), cap
+        return Capped(df, float("nan"), 0)
+    above = df.filter(F.col(name) > F.lit(cap)).count()
+    return Capped(df.withColumn(name, F.least(F.col(name), F.lit(cap))), cap, above)
+
+
+def capped_target(sales: DataFrame, train_months: int = 12, q: float = 0.95) -> Capped:
+    return cap_quantile(cut_lineage(future_revenue(sales, train_months)), "TARGET", q)
 
 
 def future_revenue_target(sales: DataFrame, train_months: int = 12, q: float = 0.95) -> DataFrame:
-    return cap_quantile(cut_lineage(future_revenue(sales, train_months)), "TARGET", q)[0]
+    return capped_target(sales, train_months, q).rows
 
 
 def fill_missing_features(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tillwork import schemas
 from tillwork.functions.amounts import ratio
-from tillwork.operators.cltv_features import assign_fold, fit_scaler, standard_scale, train_test_split
+from tillwork.operators.cltv_features import assign_fold, fit_scaler, train_test_split
 
 TREES = ("Random Forest", "Gradient Boosting")
 
@@ -71,33 +71,31 @@ def prediction_table(df: DataFrame, actual: str = "TARGET", predicted: str = "PR
 
 @dataclass
 class Prepared:
-    """Training and test vectors for the scaled and the raw feature sets."""
+    """Training and test rows with their fold and both feature vectors, in one kept frame."""
 
     features: list[str]
-    scaled: DataFrame
-    raw: DataFrame
+    rows: DataFrame
 
     def side(self, model: str) -> DataFrame:
-        return self.raw if model in TREES else self.scaled
+        """Rows with the vector that the model takes as `features`."""
+        return self.rows.withColumn("features", F.col("RAW" if model in TREES else "SCALED"))
 
     def release(self) -> None:
-        self.scaled.unpersist()
-        self.raw.unpersist()
+        self.rows.unpersist()
 
 
 def prepare(data: DataFrame, features: Sequence[str], seed: int = 42, folds: int = 5) -> Prepared:
-    """Split, scale on the training side, assemble vectors; both sets are kept for the many fits.
+    """Split, scale on the training side, assemble vectors; one frame is kept for the many fits.
 
     `data` has CUSTOMER_ID, TARGET and the numeric features.
     """
     split = assign_fold(train_test_split(data, seed=seed), folds=folds, seed=seed)
-    train = split.filter("IS_TRAIN")
-    scaler = fit_scaler(train, features)
-    keep = ["CUSTOMER_ID", "TARGET", "IS_TRAIN", "FOLD", "features"]
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    raw = assembler.transform(split).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-    scaled = assembler.transform(standard_scale(split, scaler)).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-    return Prepared(list(features), scaled, raw)
+    scaler = fit_scaler(split.filter("IS_TRAIN"), features)
+    both = VectorAssembler(inputCols=list(features), outputCol="RAW").transform(split)
+    scaled = {f"_scaled_{k}": (F.col(n) - F.lit(scaler[n][0])) / F.lit(scaler[n][1]) for k, n in enumerate(features)}
+    both = VectorAssembler(inputCols=list(scaled), outputCol="SCALED").transform(both.withColumns(scaled))
+    rows = both.select("CUSTOMER_ID", "TARGET", "IS_TRAIN", "FOLD", "RAW", "SCALED")
+    return Prepared(list(features), rows.persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def _estimators_for(rows: DataFrame, **kw) -> dict[str, Callable] | None:
@@ -141,7 +139,7 @@ class Trained:
 
 
 def fit_models(prepared: Prepared, names: Sequence[str], parallelism: int = 4, **kw) -> dict[str, object]:
-    make = _estimators_for(prepared.raw.filter("IS_TRAIN"), **kw)
+    make = _estimators_for(prepared.rows.filter("IS_TRAIN"), **kw)
     if make is None:
         raise ValueError("no training rows")
 

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
@@ -158,10 +158,10 @@ class Profile:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total, kept, held, rows, kind = Moments(len(numbers)), {}, {}, 0, None
 
-            def emit(n: int, **columns) -> pa.RecordBatch:
+            def emit(size: int, **columns) -> pa.RecordBatch:
                 empty = {"stat": pa.string(), "col": pa.string(), "value": pa.string(), "n": pa.int64(), "row": kind, "i": pa.int32()}
                 empty |= {m: pa.list_(pa.float64()) for m in Moments.NAMES}
-                return pa.RecordBatch.from_arrays([columns.get(f, pa.nulls(n, empty[f])) for f in fields], fields)
+                return pa.RecordBatch.from_arrays([columns.get(f, pa.nulls(size, empty[f])) for f in fields], fields)
 
             def send_values() -> Iterator[pa.RecordBatch]:
                 for col, counts in held.items():
@@ -234,11 +234,14 @@ class Profile:
         rows = F.lit(self.rows_read)
         size = F.concat(F.format_string("%.1f", F.sum("bytes") / 1024**2), F.lit(" MB"))
         blank = F.lit("")
-        totals = per.agg(size.alias("size")).select(F.inline(F.array(
-            F.struct(F.lit(-3).alias("position"), F.lit("Total Entries").alias("Column"), rows.cast("string").alias("Non-Null Count"), blank.alias("Null Count"), blank.alias("Dtype")),
-            F.struct(F.lit(-2), F.lit("Total Columns"), F.lit(str(len(self.columns))), blank, blank),
-            F.struct(F.lit(-1), F.lit("Memory Usage"), blank, blank, F.col("size")),
-        )))
+        heads = [
+            (-3, "Total Entries", rows.cast("string"), blank, blank),
+            (-2, "Total Columns", F.lit(str(len(self.columns))), blank, blank),
+            (-1, "Memory Usage", blank, blank, F.col("size")),
+        ]
+        names = ["position", "Column", "Non-Null Count", "Null Count", "Dtype"]
+        structs = [F.struct(*[(c if isinstance(c, Column) else F.lit(c)).alias(n) for c, n in zip(h, names)]) for h in heads]
+        totals = per.agg(size.alias("size")).select(F.inline(F.array(*structs)))
         columns = per.select("position", F.col("col").alias("Column"), F.col("filled").cast("string").alias("Non-Null Count"),
                              (rows - F.col("filled")).cast("string").alias("Null Count"), F.col("dtype").alias("Dtype"))
         return totals.unionByName(columns).orderBy("position").drop("position")

@@ -421,7 +421,17 @@ def prediction_table(spark, d):
     return cltv_models.prediction_table(_naive(spark, d))
 
 
-_LINEAR = ["Linear Regression", "Ridge", "Lasso"]
+@query(
+    "cap_quantile_count",
+    with_parts(
+        "future",
+        """SELECT round(q, 6) AS CAP, (SELECT count(*) FROM future WHERE TARGET > q) AS CAPPED
+FROM (SELECT quantile_cont(TARGET, 0.95) AS q FROM future)""",
+    ),
+)
+def cap_quantile_count(spark, d):
+    found = cltv_features.capped_target(views.stored_valid(spark, d))
+    return spark.createDataFrame([(round(found.cap, 6), found.count)], "CAP DOUBLE, CAPPED BIGINT")
 
 
 def _prepared(spark, d):
@@ -432,32 +442,75 @@ def _prepared(spark, d):
 @query("train_models")
 def train_models(spark, d):
     """All five models with hold-out and five-fold scores."""
-    return cltv_models.train_models(spark, _prepared(spark, d)).results
+    prepared = _prepared(spark, d)
+    results = cltv_models.train_models(spark, prepared).results
+    prepared.release()
+    return results
 
 
 @query("cross_validate")
 def cross_validate(spark, d):
-    """Fold scores of the three linear models."""
-    scores = cltv_models.cross_validate(_prepared(spark, d), _LINEAR)
+    """Scores of all five models on the five folds."""
+    prepared = _prepared(spark, d)
+    scores = cltv_models.cross_validate(prepared, list(cltv_models.estimators()))
+    prepared.release()
     rows = [(m, f, float(v)) for m, folds in scores.items() for f, v in enumerate(folds)]
     return spark.createDataFrame(rows, "MODEL STRING, FOLD INT, MAE DOUBLE")
 
 
 @query("feature_importance")
 def feature_importance(spark, d):
+    """Weights of every feature in all five models."""
     prepared = _prepared(spark, d)
-    models = cltv_models.fit_models(prepared, ["Lasso", "Random Forest"])
+    models = cltv_models.fit_models(prepared, list(cltv_models.estimators()))
+    prepared.release()
     parts = [
         cltv_models.feature_importance(spark, m, prepared.features).withColumn("MODEL", F.lit(n)) for n, m in models.items()
     ]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
-@query("cltv_tables")
-def cltv_tables(spark, d):
-    """Stored fact and customer tables to the stored prediction table (linear models, no folds)."""
+_LINE = "SELECT CUSTOMER_ID, AVG_MONTHLY_REVENUE AS x, TARGET AS y, {split} AS IS_TRAIN FROM features JOIN capped USING (CUSTOMER_ID)"
+
+
+@query(
+    "linear_fit",
+    with_parts(
+        "features capped",
+        f"""SELECT CUSTOMER_ID, round(y, 4) AS TARGET, round(my + slope * (x - mx), 4) AS PREDICTION, round(my + ridge * (x - mx), 4) AS RIDGE
+FROM ({_LINE.format(split=_BUCKET.format(seed=42, n=100) + ' < 80')}),
+ (SELECT avg(x) AS mx, avg(y) AS my, covar_pop(x, y) / var_pop(x) AS slope,
+    covar_pop(x, y) / stddev_pop(x) * count(*) / (count(*) + 1.0::DOUBLE) / stddev_pop(x) AS ridge
+  FROM ({_LINE.format(split=_BUCKET.format(seed=42, n=100) + ' < 80')}) WHERE IS_TRAIN)
+WHERE NOT IS_TRAIN""",
+    ),
+)
+def linear_fit(spark, d):
+    """Least squares and ridge on one feature: test predictions against their closed forms."""
+    sales = views.stored_valid(spark, d)
+    one = cltv_features.time_features(sales).select("CUSTOMER_ID", "AVG_MONTHLY_REVENUE")
+    prepared = cltv_models.prepare(cut_lineage(one.join(cltv_features.future_revenue_target(sales), "CUSTOMER_ID")), ["AVG_MONTHLY_REVENUE"])
+    models = cltv_models.fit_models(prepared, ["Linear Regression", "Ridge"])
+    scored = {n: m.transform(prepared.side(n).filter("NOT IS_TRAIN")) for n, m in models.items()}
+    ridge = scored["Ridge"].select("CUSTOMER_ID", F.round("PREDICTION", 4).alias("RIDGE"))
+    plain = scored["Linear Regression"].select("CUSTOMER_ID", F.round("TARGET", 4).alias("TARGET"), F.round("PREDICTION", 4).alias("PREDICTION"))
+    return plain.join(ridge, "CUSTOMER_ID")
+
+
+def _cltv_warehouse(spark, d) -> Warehouse:
     wh = Warehouse(spark, scratch_path(spark, "wh"))
     wh.write_batch("GOLD", "FACT_SALES", views.fact(spark, d), "first", schemas.FACT_SALES)
     steps.load_rfm(wh)
-    steps.load_cltv(wh, names=_LINEAR, folds=0)
-    return wh.read("GOLD_DIM_CUSTOMER_CLTV")
+    steps.load_cltv(wh)
+    return wh
+
+
+@query("cltv_tables")
+def cltv_tables(spark, d):
+    """Rows of both stored tables, from all five models and five folds: the predictions of the best, the scores of all."""
+    wh = _cltv_warehouse(spark, d)
+    customers = wh.read("GOLD_DIM_CUSTOMER_CLTV").select(F.lit("GOLD_DIM_CUSTOMER_CLTV").alias("table_name"), F.col("CUSTOMER_ID").alias("key"),
+                                                         F.array("ACTUAL_CLV", "PREDICTED_CLV", "ERROR", "ERROR_PCT").alias("numbers"))
+    models = wh.read("GOLD_DIM_CLTV_MODEL_RESULTS").select(F.lit("GOLD_DIM_CLTV_MODEL_RESULTS").alias("table_name"), F.col("MODEL").alias("key"),
+                                                           F.array("R2", "MAE", "RMSE", "MAPE", "CV_MAE").alias("numbers"))
+    return customers.unionByName(models)

