@@ -471,46 +471,72 @@ def test_pipeline_keeps_distinct_texts_of_one_id(spark):
     assert got[texts[6]].doc_id == 3 and got[texts[10]].doc_id == 10 and got[texts[0]].doc_id is None
 
 
-@pytest.mark.parametrize("counted", [2_000, 10])
-def test_pipeline_near_copies(spark, monkeypatch, counted):
-    """The stage against all pairs: copies with a few edited words, chains, a common passage, and short texts."""
+def test_pipeline_near_copies(spark):
+    """The stage against all pairs of plain fingerprints: copies, edited copies, chains, short and empty texts."""
     import corpus_pipeline
-    from tillwork.llm import near_text
+    from tillwork.llm.simhash import simhash
 
-    monkeypatch.setattr(near_text, "COUNTED_TEXTS", counted)
     rng = random.Random(9)
 
     def prose(n):
         return [f"w{rng.randrange(3000)}" for _ in range(n)]
 
-    passage, texts = prose(60), []
-    for _ in range(12):
-        base = prose(rng.randint(60, 300))
-        texts.append(base)
+    texts = []
+    for _ in range(15):
+        base = prose(rng.randint(60, 600))
+        texts += [base, list(base)]
         for _ in range(6):
             base = list(base)
-            for at in rng.sample(range(len(base)), rng.randint(1, 8)):
-                base[at] = "EDIT" + str(rng.randrange(1000))
+            base[rng.randrange(len(base))] = "EDIT" + str(rng.randrange(1000))
             texts.append(base)
-    texts += [prose(10) + passage + prose(10) for _ in range(8)] + [passage + prose(i) for i in (1, 3, 9)]
-    texts += [["a", "b"], ["A", "b"], ["a"], prose(5), prose(6)]
+    texts += [["a", "b"], ["A", "b"], ["a"], prose(5), prose(6), [], []]
     rng.shuffle(texts)
     rows = [(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
-
-    def sets(t):
-        w = [x.lower() for x in t]
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
-
-    s = [sets(t) for t in texts]
-    near = {i: [j for j in range(len(s)) if 10 * len(s[i] & s[j]) >= 8 * len(s[i] | s[j])] for i in range(len(s))}
+    prints = [simhash(r[1]) for r in rows]
+    near = {i: [j for j in range(len(prints)) if (prints[i] ^ prints[j]).bit_count() <= 2] for i in range(len(prints))}
     low = linked(list(near), near)
     expect = {i for i in low if low[i] == i}
-    assert len(expect) < len(texts) - 25
+    assert len(expect) < len(texts) - 20
     got = [r.doc_id for r in corpus_pipeline.simhash_stage(spark, docs, "").collect()]
     assert len(got) == len(set(got)) and set(got) == expect
 
 
+#: Ids that a double cannot hold, a missing one, and one id with two texts.
+ODD_IDS = [2**60 + 1, 2**60 + 3, None, 7, 7]
+
+
+def test_ids_come_back_as_they_were(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(4000)}" for _ in range(70)) for _ in ODD_IDS]
+    texts[1] = texts[1] + " " + texts[3]  # the passage of an earlier document is gone from the later one
+    rows = [(k, t, "en", "s", 1) for k, t in zip(ODD_IDS, texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "w1 w2 w3")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name in sorted(QUERIES):
+        if name in ("op4_url_filter", "op7_vector_dedup", "op13_collocations", "op11_lexical_search"):
+            continue  # no documents, or no row per document
+        got = Counter(r.doc_id for r in QUERIES[name](spark, str(tmp_path)).collect())
+        assert got == Counter(ODD_IDS) if name != "op6_packing" else set(got) == set(ODD_IDS), name
+    for name, step in corpus_pipeline.STAGES[:3]:
+        docs = corpus_pipeline.stage(step(spark, docs, ""), name)
+        assert Counter(r.doc_id for r in docs.collect()) == Counter(ODD_IDS), name
+    assert {r.doc_id for r in corpus_pipeline.packing_stage(spark, docs, "").collect()} == set(ODD_IDS)
+
+
+def test_substring_dedup_of_one_id_with_two_texts(spark):
+    rng = random.Random(13)
+    a, b, c = (" ".join(f"w{rng.randrange(5000)}" for _ in range(50)) for _ in range(3))
+    rows = [(1, a), (2, a + " " + b), (2, c), (2, c), (3, c), (None, b)]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), nulls_last=True)
+    assert Counter((r.doc_id, r.n_removed, r.kept) for r in got.collect()) == Counter(
+        [(1, 0, a), (2, 50, b), (2, 0, c), (2, 0, c), (3, 50, ""), (None, 50, "")]
+    )
+
+
 def test_pipeline_passages_of_one_id(spark):
     """Two texts under one id, one of them a copy of an earlier text: neither is lost or doubled."""
     import corpus_pipeline

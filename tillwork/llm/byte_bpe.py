@@ -4,17 +4,16 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import query, table
+from tillwork.llm.common import map_texts, query, table
 
 #: First code point of the 256 that stand for bytes.
 BYTES_AT = 0x4E00
@@ -91,17 +90,13 @@ def codec(path: str, pattern: str) -> ByteBpe:
 def encode_documents(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, ids, decoded) of every row; null and empty texts have no ids. Row by row, without a shuffle."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(texts: list[str]) -> list[pa.Array]:
         bpe = codec(path, pattern)
-        for batch in batches:
-            ids = [bpe.encode(t) for t in batch["_text"]]
-            yield pd.DataFrame(
-                {key: batch[key], "n_tokens": [len(i) // 4 for i in ids], "ids": ids, "decoded": [bpe.decode(i) for i in ids]}
-            )
-
-    kind = dict(df.dtypes)[key]
-    rows = df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    return rows.mapInPandas(run, f"`{key}` {kind}, n_tokens long, ids binary, decoded binary")
+        ids = [bpe.encode(t) for t in texts]
+        sizes = pa.array([len(i) // 4 for i in ids], pa.int64())
+        return [sizes, pa.array(ids, pa.binary()), pa.array([bpe.decode(i) for i in ids], pa.binary())]
+
+    return map_texts(df, text, [key], work, "n_tokens long, ids binary, decoded binary")
 
 
 @query("op5_byte_bpe")

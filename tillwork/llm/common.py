@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,25 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def map_texts(df: DataFrame, text: str, keep: Sequence[str], work: Callable[[list[str]], list[pa.Array]], made: str) -> DataFrame:
+    """The kept columns beside the columns `made` (DDL) that `work` returns for a list of texts, row by row, without a shuffle.
+
+    Null texts are passed as empty. Kept columns stay in Arrow, so any value of theirs comes back as it was.
+    """
+    kinds = dict(df.dtypes)
+    head = [f"_{i}" for i in range(len(keep))]
+    names = [part.split()[0] for part in made.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            new = work(batch.column("_text").to_pylist())
+            yield pa.RecordBatch.from_arrays([*(batch.column(h) for h in head), *new], [*head, *names])
+
+    rows = df.select(*(F.col(c).alias(h) for c, h in zip(keep, head)), F.coalesce(text, F.lit("")).alias("_text"))
+    schema = ", ".join([*(f"{h} {kinds[c]}" for c, h in zip(keep, head)), made])
+    return rows.mapInArrow(run, schema).toDF(*keep, *names)
+
+
 def _stars(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star pass over edges (u, v); the result has u > v."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import query, table
+from tillwork.llm.common import map_texts, query, table
 
 UNKNOWN = "und"
 #: Bytes that one run of the network reads; a text is cut into such spans and every span is read.
@@ -230,14 +230,11 @@ def identify(df: DataFrame, model: ByteGru | None, text: str = "text") -> DataFr
     """Adds lang_pred and score to every row; other columns stay. Without a model every text is `und`."""
     df = df.drop("lang_pred", "score")
 
-    def run(batches):
-        for batch in batches:
-            texts = ["" if t is None else t for t in batch[text]]
-            found = model.predict(texts) if model else [(UNKNOWN, 0.0)] * len(texts)
-            yield batch.assign(lang_pred=[x[0] for x in found], score=[x[1] for x in found])
+    def work(texts: list[str]) -> list[pa.Array]:
+        found = model.predict(texts) if model else [(UNKNOWN, 0.0)] * len(texts)
+        return [pa.array([x[0] for x in found], pa.string()), pa.array([float(x[1]) for x in found], pa.float64())]
 
-    fields = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
-    return df.mapInPandas(run, f"{fields}, lang_pred string, score double")
+    return map_texts(df, text, df.columns, work, "lang_pred string, score double")
 
 
 def train_on(docs: DataFrame) -> ByteGru | None:

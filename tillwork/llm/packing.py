@@ -8,19 +8,20 @@ import string
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import query, table
+from tillwork.llm.common import map_texts, query, table
 
 #: Text bytes that one packing cell holds on average.
 CELL_BYTES = 4_000_000
 #: Sequence numbers reserved for one cell.
 CELL_ROOM = 1 << 24
-#: Words kept per Python worker.
-CACHE_SIZE = 500_000
+#: Words of one generation, of which a Python worker keeps two.
+CACHE_SIZE = 400_000
 #: Texts whose words are looked up together.
 TEXTS = 256
 #: Marks that often end a run.
@@ -43,6 +44,7 @@ class WordIds(dict):
         self.width = "<u2" if self.model.get_vocab_size() <= 65536 else "<u4"
         self.marks = {c.encode(): self._encode(c.encode()) for c in MARKS}
         self.letters, self.ids, self.last = self._rank_encoder()
+        self.former: dict[bytes, bytes] = {}
 
     def _rank_encoder(self):
         """Encoder of lower-case ASCII words with the last letter in upper case, ids by rank, ranks that end a word; or None."""
@@ -75,10 +77,16 @@ class WordIds(dict):
         return encoder.encode_ordinary, np.array(ids, dtype=self.width), last
 
     def learn(self, words: set[bytes]) -> None:
+        """Two generations: when the younger is full it becomes the former one, from which words in use come back."""
         new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHE_SIZE:
+            self.former = dict(self)
             self.clear()
             new = list(words)
+        if self.former:
+            known = self.former
+            self.update([(w, known[w]) for w in new if w in known])
+            new = [w for w in new if w not in known]
         plain = []
         for word in new:
             tail = self.marks.get(word[-1:], b"")
@@ -200,41 +208,43 @@ def pack_documents(
 
     Documents are tokenised where they lie and dealt by a hash of their row to cells of about CELL_BYTES of text,
     however large the input or its groups are; each cell is packed by itself and leaves less than one sequence of
-    padding. A null or empty text is its end id alone. Repeated rows are packed each. A document is never
+    padding. Rows are told apart by their place in `df`, which has to be a stored table, so that a task that runs again
+    finds them at the same place. A null or empty text is its end id alone. Repeated rows are packed each. A document is never
     split between cells.
     """
     size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
     cells = max(1, -(-size // CELL_BYTES))
     kinds = dict(df.dtypes)
-    head = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
+    head = [f"_{i}" for i in range(len(keep))]
+    kept = ", ".join(f"{h} {kinds[c]}" for c, h in zip(keep, head))
 
-    def tokenise(batches):
+    def tokenise(texts: list[str]) -> list[pa.Array]:
         words = word_ids(path)
         end = np.array([end_id], dtype=words.width).tobytes()
-        for batch in batches:
-            ids = [x + end for x in words.encode(batch["_text"].tolist())]
-            yield batch.drop(columns=["_text"]).assign(ids=ids)
+        return [pa.array([x + end for x in words.encode(texts)], pa.binary())]
 
-    def place(group: pd.DataFrame) -> pd.DataFrame:
+    def place(group: pa.Table) -> pa.Table:
         width = word_ids(path).width
-        group = group.sort_values("_row", kind="stable").reset_index(drop=True)
-        ids = [np.frombuffer(b, width).astype("<u4") for b in group["ids"]]
-        base, rows, filled = int(group["_cell"].iloc[0]) * CELL_ROOM, [], {}
+        group = group.take(pc.sort_indices(group, sort_keys=[("_row", "ascending")]))
+        ids = [np.frombuffer(b, width).astype("<u4") for b in group.column("ids").to_pylist()]
+        base, rows, filled = group.column("_cell")[0].as_py() * CELL_ROOM, [], {}
         for i, start, length, sequence in pack([len(x) for x in ids], room, quadratic):
             offset = filled.get(sequence, 0)
             filled[sequence] = offset + length
             rows.append((i, start, length, ids[i][start : start + length].tobytes(), len(ids[i]), base + sequence, offset))
-        out = pd.DataFrame(rows, columns=["_i", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
-        for c in keep:
-            out[c] = group[c].take(out["_i"]).to_numpy()
-        return out[[*keep, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]]
+        at, starts, lengths, pieces, sizes, sequences, offsets = zip(*rows)
+        whole = [pa.array(x, pa.int64()) for x in (starts, lengths, sizes, sequences, offsets)]
+        columns = [group.column(h).take(pa.array(at, pa.int64())) for h in head]
+        return pa.table([*columns, whole[0], whole[1], pa.array(pieces, pa.binary()), *whole[2:]], [*head, *made])
 
-    rows = df.select(*keep, F.coalesce(text, F.lit("")).alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    made = ["start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+    rows = df.select(*(F.col(c).alias(h) for c, h in zip(keep, head)), F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row"))
     rows = rows.withColumn("_cell", F.pmod(F.xxhash64("_row"), F.lit(cells)))
-    coded = rows.mapInPandas(tokenise, f"{head}, _row long, _cell long, ids binary")
-    return coded.groupBy("_cell").applyInPandas(
-        place, f"{head}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+    coded = map_texts(rows, "_text", [*head, "_row", "_cell"], tokenise, "ids binary")
+    packed = coded.groupBy("_cell").applyInArrow(
+        place, ", ".join([*([kept] if kept else []), *(f"{n} {'binary' if n == 'ids' else 'long'}" for n in made)])
     )
+    return packed.toDF(*keep, *made)
 
 
 def packed_digest(docs: DataFrame) -> DataFrame:

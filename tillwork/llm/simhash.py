@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import components, query, table
+from tillwork.llm.common import components, map_texts, query, table
 from tillwork.session import stage
 
 #: Fingerprints of one segment variant that are compared pair by pair.
@@ -36,13 +36,11 @@ def simhash(text: str, width: int = 3, seed: int = 42) -> int:
 def fingerprints(df: DataFrame, key: str, text: str, width: int = 3, seed: int = 42) -> DataFrame:
     """(key, fp) of every row; fp is the fingerprint as a signed long."""
 
-    def run(batches):
-        for batch in batches:
-            fps = np.array([simhash(t, width, seed) for t in batch["_text"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({key: batch[key], "fp": fps})
+    def work(texts: list[str]) -> list[pa.Array]:
+        fps = np.array([simhash(t, width, seed) for t in texts], dtype=np.uint64)
+        return [pa.array(fps.view(np.int64))]
 
-    rows = df.select(key, F.coalesce(text, F.lit("")).alias("_text"))
-    return rows.mapInPandas(run, f"`{key}` {dict(df.dtypes)[key]}, fp long")
+    return map_texts(df, text, [key], work, "fp long")
 
 
 def near_edges(fps: DataFrame, distance: int = 2) -> DataFrame:
@@ -60,7 +58,7 @@ def near_edges(fps: DataFrame, distance: int = 2) -> DataFrame:
         "transform(sequence(0, 63), i -> struct(cast(i as byte) AS i,"
         " IF(i < 32, shiftrightunsigned(fp, 32), fp & 4294967295L) & ~shiftleft(1L, i % 32) AS part))"
     )
-    keyed = fps.select("fp", F.explode(variants).alias("k")).select("fp", "k.i", "k.part")
+    keyed = fps.repartition("fp").select("fp", F.explode(variants).alias("k")).select("fp", "k.i", "k.part")
     shared = keyed.groupBy("i", "part").agg(F.count("*").alias("n")).filter("n > 1")
     live = keyed.join(shared, ["i", "part"])
     few = live.filter(F.col("n") <= CROWD).groupBy("i", "part").agg(F.collect_list("fp").alias("all"))

@@ -13,12 +13,12 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import query, table
+from tillwork.llm.common import map_texts, query, table
 from tillwork.session import stage
 
 GRAM = 8
@@ -119,57 +119,63 @@ def _array(value) -> np.ndarray:
 
 
 def remove_repeats(
-    df: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20, carry: tuple[str, ...] = ()
+    df: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20, carry: tuple[str, ...] = (), nulls_last: bool = False
 ) -> DataFrame:
     """(key, carry, n_words, n_removed, kept): every row without the words of windows that also start earlier.
 
     Earlier is a smaller key, or an earlier start in the same document; windows are judged on the input. Words are
     runs of characters other than ASCII white space; kept words are joined by one space. Null and empty texts
-    have no words. `key` tells documents apart; repeated rows of one document get the same result, and a null key
-    counts as the smallest. Copies of a whole text are settled by a minimum over its hash before any window is cut.
+    have no words. A null key counts as the smallest, or as the largest. Different texts of one key are documents of
+    their own, in the order of their row numbers; repeated rows, key and text alike, get the same result. Copies of a whole text are settled
+    by a minimum over its hash before any window is cut. Every document gets a row number of its own, written with its
+    grams, by which the later steps tell documents apart.
     """
-    docs = df.select(F.col(key), F.coalesce(key, F.lit(-(2**63))).alias("_doc"), F.coalesce(text, F.lit("")).alias("_text"))
-    kind = dict(df.dtypes)[key]
-
-    def file(batches):
-        for batch in batches:
-            filed = [filed_grams(split_words(t), window) for t in batch["_text"]]
-            yield pd.DataFrame({"_doc": batch["_doc"], "h1": batch["h1"], "h2": batch["h2"], "grams": filed})
-
-    hashed = docs.select("_doc", "_text", F.xxhash64(F.lit(1), "_text").alias("h1"), F.xxhash64(F.lit(2), "_text").alias("h2"))
-    filed = stage(hashed.mapInPandas(file, "_doc long, h1 long, h2 long, grams array<long>").filter("size(grams) > 0"), "grams")
-    firsts = filed.groupBy("h1", "h2").agg(F.min("_doc").alias("_first"))
-    copies = filed.select("_doc", "h1", "h2").join(firsts, ["h1", "h2"])
-    copies = stage(copies.select("_doc", (F.col("_doc") > F.col("_first")).alias("_copy")).distinct(), "copies")
-    own = filed.select("_doc", "grams").join(copies.filter("NOT _copy"), "_doc", "left_semi")
-    suffixes = own.select("_doc", F.explode("grams").alias("gram"))
+    null = 2**63 - 1 if nulls_last else -(2**63)
+    identity = [F.coalesce(key, F.lit(null)).alias("_doc"), *(F.xxhash64(F.lit(i), F.coalesce(text, F.lit(""))).alias(f"h{i}") for i in (1, 2))]
+
+    def file(texts: list[str]) -> list[pa.Array]:
+        return [pa.array([filed_grams(split_words(t), window) for t in texts], pa.list_(pa.int64()))]
+
+    hashed = df.select(*identity, F.col(text).alias("_text"))
+    filed = map_texts(hashed, "_text", ["_doc", "h1", "h2"], file, "grams array<long>").filter("size(grams) > 0")
+    filed = stage(filed.withColumn("_row", F.monotonically_increasing_id()), "grams")
+    single = filed.groupBy("h1", "h2", "_doc").agg(F.min("_row").alias("_row"))
+    firsts = single.groupBy("h1", "h2").agg(F.min("_doc").alias("_first"))
+    copies = single.join(firsts, ["h1", "h2"])
+    copies = stage(copies.select("_row", "_doc", "h1", "h2", (F.col("_doc") > F.col("_first")).alias("_copy")), "copies")
+    own = filed.select("_row", "grams").join(copies.filter("NOT _copy"), "_row", "left_semi")
+    suffixes = own.select("_row", F.explode("grams").alias("gram"))
     # a table of its own, so that adaptive execution can split the join at a hot gram
     several = stage(suffixes.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "shared")
-    shared = suffixes.join(several, "gram", "left_semi").groupBy("_doc").agg(F.collect_set("gram").alias("shared"))
-    notes = copies.join(shared, "_doc", "left").filter("_copy OR shared IS NOT NULL")
+    shared = suffixes.join(several, "gram", "left_semi").groupBy("_row").agg(F.collect_set("gram").alias("shared"))
+    notes = copies.join(shared, "_row", "left").filter("_copy OR shared IS NOT NULL")
     notes = stage(notes, "shared-grams")
 
     def windows(batches):
         for batch in batches:
-            for doc, words, shared in zip(batch["_doc"], batch["_text"], batch["shared"]):
+            lists = zip(*(batch.column(c).to_pylist() for c in ("_doc", "_row", "_text", "shared")))
+            for doc, row, words, shared in lists:
                 starts, both = shared_windows(split_words(words), window, _array(shared))
                 if len(starts):
-                    yield pd.DataFrame({"w1": both[:, 0], "w2": both[:, 1], "_doc": doc, "start": starts})
-
-    whole = docs.select("_doc", "_text").join(notes.filter("NOT _copy").select("_doc", "shared"), "_doc")
-    cut = whole.mapInPandas(windows, "w1 long, w2 long, _doc long, start long")
-    earliest = cut.groupBy("w1", "w2").agg(F.min(F.struct("_doc", "start")).alias("e")).select("e._doc", "e.start")
-    kept = stage(earliest.groupBy("_doc").agg(F.collect_list("start").alias("kept")), "earliest")
+                    n = len(starts)
+                    arrays = [both[:, 0], both[:, 1], np.full(n, doc), np.full(n, row), starts.astype(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in arrays], ["w1", "w2", "_doc", "_row", "start"])
+
+    by = ["_doc", "h1", "h2"]
+    whole = hashed.join(notes.filter("NOT _copy").select(*by, "_row", "shared"), by)
+    cut = whole.select("_doc", "_row", "_text", "shared").mapInArrow(windows, "w1 long, w2 long, _doc long, _row long, start long")
+    earliest = cut.groupBy("w1", "w2").agg(F.min(F.struct("_doc", "_row", "start")).alias("e")).select("e._row", "e.start")
+    kept = stage(earliest.groupBy("_row").agg(F.collect_list("start").alias("kept")), "earliest")
+    carried = [key, *carry]
+    head = [f"_{i}" for i in range(len(carried))]
 
     def remove(batches):
         for batch in batches:
-            rows = []
-            for k, words, copy, shared, first in zip(
-                batch["_key"], batch["_text"], batch["_copy"], batch["shared"], batch["kept"]
-            ):
+            sizes, removed, texts = [], [], []
+            for words, copy, shared, first in zip(*(batch.column(c).to_pylist() for c in ("_text", "_copy", "shared", "kept"))):
                 words = split_words(words)
                 gone = np.zeros(len(words) + 1, dtype=np.int64)
-                if copy is True or copy is np.True_:
+                if copy:
                     gone[0] = 1
                 elif shared is not None:
                     starts, _ = shared_windows(words, window, _array(shared))
@@ -178,25 +184,19 @@ def remove_repeats(
                     np.add.at(gone, np.minimum(later + window, len(words)), -1)
                 stay = np.cumsum(gone)[: len(words)] == 0
                 left = [w for w, s in zip(words, stay.tolist()) if s]
-                rows.append((k, len(words), len(words) - len(left), b" ".join(left).decode()))
-            out = pd.DataFrame(rows, columns=[key, "n_words", "n_removed", "kept"])
-            out[key] = batch["_key"].to_numpy()
-            for c in carry:
-                out[c] = batch[f"_with_{c}"].to_numpy()
-            yield out[[key, *carry, "n_words", "n_removed", "kept"]]
-
-    judged = notes.join(kept, "_doc", "left")
-    beside = [f"_with_{c}" for c in carry]
-    rows = df.select(
-        F.col(key).alias("_key"),
-        F.coalesce(key, F.lit(-(2**63))).alias("_doc"),
-        F.coalesce(text, F.lit("")).alias("_text"),
-        *(F.col(c).alias(f"_with_{c}") for c in carry),
-    )
-    rows = rows.join(judged, "_doc", "left")
-    rows = rows.select("_key", "_text", F.coalesce("_copy", F.lit(False)).alias("_copy"), "shared", "kept", *beside)
-    extra = "".join(f"`{c}` {dict(df.dtypes)[c]}, " for c in carry)
-    return rows.mapInPandas(remove, f"`{key}` {kind}, {extra}n_words long, n_removed long, kept string")
+                sizes.append(len(words))
+                removed.append(len(words) - len(left))
+                texts.append(b" ".join(left).decode())
+            made = [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(h) for h in head), *made], [*head, "n_words", "n_removed", "kept"])
+
+    judged = notes.join(kept, "_row", "left").drop("_row")
+    rows = df.select(*(F.col(c).alias(h) for c, h in zip(carried, head)), *identity, F.coalesce(text, F.lit("")).alias("_text"))
+    rows = rows.join(judged, by, "left")
+    rows = rows.select(*head, "_text", F.coalesce("_copy", F.lit(False)).alias("_copy"), "shared", "kept")
+    kinds = dict(df.dtypes)
+    fields = ", ".join(f"{h} {kinds[c]}" for c, h in zip(carried, head))
+    return rows.mapInArrow(remove, f"{fields}, n_words long, n_removed long, kept string").toDF(*carried, "n_words", "n_removed", "kept")
 
 
 @query("op10_substring_dedup")
