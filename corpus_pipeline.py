@@ -6,21 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.llm.language_id import UNKNOWN, identify, train_on
-from tillwork.llm.near_text import similar_groups
 from tillwork.llm.packing import packed_digest
+from tillwork.llm.simhash import near_duplicates
 from tillwork.llm.substring_dedup import remove_repeats
 from tillwork.session import stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """Staged rows with their own number `_row`, which grows with doc_id; rows without one come last, by their text."""
-    ordered = docs.select(*COLUMNS).withColumn("_at", F.monotonically_increasing_id())
-    ordered = ordered.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), "_at").drop("_at")
-    return stage(ordered.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-
-
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter; `lang` becomes the prediction of the network. Learns from `docs` alone.
 
@@ -35,21 +28,21 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the first row by doc_id of each group; rows are told apart by their own number, not by doc_id.
+    """Keeps the first row by doc_id of each group of SimHash fingerprints; rows without an id come last.
 
-    Groups are linked by an exact similarity of 0.8 or more on shingles of five words, a reach at which 64-bit
-    fingerprints differ in 9 to 10 bits and more, too many to look them up by segments.
+    Three-word shingles and two bits, as in the operator's own query. Rows are told apart by their own number, not by
+    doc_id, so different texts of one id are documents of their own.
     """
     rows = stage(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
-    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row").alias("place")
-    groups = similar_groups(rows, key="_row").join(rows.select("_row", place), "_row")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("place")
+    groups = near_duplicates(rows.select("_row", "text"), key="_row").join(rows.select("_row", place), "_row")
     kept = groups.groupBy("component").agg(F.min("place").alias("place")).select("place._row")
     return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes words of repeated passages; documents of which nothing is left go, untouched texts stay as they are."""
-    found = remove_repeats(numbered(docs), key="_row", carry=COLUMNS[:4])
+    found = remove_repeats(docs.select(*COLUMNS), carry=COLUMNS[1:4], nulls_last=True)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     found = found.filter("n_removed = 0 OR n_removed < n_words").withColumn("text", text)
     return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
