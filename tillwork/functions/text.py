@@ -43,9 +43,13 @@ def country_key(c: Column) -> Column:
     return F.coalesce(F.replace(bare_key(c), F.lit("UNSPECIFIED"), F.lit(UNKNOWN)), F.lit(UNKNOWN))
 
 
-def customer_key(c: Column) -> Column:
-    """Ids that went through a float column lose their `.0` tail; NULL becomes UNKNOWN."""
-    return F.coalesce(F.regexp_replace(c.cast("string"), r"^([0-9]+)\.0+$", "$1"), F.lit(UNKNOWN))
+def customer_key(c: Column, number: bool = False) -> Column:
+    """Ids that went through a float column lose their `.0` tail; NULL becomes UNKNOWN. `number`: the column is a float."""
+    text = c.cast("string")
+    if number:
+        small = F.when(F.abs(c) < F.lit(2.0**62), c)  # NULL for NaN and what a bigint cannot hold
+        text = F.when(small == F.floor(small), small.cast("bigint").cast("string")).otherwise(text)
+    return F.coalesce(F.regexp_replace(text, r"^([0-9]+)\.0+$", "$1"), F.lit(UNKNOWN))
 
 
 def to_number(c: Column) -> Column:

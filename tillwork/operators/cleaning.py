@@ -27,7 +27,8 @@ def clean_country(df: DataFrame, name: str = "COUNTRY") -> DataFrame:
 
 
 def clean_customer_id(df: DataFrame, name: str = "CUSTOMER_ID") -> DataFrame:
-    return df.withColumn(name, text.customer_key(F.col(name)))
+    fractional = isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType))
+    return df.withColumn(name, text.customer_key(F.col(name), fractional))
 
 
 def coerce_numeric(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

@@ -278,13 +278,13 @@ class Profile:
         return counted.filter(~F.isnan("value"))
 
     def _central(self) -> DataFrame:
-        """(name, n, mean, lo, hi, m2, m3) of the numeric columns, moments about the mean."""
+        """(name, filled, mean, lo, hi, m2, m3) of the numeric columns, moments about the mean."""
         counted = self.number_values()
         firsts = counted.groupBy("name").agg(
-            F.sum("n").alias("N"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"), F.min("value").alias("lo"), F.max("value").alias("hi")
+            F.sum("n").alias("filled"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"), F.min("value").alias("lo"), F.max("value").alias("hi")
         )
         away = F.col("value") - F.col("mean")
-        return counted.join(firsts, "name").groupBy("name", "N", "mean", "lo", "hi").agg(
+        return counted.join(firsts, "name").groupBy("name", "filled", "mean", "lo", "hi").agg(
             F.sum(F.col("n") * away * away).alias("m2"), F.sum(F.col("n") * away * away * away).alias("m3")
         )
 
@@ -307,7 +307,7 @@ class Profile:
         others = self.values.filter(~F.col("col").isin(self.numbers))
         tops = others.groupBy("col").agg(F.count(F.lit(1)).alias("unique"), winner.alias("w"))
         tops = tops.select("col", "unique", F.col("w.value").alias("top"), (-F.col("w.n")).alias("freq"))
-        central = self._central().select(F.col("name").alias("col"), "mean", F.sqrt(ratio(F.col("m2"), F.col("N") - 1)).alias("std"),
+        central = self._central().select(F.col("name").alias("col"), "mean", F.sqrt(ratio(F.col("m2"), F.col("filled") - 1)).alias("std"),
                                          F.col("lo").alias("min"), F.col("hi").alias("max"))
         per = self._per_column().select("col", "position", F.col("filled").alias("count"))
         joined = per.join(tops, "col", "left").join(central, "col", "left").join(self.quartiles().withColumnRenamed("name", "col"), "col", "left")
@@ -315,7 +315,7 @@ class Profile:
 
     def skewness(self) -> DataFrame:
         """Bias-adjusted skewness per numeric column; NULL under three values or without spread."""
-        n = F.col("N").cast("double")
+        n = F.col("filled").cast("double")
         plain = F.col("m3") / n / F.pow(F.col("m2") / n, 1.5)
         value = F.when((n > 2) & (F.col("m2") > 0), plain * F.sqrt(n * (n - 1)) / (n - 2))
         found = self._central().select(F.col("name").alias("col"), value.alias("skewness"))

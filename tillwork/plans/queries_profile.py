@@ -213,7 +213,8 @@ def _all_parts() -> list[str]:
             _cell("Col_list", f"'{c}'", "NULL", str(k), "(SELECT 1)"),
             _cell("Missing_rates", f"'{c}'", "NULL", f"round(CAST(count(*) - count({c}) AS DOUBLE) / count(*) * 100, 2)", "orders"),
             _cell("Fullfill_rates", f"'{c}'", "NULL", f"round((1 - CAST(count(*) - count({c}) AS DOUBLE) / count(*)) * 100, 2)", "orders"),
-            _cell("Trim_me", f"'{c}'", "NULL", "0" if c in _ALL_TYPES else f"count(*) FILTER ({c} LIKE ' %' OR {c} LIKE '% ')", "orders"),
+            _cell("Trim_me", f"'{c}'", "NULL", "0", "(SELECT 1)") if c in _ALL_TYPES
+            else _cell("Trim_me", f"'{c}'", "NULL", f"count(*) FILTER ({c} LIKE ' %' OR {c} LIKE '% ')", "orders"),
             _cell("Describe", f"'{c}:count'", "NULL", f"count({c})", "orders"),
             _cell(
                 "Share_value", f"'{c}:' || value" if c != "o_totalprice" else f"'{c}:' || printf('%.6f', value)", "NULL", "round(share, 6)",
@@ -240,7 +241,9 @@ def _all_parts() -> list[str]:
             _cell("Histogram", f"'{c}:' || bin", "NULL", "n", binned),
         ]
         for other in _ALL_NUMBERS:
-            parts.append(_cell("Corr_Matrix", f"'{c}:{other}'", "NULL", "1" if c == other else f"round(corr({c}, {other}), 6)", "orders"))
+            diagonal = c == other
+            value, source = ("1", "(SELECT 1)") if diagonal else (f"round(corr({c}, {other}), 6)", "orders")
+            parts.append(_cell("Corr_Matrix", f"'{c}:{other}'", "NULL", value, source))
     pairs = [(b, a) for i, a in enumerate(_ALL_NUMBERS) for b in _ALL_NUMBERS[i + 1 :]]
     for result in ("Corr_Series_Pos", "Corr_Series_Neg"):
         parts += [_cell(result, f"'{b}:{a}'", "NULL", f"round(corr({a}, {b}), 6)", "orders") for b, a in pairs]

@@ -49,6 +49,13 @@ def clean_customer_id(spark, d):
     return cleaning.clean_customer_id(raw)
 
 
+@query("clean_customer_id_double", "SELECT o_orderkey, coalesce(CAST(o_custkey + 12000000 AS VARCHAR), 'UNKNOWN') AS CUSTOMER_ID FROM orders")
+def clean_customer_id_double(spark, d):
+    """Ids from a float column, beyond the size at which a double's text takes an exponent."""
+    ids = given.table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") + 12_000_000).cast("double").alias("CUSTOMER_ID"))
+    return cleaning.clean_customer_id(ids)
+
+
 @query(
     "coerce_numeric",
     """SELECT l_orderkey, CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE CAST(l_quantity AS BIGINT) END AS QUANTITY,

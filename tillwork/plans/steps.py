@@ -205,7 +205,7 @@ def _batch_number(n: int) -> str:
     return f"{n:012d}"
 
 
-def load_country(wh: Warehouse, reference: DataFrame, at: datetime | None = None) -> str | None:
+def load_country(wh: Warehouse, reference: DataFrame, at: datetime | None = None, reports: str | None = None) -> str | None:
     """Metadata of the countries of new sales batches that have none yet; names whose lookup failed are tried again."""
     state = _state(wh, "silver_country_mapping")
     sales, last = _sales_after(wh, state["sales"])
@@ -223,6 +223,8 @@ def load_country(wh: Warehouse, reference: DataFrame, at: datetime | None = None
     if (batch, last) != (state["batch"], state["sales"]):
         _set_state(wh, "silver_country_mapping", batch, last)
         wh.fold("SILVER", "COUNTRY_METADATA", _latest("COUNTRY_RAW"))
+    if name and reports:
+        export_reports(wh.spark, {"Country Mapping": country_table(wh)}, reports, "silver_country_mapping")
     return name
 
 
@@ -234,7 +236,7 @@ def country_table(wh: Warehouse) -> DataFrame:
     return stored_latest(wh, "SILVER_COUNTRY_METADATA", ["COUNTRY_RAW"])
 
 
-def load_rates(wh: Warehouse, first: DataFrame, second: DataFrame) -> str | None:
+def load_rates(wh: Warehouse, first: DataFrame, second: DataFrame, reports: str | None = None) -> str | None:
     """Rates of (date, currency) pairs that have none yet; missing rates are tried again.
 
     The sales are reduced, batch by batch, to a table of countries and days, which the calendar bounds. All else reads
@@ -262,6 +264,9 @@ def load_rates(wh: Warehouse, first: DataFrame, second: DataFrame) -> str | None
         _set_state(wh, "silver_exchange_rate", batch, last)
         wh.fold("SILVER", "EXCHANGE_RATE", _latest(*fxrates.PAIR))
         wh.fold("SILVER", "COUNTRY_DAYS", _latest(*keys))
+    if name and reports:
+        rates = {"Date Exchange Rate": rate_table(wh), "Missing rates": fxrates.fx_missing_report(rate_table(wh))}
+        export_reports(wh.spark, rates, reports, "silver_pair_currency_date")
     return name
 
 
@@ -269,7 +274,7 @@ def rate_table(wh: Warehouse) -> DataFrame:
     return stored_latest(wh, "SILVER_EXCHANGE_RATE", ["INVOICE_DATE", "CURRENCY"])
 
 
-def load_products(wh: Warehouse, **options) -> str | None:
+def load_products(wh: Warehouse, reports: str | None = None, **options) -> str | None:
     """Resolve the names of the codes for which new sales batches brought a raw name that has no mapping.
 
     Lines per (code, raw name) are kept as a table that each load adds its new batches to. All names of a touched
@@ -301,6 +306,10 @@ def load_products(wh: Warehouse, **options) -> str | None:
         _set_state(wh, "silver_product_mapping", batch, last)
         wh.fold("SILVER", "PRODUCT_MAPPING", _latest(*pair))
         wh.fold("SILVER", "PRODUCT_COUNTS", lambda df: df.groupBy(*pair).agg(F.sum("LINES").alias("LINES")))
+    if name and reports:
+        mapping = product_table(wh)
+        bundle = {"Product and code": mapping, **products.product_code_reports(mapping)}
+        export_reports(wh.spark, bundle, reports, "silver_pair_code_product")
     return name
 
 
@@ -464,9 +473,9 @@ def run_all(
     load_bronze_mapping(wh, mapping)
     load_silver_sales(wh)
     load_silver_mapping(wh)
-    load_country(wh, reference)
-    load_rates(wh, first_rates, second_rates)
-    load_products(wh)
+    load_country(wh, reference, reports=reports)
+    load_rates(wh, first_rates, second_rates, reports)
+    load_products(wh, reports)
     load_gold(wh)
     load_rfm(wh, reports)
     load_cltv(wh, reports)
