@@ -46,7 +46,6 @@ def test_against_everything(spark, docs_dir, rows, top, least, reach):
 def test_small_blocks(spark, docs_dir, rows, monkeypatch):
     monkeypatch.setattr(op, "BLOCK_BYTES", 500)
     monkeypatch.setattr(op, "CHUNK", 64)
-    monkeypatch.setattr(op, "SLICE_ROWS", 3)
     got = op.collocations(spark.read.parquet(f"{docs_dir}/documents.parquet"), top=30, least=20)
     assert Counter(map(tuple, got.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())) == everything(
         [(d[2], d[1]) for d in rows], 30, 20

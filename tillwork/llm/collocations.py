@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillwork.llm.bitmaps import Bitmap, bitmap, mix
-from tillwork.llm.common import query, table
+from tillwork.llm.common import query, slices, table
 from tillwork.session import stage
 
 #: Stands between pieces of text; no UTF-8 text holds this byte.
@@ -33,8 +33,6 @@ BREAK = b"\xff"
 PIECE_BYTES = bytes(255 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256)).lower()
 #: Text bytes that are cut into words together.
 BLOCK_BYTES = 4_000_000
-#: Rows of a batch that are turned into Python texts at a time.
-SLICE_ROWS = 500
 #: Bytes whose prefix sums are taken together, and the longest word that is hashed by them.
 CHUNK, LONG_WORD = 1 << 19, 512
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -149,8 +147,7 @@ def _tally(words: Words, starts: np.ndarray, n: int, lang: str) -> tuple[np.ndar
 def _blocks(batch: pa.RecordBatch):
     """(lang, joined bytes) of about BLOCK_BYTES at most, texts of one language together."""
     held: dict = {}
-    for at in range(0, batch.num_rows, SLICE_ROWS):
-        part = batch.slice(at, SLICE_ROWS)
+    for part in slices([batch]):
         for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
             parts = held.setdefault(lang, [0, []])
             raw = text.encode().translate(PIECE_BYTES)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +33,17 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+#: Rows of an Arrow batch that are turned into Python objects at a time.
+SLICE_ROWS = 500
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in short pieces, so that a task holds few texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def map_texts(df: DataFrame, text: str, keep: Sequence[str], work: Callable[[list[str]], list[pa.Array]], made: str) -> DataFrame:
     """The kept columns beside the columns `made` (DDL) that `work` returns for a list of texts, row by row, without a shuffle.
 
@@ -41,13 +52,15 @@ def map_texts(df: DataFrame, text: str, keep: Sequence[str], work: Callable[[lis
     kinds = dict(df.dtypes)
     head = [f"_{i}" for i in range(len(keep))]
     names = [part.split()[0] for part in made.split(", ")]
+    source = head[list(keep).index(text)] if text in keep else "_text"  # a kept text is sent once
 
     def run(batches):
-        for batch in batches:
-            new = work(batch.column("_text").to_pylist())
+        for batch in slices(batches):
+            new = work([t or "" for t in batch.column(source).to_pylist()])
             yield pa.RecordBatch.from_arrays([*(batch.column(h) for h in head), *new], [*head, *names])
 
-    rows = df.select(*(F.col(c).alias(h) for c, h in zip(keep, head)), F.coalesce(text, F.lit("")).alias("_text"))
+    columns = [F.col(c).alias(h) for c, h in zip(keep, head)]
+    rows = df.select(*columns) if text in keep else df.select(*columns, F.col(text).alias("_text"))
     schema = ", ".join([*(f"{h} {kinds[c]}" for c, h in zip(keep, head)), made])
     return rows.mapInArrow(run, schema).toDF(*keep, *names)
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillwork.llm.bitmaps import bitmap
-from tillwork.llm.common import query, table
+from tillwork.llm.common import query, slices, table
 from tillwork.session import stage
 
 #: Documents and postings of one cell.
@@ -102,7 +102,7 @@ def _term_lists(df: DataFrame, text: str, keep: list[str], wanted=None) -> DataF
 
     def run(batches):
         known: dict[bytes, bool] = {}
-        for batch in batches:
+        for batch in slices(batches):
             sizes, terms, counts = [], [], []
             for text in batch.column("_text").to_pylist():
                 found = terms_of(text)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import query, table
+from tillwork.llm.common import query, slices, table
 
 #: Kinds in the order in which spans of one start are listed: the four base kinds, then those the method adds.
 KINDS = ("email", "ip", "card", "phone", "mail", "login", "ip6", "account", "secret")
@@ -250,7 +250,7 @@ def personal_data(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("d
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [find_spans(t) for t in batch.column("_text").to_pylist()]
             offsets = [0]
             for spans in found:

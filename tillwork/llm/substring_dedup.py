@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import map_texts, query, table
+from tillwork.llm.common import map_texts, query, slices, table
 from tillwork.session import stage
 
 GRAM = 8
@@ -152,7 +152,7 @@ def remove_repeats(
     notes = stage(notes, "shared-grams")
 
     def windows(batches):
-        for batch in batches:
+        for batch in slices(batches):
             lists = zip(*(batch.column(c).to_pylist() for c in ("_doc", "_row", "_text", "shared")))
             for doc, row, words, shared in lists:
                 starts, both = shared_windows(split_words(words), window, _array(shared))
@@ -170,7 +170,7 @@ def remove_repeats(
     head = [f"_{i}" for i in range(len(carried))]
 
     def remove(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sizes, removed, texts = [], [], []
             for words, copy, shared, first in zip(*(batch.column(c).to_pylist() for c in ("_text", "_copy", "shared", "kept"))):
                 words = split_words(words)
