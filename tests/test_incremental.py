@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from tillwork.operators import fxrates, incremental, star
 from tillwork.session import scratch_path
-from tillwork.sources import files, names
+from tillwork import session
+from tillwork.sources import files, names, storage
 from tillwork.sources.reports import export_reports, report_index
 from tillwork.sources.warehouse import Warehouse
 from tillwork.streaming.file_ingest import incr_file_ingest
@@ -131,3 +132,53 @@ def test_modified_after_prunes_files(spark):
     assert files.modified_after(df, now + timedelta(days=1)).count() == 0
     assert files.modified_after(df, now - timedelta(days=1)).count() == 3
     assert files.modified_after(df, None).count() == 3
+
+
+def test_half_written_replacement_leaves_the_old_table(spark):
+    wh = Warehouse(spark, scratch_path(spark, "t"))
+    wh.overwrite("S", "T", spark.range(3))
+    broken = spark.range(100).select(F.when(F.col("id") < 99, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("bigint")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        wh.overwrite("S", "T", broken)
+    assert rows_of(wh.read("S_T")) == [(0,), (1,), (2,)] and wh.tables("S_") == ["S_T"]
+    wh.overwrite("S", "T", wh.read("S_T").filter("id > 0"))  # a table may be replaced by what is made of it
+    wh.overwrite("S", "T", wh.read("S_T").filter("id > 1"))
+    assert rows_of(wh.read("S_T")) == [(2,)]
+    kept = storage.children(spark, f"{wh.path('S_T')}/versions")
+    assert len(kept) == 2 and kept == storage.children(spark, f"{wh.path('S_T')}/current")
+
+
+def test_fold_keeps_the_latest_rows_and_the_last_batch(spark):
+    wh = Warehouse(spark, scratch_path(spark, "t"))
+    for n in range(5):
+        wh.write_batch("S", "T", spark.createDataFrame([("a", n), (f"k{n}", n)], "k string, v int"), f"{n:03d}")
+    latest = lambda df: incremental.latest_per_key(df, ["k"], "LOAD_BATCH")
+    assert not wh.fold("S", "T", latest, most=5) and wh.fold("S", "T", latest, most=4)
+    assert wh.batches("S_T") == ["b_004"]
+    assert rows_of(wh.read("S_T")) == [("a", 4), *((f"k{n}", n) for n in range(5))]
+    wh.write_batch("S", "T", spark.createDataFrame([("a", 9)], "k string, v int"), "005")
+    assert wh.batch_counts("S_T") == {"b_004": 6, "b_005": 1}
+
+
+def test_scratch_is_cleared(spark):
+    made, before = scratch_path(spark, "x"), list(session._scratch)
+    session._scratch[:] = [made]
+    spark.range(2).write.parquet(made)
+    assert session.clear_scratch(spark) == 1 and not storage.exists(spark, made)
+    session._scratch[:] = before[:-1]
+
+
+def test_as_of_takes_the_last_earlier_value(spark):
+    rows = spark.createDataFrame([("x", d) for d in ("2010-01-01", "2010-01-03", "2010-04-02", "2009-12-31")] + [("y", "2010-01-05"), (None, "2010-01-01")], "c string, d string")
+    known = spark.createDataFrame([("x", "2010-01-02", 1.0), ("x", "2010-01-03", 2.0), ("x", "2010-02-01", None), ("x", "2010-04-03", 9.0), ("y", "2009-06-01", 5.0)], "c string, d string, v double")
+    got = fxrates.last_earlier(rows, known, "c", "d", "v")
+    assert {(r.c, r.d): r.v for r in got.collect()} == {
+        ("x", "2010-01-01"): None, ("x", "2010-01-03"): 2.0, ("x", "2010-04-02"): 2.0, ("x", "2009-12-31"): None, ("y", "2010-01-05"): 5.0, (None, "2010-01-01"): None
+    }
+
+
+def test_month_ranges():
+    months = [f"{y}-{m:02d}" for y in (2009, 2010) for m in (1, 2, 3)] + ["2020-12"]
+    assert incremental.month_ranges(months) == [("2009-01", "2009-03"), ("2010-01", "2010-03"), ("2020-12", "2020-12")]
+    assert incremental.month_ranges(months, 2) == [("2009-01", "2010-03"), ("2020-12", "2020-12")]
+    assert incremental.month_ranges([]) == []

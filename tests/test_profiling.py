@@ -121,3 +121,47 @@ def test_code_flags(spark):
     checked = explore.faulty_descriptions(sales, explore.description_count_per_code(df), explore.code_count_per_description(df))
     assert checked.count() == 4 and "INVOICE_DATE" not in checked.columns
     assert {r["DESCRIPTION"]: r["TO_CHECK"] for r in checked.collect()}[None] == "NO"
+
+
+def test_three_hundred_columns_in_one_scan(spark):
+    rng = np.random.default_rng(5)
+    values = rng.normal(size=(400, 300)) + rng.normal(size=(400, 1)) + 1e6
+    values[::9, 7] = np.nan
+    values[:, 11] = 0.1
+    df = spark.createDataFrame(pd.DataFrame(values, columns=[f"c{i}" for i in range(300)])).repartition(5)
+    got = {r["i"]: r["r"] for r in profiling.correlations(df, df.columns).collect()}
+    want = pd.DataFrame(values).corr().to_numpy()
+    for i in range(0, 300, 7):
+        for j in range(300):
+            if 11 in (i, j):
+                assert got[i][j] is None
+            else:
+                assert got[i][j] == pytest.approx(want[i, j], abs=1e-7)
+
+
+def test_profile_from_one_scan(spark, df, frame):
+    found = profiling.profile_all(df, ["a"], 5)
+    assert len(found) == 15
+    assert [r["a"] for r in found["Head"].collect()] == sorted(frame.a)[:5]
+    assert [r["a"] for r in found["Tail"].collect()] == sorted(frame.a)[-5:]
+    assert found["Sample"].exceptAll(profiling.profile_sample(df, 5, ["a"])).isEmpty()
+    plain = {
+        "Describe": profiling.profile_describe(df), "Missing_rates": profiling.profile_missing_rate(df), "Info": profiling.profile_info(df),
+        "Fullfill_rates": profiling.profile_fill_rate(df), "Trim_me": profiling.profile_need_trim(df),
+        "Histogram": profiling.profile_histogram(df), "Variance": profiling.profile_skewness(df), "Share_value": profiling.profile_value_share(df),
+    }
+    for name, other in plain.items():
+        key = "Column" if name == "Info" else "col"
+        order = lambda rows: sorted((tuple(r) for r in rows), key=lambda t: repr(t[:2]))
+        ours, theirs = order(found[name].select(other.columns).collect()), order(other.collect())
+        assert len(ours) == len(theirs), (name, key)
+        for a, b in zip(ours, theirs):
+            for x, y in zip(a, b):
+                assert x == y or (isinstance(x, float) and x == pytest.approx(y)), (name, a, b)
+
+
+def test_profile_of_an_empty_table(spark):
+    found = profiling.profile_all(spark.createDataFrame([], "a double, t string"), ["t"], 5)
+    assert {n: (len(r) if isinstance(r, list) else r.count()) for n, r in found.items() if n in ("Head", "Info", "Describe", "Share_value")} == {
+        "Head": 0, "Info": 5, "Describe": 2, "Share_value": 0
+    }

@@ -1,24 +1,10 @@
-"""Money and date expressions.
-
-Money is summed as whole ten-thousandths in a bigint: exact whatever order rows arrive in, and it
-stays on the fast unboxed aggregation path. Overflow raises under ANSI mode instead of wrapping.
-"""
+"""Ratio and date expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCALE = 10_000.0
-
-
-def ticks(c: Column) -> Column:
-    return F.round(c * F.lit(SCALE)).cast("bigint")
-
-
-def from_ticks(c: Column) -> Column:
-    return c.cast("double") / F.lit(SCALE)
-
 
 def ratio(top: Column, bottom: Column) -> Column:
     """Double division, NULL where the divisor is zero."""

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwork.functions.amounts import from_ticks, ratio, ticks
+from tillwork.functions.amounts import ratio
 from tillwork.functions.text import hash_percent
 from tillwork.operators.ranking import exact_quantiles
 from tillwork.session import cut_lineage
@@ -35,11 +35,11 @@ TIME_FEATURES = (
 
 
 def monthly_revenue(sales: DataFrame) -> DataFrame:
-    """Long form: one row per customer and month, revenue in ten-thousandths."""
+    """Long form: one row per customer and month with its revenue X."""
     return (
         sales.filter(F.col("CUSTOMER_ID").isNotNull() & F.col("YEAR_MONTH").isNotNull())
         .groupBy("CUSTOMER_ID", "YEAR_MONTH")
-        .agg(F.sum(ticks(F.col("REVENUE"))).alias("X"))
+        .agg(F.sum("REVENUE").alias("X"))
         .filter(F.col("X").isNotNull())
     )
 
@@ -54,7 +54,7 @@ def monthly_pivot(sales: DataFrame) -> DataFrame:
     """Customer by month revenue, 0 where nothing was bought."""
     long = monthly_revenue(sales)
     months = [r["YEAR_MONTH"] for r in sales.select("YEAR_MONTH").dropna().distinct().orderBy("YEAR_MONTH").collect()]
-    wide = long.withColumn("REVENUE", from_ticks(F.col("X"))).groupBy("CUSTOMER_ID").pivot("YEAR_MONTH", months)
+    wide = long.withColumnRenamed("X", "REVENUE").groupBy("CUSTOMER_ID").pivot("YEAR_MONTH", months)
     return wide.agg(F.sum("REVENUE")).na.fill(0.0, subset=months)
 
 
@@ -71,7 +71,8 @@ def time_features(sales: DataFrame, feature_months: int | None = None) -> DataFr
     """Twelve features of each customer's month vector, months without sales counting as 0.
 
     `feature_months` limits the vector to the first months; by default it covers all of them.
-    Sums of squares are exact decimals, so the deviation does not depend on row order.
+    The deviation adds that of the months with sales to what the other months, all zero, put between them; both parts
+    are sums of squares, so nothing cancels.
     """
     long, n = _indexed(sales, feature_months)
     half = F.floor(n / F.lit(2)).cast("int")
@@ -79,12 +80,11 @@ def time_features(sales: DataFrame, feature_months: int | None = None) -> DataFr
     seen = i > 0
 
     def total(when: Column) -> Column:
-        return F.coalesce(F.sum(F.when(when & seen, x)), F.lit(0).cast("bigint"))
+        return F.coalesce(F.sum(F.when(when & seen, x)), F.lit(0.0))
 
-    wide = x.cast("decimal(18,0)")
     sums = long.groupBy("CUSTOMER_ID").agg(
         total(seen).alias("s"),
-        F.coalesce(F.sum(F.when(seen, wide * wide)), F.lit(0).cast("decimal(38,0)")).alias("sq"),
+        F.coalesce(F.var_pop(F.when(seen, x)), F.lit(0.0)).alias("spread"),
         F.max(F.when(seen, x)).alias("hi"),
         F.count_if(seen).alias("months"),
         F.count_if(seen & (x > 0)).alias("active"),
@@ -93,21 +93,21 @@ def time_features(sales: DataFrame, feature_months: int | None = None) -> DataFr
         total(i > n - 3).alias("recent"),
         total(i <= 3).alias("early"),
     )
-    s_wide = F.col("s").cast("decimal(18,0)")
-    spread = (n.cast("decimal(6,0)") * F.col("sq")).cast("decimal(38,0)") - s_wide * s_wide
-    variance = ratio(spread, n.cast("double") * (n - 1))
-    padded = F.when(F.col("months") < n, F.greatest(F.coalesce("hi", F.lit(0)), F.lit(0))).otherwise(F.col("hi"))
-    first, second = from_ticks(F.col("first")), from_ticks(F.col("second"))
+    months = F.col("months")
+    between = F.coalesce(ratio(F.col("s") * F.col("s") * (n - months), months * n), F.lit(0.0))
+    variance = ratio(F.col("spread") * months + between, n - 1)
+    padded = F.when(months < n, F.greatest(F.coalesce("hi", F.lit(0.0)), F.lit(0.0))).otherwise(F.col("hi"))
+    first, second = F.col("first"), F.col("second")
     return (
         sums.select(
             "CUSTOMER_ID",
-            ratio(from_ticks(F.col("s")), n).alias("AVG_MONTHLY_REVENUE"),
-            (F.sqrt(variance) / F.lit(10_000.0)).alias("STD_MONTHLY_REVENUE"),
-            from_ticks(padded).alias("MAX_MONTHLY_REVENUE"),
+            ratio(F.col("s"), n).alias("AVG_MONTHLY_REVENUE"),
+            F.sqrt(variance).alias("STD_MONTHLY_REVENUE"),
+            padded.alias("MAX_MONTHLY_REVENUE"),
             first.alias("FIRST_HALF_REVENUE"),
             second.alias("SECOND_HALF_REVENUE"),
-            from_ticks(F.col("recent")).alias("RECENT_3M_REVENUE"),
-            from_ticks(F.col("early")).alias("EARLY_3M_REVENUE"),
+            F.col("recent").alias("RECENT_3M_REVENUE"),
+            F.col("early").alias("EARLY_3M_REVENUE"),
             (ratio(second, n - half) - ratio(first, half)).alias("REVENUE_TREND"),
             (ratio(second, first + 1) - 1).alias("GROWTH_RATE"),
             F.col("active").alias("MONTHS_ACTIVE"),
@@ -140,8 +140,8 @@ def future_revenue(sales: DataFrame, train_months: int = 12) -> DataFrame:
     long, n = _indexed(sales)
     message = F.lit(f"Not enough data: need more than {train_months} months.")
     later = F.when(n <= train_months, F.raise_error(message).cast("boolean")).otherwise(F.col("I") > train_months)
-    summed = F.coalesce(F.sum(F.when(later, F.col("X"))), F.lit(0).cast("bigint"))
-    return long.groupBy("CUSTOMER_ID").agg(from_ticks(summed).alias("TARGET"))
+    summed = F.coalesce(F.sum(F.when(later, F.col("X"))), F.lit(0.0))
+    return long.groupBy("CUSTOMER_ID").agg(summed.alias("TARGET"))
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.functions.amounts import from_ticks, ratio, ticks
+from tillwork.functions.amounts import ratio
 from tillwork.operators.ranking import quintile_scores
 
 
@@ -19,7 +19,6 @@ def rfm_metrics(sales: DataFrame) -> DataFrame:
     """Per-customer metrics in one grouped aggregation; the snapshot date is a scalar subquery."""
     day = F.to_date("INVOICE_DATE")
     snapshot = F.to_date(snapshot_date(sales).scalar())
-    money = ticks(F.col("REVENUE"))
     per_customer = (
         sales.filter(F.col("CUSTOMER_ID").isNotNull())
         .groupBy("CUSTOMER_ID")
@@ -29,10 +28,10 @@ def rfm_metrics(sales: DataFrame) -> DataFrame:
             F.count_distinct("INVOICE").alias("FREQUENCY"),
             F.sum("QUANTITY").alias("SOLD_QUANTITY"),
             F.count("QUANTITY").alias("lines"),
-            F.sum(money).alias("revenue"),
-            F.count(money).alias("priced"),
-            F.max(money).alias("highest"),
-            F.min(money).alias("lowest"),
+            F.sum("REVENUE").alias("TOTAL_REVENUE"),
+            F.count("REVENUE").alias("priced"),
+            F.max("REVENUE").alias("MAX_ORDER_VALUE"),
+            F.min("REVENUE").alias("MIN_ORDER_VALUE"),
         )
     )
     return per_customer.select(
@@ -44,10 +43,10 @@ def rfm_metrics(sales: DataFrame) -> DataFrame:
         "FREQUENCY",
         F.col("SOLD_QUANTITY").cast("double").alias("SOLD_QUANTITY"),
         ratio(F.col("SOLD_QUANTITY"), F.col("lines")).alias("AVG_BASKET_SIZE"),
-        from_ticks(F.col("revenue")).alias("TOTAL_REVENUE"),
-        ratio(from_ticks(F.col("revenue")), F.col("priced")).alias("AVG_ORDER_VALUE"),
-        from_ticks(F.col("highest")).alias("MAX_ORDER_VALUE"),
-        from_ticks(F.col("lowest")).alias("MIN_ORDER_VALUE"),
+        "TOTAL_REVENUE",
+        ratio(F.col("TOTAL_REVENUE"), F.col("priced")).alias("AVG_ORDER_VALUE"),
+        "MAX_ORDER_VALUE",
+        "MIN_ORDER_VALUE",
     )
 
 
@@ -125,7 +124,7 @@ def cltv_formula(sales: DataFrame, margin: float = 0.05) -> DataFrame:
         F.datediff(last_day, F.max(day)).cast("bigint").alias("RECENCY"),
         F.count(F.lit(1)).alias("FREQUENCY"),
         F.sum("QUANTITY").alias("SOLD_QUANTITY"),
-        from_ticks(F.sum(ticks(F.col("REVENUE")))).alias("REVENUE"),
+        F.sum("REVENUE").alias("REVENUE"),
         F.datediff(F.max(day), F.min(day)).cast("bigint").alias("TENURE"),
     )
     per_customer = base.select("FREQUENCY").agg(

@@ -52,12 +52,9 @@ def product_key(code: str, name: str) -> str:
     return stable_id(f"length({code}) || ':' || {code} || {name}")
 
 
-def ticks(c: str) -> str:
-    return f"CAST(round({c} * 10000.0) AS BIGINT)"
-
-
-def money(total: str) -> str:
-    return f"CAST({total} AS DOUBLE) / 10000.0"
+def rounded(columns: str, source: str, digits: int = 6) -> str:
+    """All columns of a fragment, the named ones rounded twice, so that noise in the last bits does not decide a half."""
+    return f"SELECT * REPLACE ({', '.join(f'round(round({c}, {digits + 3}), {digits}) AS {c}' for c in columns.split())}) FROM {source}"
 
 
 def case_map(c: str, pairs: dict[str, str]) -> str:
@@ -120,10 +117,8 @@ part(
        min(INVOICE_DATE) AS DATE_FIRST_PURCHASE, max(INVOICE_DATE) AS DATE_LAST_PURCHASE,
        count(DISTINCT INVOICE) AS FREQUENCY, CAST(sum(QUANTITY) AS DOUBLE) AS SOLD_QUANTITY,
        CAST(sum(QUANTITY) AS DOUBLE) / count(QUANTITY) AS AVG_BASKET_SIZE,
-       {money('sum(' + ticks('REVENUE') + ')')} AS TOTAL_REVENUE,
-       {money('sum(' + ticks('REVENUE') + ')')} / count(REVENUE) AS AVG_ORDER_VALUE,
-       {money('max(' + ticks('REVENUE') + ')')} AS MAX_ORDER_VALUE,
-       {money('min(' + ticks('REVENUE') + ')')} AS MIN_ORDER_VALUE
+       sum(REVENUE) AS TOTAL_REVENUE, sum(REVENUE) / count(REVENUE) AS AVG_ORDER_VALUE,
+       max(REVENUE) AS MAX_ORDER_VALUE, min(REVENUE) AS MIN_ORDER_VALUE
 FROM valid GROUP BY CUSTOMER_ID""",
 )
 part(
@@ -285,13 +280,13 @@ part(
 part(
     "monthly",
     ("valid", "months"),
-    f"""SELECT CUSTOMER_ID, v.YEAR_MONTH, any_value(I) AS I, any_value(N) AS N, CAST(sum({ticks('REVENUE')}) AS BIGINT) AS X
+    f"""SELECT CUSTOMER_ID, v.YEAR_MONTH, any_value(I) AS I, any_value(N) AS N, sum(REVENUE) AS X
 FROM valid v JOIN months m ON m.YEAR_MONTH = v.YEAR_MONTH GROUP BY CUSTOMER_ID, v.YEAR_MONTH""",
 )
 part(
     "month_sums",
     ("monthly",),
-    """SELECT CUSTOMER_ID, any_value(N) AS N, any_value(N) // 2 AS H, sum(X) AS S, sum(CAST(X AS HUGEINT) * X) AS SQ, max(X) AS HI,
+    """SELECT CUSTOMER_ID, any_value(N) AS N, any_value(N) // 2 AS H, sum(X) AS S, var_pop(X) AS V, max(X) AS HI,
        count(*) AS M, count(*) FILTER (X > 0) AS A,
        coalesce(sum(X) FILTER (I <= N // 2), 0) AS F1, coalesce(sum(X) FILTER (I > N // 2), 0) AS F2,
        coalesce(sum(X) FILTER (I > N - 3), 0) AS R3, coalesce(sum(X) FILTER (I <= 3), 0) AS E3
@@ -301,20 +296,19 @@ part(
     "features",
     ("month_sums",),
     """SELECT *, 1.0::DOUBLE - STD_MONTHLY_REVENUE / (AVG_MONTHLY_REVENUE + 1) AS PURCHASE_CONSISTENCY FROM (
-SELECT CUSTOMER_ID, CAST(S AS DOUBLE) / 10000.0 / N AS AVG_MONTHLY_REVENUE,
-       sqrt(CAST(CAST(N AS HUGEINT) * SQ - CAST(S AS HUGEINT) * S AS DOUBLE) / (CAST(N AS DOUBLE) * (N - 1))) / 10000.0 AS STD_MONTHLY_REVENUE,
-       CAST(CASE WHEN M < N THEN greatest(HI, 0) ELSE HI END AS DOUBLE) / 10000.0 AS MAX_MONTHLY_REVENUE,
-       CAST(F1 AS DOUBLE) / 10000.0 AS FIRST_HALF_REVENUE, CAST(F2 AS DOUBLE) / 10000.0 AS SECOND_HALF_REVENUE,
-       CAST(R3 AS DOUBLE) / 10000.0 AS RECENT_3M_REVENUE, CAST(E3 AS DOUBLE) / 10000.0 AS EARLY_3M_REVENUE,
-       CAST(F2 AS DOUBLE) / 10000.0 / (N - H) - CAST(F1 AS DOUBLE) / 10000.0 / H AS REVENUE_TREND,
-       CAST(F2 AS DOUBLE) / 10000.0 / (CAST(F1 AS DOUBLE) / 10000.0 + 1) - 1 AS GROWTH_RATE,
+SELECT CUSTOMER_ID, S / N AS AVG_MONTHLY_REVENUE,
+       sqrt((V * M + S * S * (N - M) / (CAST(M AS DOUBLE) * N)) / (N - 1)) AS STD_MONTHLY_REVENUE,
+       CASE WHEN M < N THEN greatest(HI, 0) ELSE HI END AS MAX_MONTHLY_REVENUE,
+       CAST(F1 AS DOUBLE) AS FIRST_HALF_REVENUE, CAST(F2 AS DOUBLE) AS SECOND_HALF_REVENUE,
+       CAST(R3 AS DOUBLE) AS RECENT_3M_REVENUE, CAST(E3 AS DOUBLE) AS EARLY_3M_REVENUE,
+       F2 / (N - H) - F1 / H AS REVENUE_TREND, F2 / (F1 + 1) - 1 AS GROWTH_RATE,
        A AS MONTHS_ACTIVE, CAST(A AS DOUBLE) / N AS ACTIVITY_RATE
 FROM month_sums)""",
 )
 part(
     "future",
     ("monthly",),
-    """SELECT CUSTOMER_ID, CAST(coalesce(sum(X) FILTER (I > 12), 0) AS DOUBLE) / 10000.0 AS TARGET FROM monthly GROUP BY CUSTOMER_ID""",
+    """SELECT CUSTOMER_ID, CAST(coalesce(sum(X) FILTER (I > 12), 0) AS DOUBLE) AS TARGET FROM monthly GROUP BY CUSTOMER_ID""",
 )
 part(
     "capped",

@@ -12,7 +12,7 @@ from tillwork.operators import cltv_features, cltv_models, fxrates, ranking, rfm
 from tillwork.operators.cleaning import add_revenue
 from tillwork.plans import sample_tables as given
 from tillwork.plans import steps, views
-from tillwork.plans.oracle_parts import money, product_key, stable_id, ticks, with_parts
+from tillwork.plans.oracle_parts import product_key, rounded, stable_id, with_parts
 from tillwork.plans.queries_silver import KEEP, LISTS, REMOVE
 from tillwork.plans.registry import query
 from tillwork.session import cut_lineage, scratch_path, stage
@@ -176,14 +176,44 @@ def snapshot_date(spark, d):
     return rfm.snapshot_date(views.valid(spark, d))
 
 
-@query("rfm_metrics", with_parts("metrics", "SELECT * FROM metrics"))
+# Sums of doubles differ in their last bits with the order of rows, so queries round them.
+_METRICS = "SOLD_QUANTITY AVG_BASKET_SIZE TOTAL_REVENUE AVG_ORDER_VALUE MAX_ORDER_VALUE MIN_ORDER_VALUE"
+_DERIVED = f"{_METRICS} PURCHASE_FREQUENCY_RATE REVENUE_PER_DAY AVG_DAYS_BETWEEN_PURCHASES CHURN_RISK_SCORE"
+
+
+def _round(df: DataFrame, columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(F.round(c, digits + 3), digits) for c in columns.split()})
+
+
+@query("rfm_metrics", with_parts("metrics", rounded(_METRICS, "metrics")))
 def rfm_metrics(spark, d):
-    return rfm.rfm_metrics(views.stored_valid(spark, d))
+    return _round(rfm.rfm_metrics(views.stored_valid(spark, d)), _METRICS)
+
+
+_SMALL = "TOTAL_REVENUE AVG_ORDER_VALUE MAX_ORDER_VALUE MIN_ORDER_VALUE"
+
+
+@query(
+    "rfm_metrics_small_prices",
+    with_parts(
+        "valid",
+        rounded(
+            _SMALL,
+            """(SELECT CUSTOMER_ID, sum(r) * 1e7 AS TOTAL_REVENUE, avg(r) * 1e7 AS AVG_ORDER_VALUE, max(r) * 1e7 AS MAX_ORDER_VALUE,
+       min(r) * 1e7 AS MIN_ORDER_VALUE FROM (SELECT CUSTOMER_ID, REVENUE * 1e-7 AS r FROM valid) GROUP BY CUSTOMER_ID)""",
+        ),
+    ),
+)
+def rfm_metrics_small_prices(spark, d):
+    """Amounts far below a ten-thousandth are summed as they are; the result is scaled back."""
+    sales = views.stored_valid(spark, d).withColumn("REVENUE", F.col("REVENUE") * 1e-7)
+    found = rfm.rfm_metrics(sales).withColumns({c: F.col(c) * 1e7 for c in _SMALL.split()})
+    return _round(found, _SMALL).select("CUSTOMER_ID", *_SMALL.split())
 
 
-@query("rfm_derived", with_parts("derived", "SELECT * FROM derived"))
+@query("rfm_derived", with_parts("derived", rounded(_DERIVED, "derived")))
 def rfm_derived(spark, d):
-    return views.metrics(spark, d)
+    return _round(views.metrics(spark, d), _DERIVED)
 
 
 @query("rfm_rates", with_parts("derived", "SELECT avg(IS_REPEAT_CUSTOMER) AS REPEAT_CUSTOMER_RATE, avg(IS_ACTIVE) AS ACTIVE_CUSTOMER_RATE FROM derived"))
@@ -230,7 +260,9 @@ def rfm_scores(spark, d):
 def _summary(score: str, metric: str, label: str) -> str:
     return with_parts(
         "scored",
-        f"SELECT {score}, min({metric}) AS MIN_{label}, max({metric}) AS MAX_{label}, count({metric}) AS COUNT FROM scored GROUP BY {score}",
+        f"SELECT {score}, round(round(min({metric}), 9), 6) AS MIN_{label}, round(round(max({metric}), 9), 6) AS MAX_{label}, count({metric}) AS COUNT FROM scored GROUP BY {score}"
+        if label == "MONETARY"
+        else f"SELECT {score}, min({metric}) AS MIN_{label}, max({metric}) AS MAX_{label}, count({metric}) AS COUNT FROM scored GROUP BY {score}",
     )
 
 
@@ -246,27 +278,28 @@ def summary_frequency(spark, d):
 
 @query("rfm_score_summary_monetary", _summary("MONETARY_SCORE", "TOTAL_REVENUE", "MONETARY"))
 def summary_monetary(spark, d):
-    return rfm.rfm_score_summaries(views.scored(spark, d))["Summary monetary"]
+    return _round(rfm.rfm_score_summaries(views.scored(spark, d))["Summary monetary"], "MIN_MONETARY MAX_MONETARY")
 
 
-@query("rfm_scoring", with_parts("customer_rfm", "SELECT * FROM customer_rfm"))
+@query("rfm_scoring", with_parts("customer_rfm", rounded(_DERIVED, "customer_rfm")))
 def rfm_scoring(spark, d):
     """From stored fact lines to the stored customer table."""
     wh = Warehouse(spark, scratch_path(spark, "wh"))
     wh.write_batch("GOLD", "FACT_SALES", views.fact(spark, d), "first", schemas.FACT_SALES)
-    return wh.read(steps.load_rfm(wh))
+    return _round(wh.read(steps.load_rfm(wh)), _DERIVED)
 
 
 _PURCHASES = """WITH p AS (SELECT CAST(user_id AS VARCHAR) AS CUSTOMER_ID, CAST(ts AS DATE) AS day, 1 AS QUANTITY, value AS REVENUE
   FROM events WHERE event_type = 'purchase' AND value > 0),
 c AS (SELECT CUSTOMER_ID, date_diff('day', max(day), (SELECT max(day) + 1 FROM p)) AS RECENCY, count(*) AS FREQUENCY,
-  CAST(sum(QUANTITY) AS BIGINT) AS SOLD_QUANTITY, CAST(sum(CAST(round(REVENUE * 10000.0) AS BIGINT)) AS DOUBLE) / 10000.0 AS REVENUE,
+  CAST(sum(QUANTITY) AS BIGINT) AS SOLD_QUANTITY, sum(REVENUE) AS REVENUE,
   date_diff('day', min(day), max(day)) AS TENURE FROM p GROUP BY CUSTOMER_ID),
 s AS (SELECT CAST(sum(FREQUENCY) AS DOUBLE) / count(*) AS pf, 1.0::DOUBLE - CAST(count(*) FILTER (FREQUENCY > 1) AS DOUBLE) / count(*) AS churn FROM c),
 v AS (SELECT *, REVENUE / FREQUENCY AS AOV, REVENUE * 0.05::DOUBLE AS PROFIT_MARGIN,
   REVENUE / FREQUENCY * (SELECT pf FROM s) / (SELECT nullif(churn, 0) FROM s) AS CLV FROM c)
-SELECT CUSTOMER_ID, RECENCY, FREQUENCY, SOLD_QUANTITY, REVENUE, TENURE, AOV, PROFIT_MARGIN, round(CLV, 4) AS CLV,
-  round(CLV * PROFIT_MARGIN, 4) AS CLTV FROM v"""
+SELECT CUSTOMER_ID, RECENCY, FREQUENCY, SOLD_QUANTITY, round(round(REVENUE, 9), 6) AS REVENUE, TENURE, round(round(AOV, 9), 6) AS AOV,
+  round(round(PROFIT_MARGIN, 9), 6) AS PROFIT_MARGIN, round(round(CLV, 7), 4) AS CLV,
+  round(round(CLV * PROFIT_MARGIN, 7), 4) AS CLTV FROM v"""
 
 
 @query("cltv_formula", _PURCHASES)
@@ -283,7 +316,7 @@ def cltv_formula(spark, d):
         )
     )
     result = rfm.cltv_formula(add_revenue(purchases))
-    return result.withColumns({"CLV": F.round("CLV", 4), "CLTV": F.round("CLTV", 4)})
+    return _round(_round(result, "REVENUE AOV PROFIT_MARGIN"), "CLV CLTV", 4)
 
 
 _MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13) if f"{y}-{m:02d}" <= "2001-08"]
@@ -294,26 +327,21 @@ _MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13) if f"
     with_parts(
         "monthly",
         "SELECT CUSTOMER_ID, "
-        + ", ".join(f"coalesce(CAST(sum(X) FILTER (YEAR_MONTH = '{m}') AS DOUBLE) / 10000.0, 0) AS \"{m}\"" for m in _MONTHS)
+        + ", ".join(f"coalesce(round(round(sum(X) FILTER (YEAR_MONTH = '{m}'), 9), 6), 0) AS \"{m}\"" for m in _MONTHS)
         + " FROM monthly GROUP BY CUSTOMER_ID",
     ),
 )
 def monthly_pivot(spark, d):
-    return cltv_features.monthly_pivot(views.stored_valid(spark, d))
-
-
-# The oracle turns wide integers into doubles less exactly, so the two columns behind a root are rounded.
-_ROOTS = ("STD_MONTHLY_REVENUE", "PURCHASE_CONSISTENCY")
-_ROUND_ROOTS = "* REPLACE (" + ", ".join(f"round({c}, 6) AS {c}" for c in _ROOTS) + ")"
+    wide = cltv_features.monthly_pivot(views.stored_valid(spark, d))
+    return wide.withColumns({m: F.round(F.round(m, 9), 6) for m in wide.columns if m != "CUSTOMER_ID"})
 
 
-def _round_roots(df):
-    return df.withColumns({c: F.round(c, 6) for c in _ROOTS})
+_TIMES = " ".join(c for c in cltv_features.TIME_FEATURES if c != "MONTHS_ACTIVE")
 
 
-@query("time_features", with_parts("features", f"SELECT {_ROUND_ROOTS} FROM features"))
+@query("time_features", with_parts("features", rounded(_TIMES, "features")))
 def time_features(spark, d):
-    return _round_roots(cltv_features.time_features(views.stored_valid(spark, d)))
+    return _round(cltv_features.time_features(views.stored_valid(spark, d)), _TIMES)
 
 
 _RFM_NUMBERS = (
@@ -325,22 +353,29 @@ _FEATURES = " ".join(cltv_features.TIME_FEATURES) + " " + _RFM_NUMBERS
 _ALL_RFM = ", ".join(n for n, _ in schemas.columns(schemas.CUSTOMER_RFM) if n != "CUSTOMER_ID")
 
 
-@query("feature_join", with_parts("features customer_rfm", f"SELECT {_ROUND_ROOTS} FROM (SELECT f.*, {_ALL_RFM} FROM features f LEFT JOIN customer_rfm USING (CUSTOMER_ID))"))
+@query("feature_join", with_parts("features customer_rfm", rounded(f"{_TIMES} {_DERIVED}", f"(SELECT f.*, {_ALL_RFM} FROM features f LEFT JOIN customer_rfm USING (CUSTOMER_ID))")))
 def feature_join(spark, d):
-    return cltv_features.feature_join(time_features(spark, d), views.stored_rfm(spark, d))
+    return _round(_joined(spark, d), f"{_TIMES} {_DERIVED}")
+
+
+def _joined(spark, d):
+    return cltv_features.feature_join(cltv_features.time_features(views.stored_valid(spark, d)), views.stored_rfm(spark, d))
 
 
 @query(
     "numeric_select",
-    with_parts("features customer_rfm", f"SELECT {_ROUND_ROOTS} FROM (SELECT CUSTOMER_ID, {', '.join(_FEATURES.split())} FROM features LEFT JOIN customer_rfm USING (CUSTOMER_ID))"),
+    with_parts(
+        "features customer_rfm",
+        rounded(f"{_TIMES} {_DERIVED}", f"(SELECT CUSTOMER_ID, {', '.join(_FEATURES.split())} FROM features LEFT JOIN customer_rfm USING (CUSTOMER_ID))"),
+    ),
 )
 def numeric_select(spark, d):
-    return cltv_features.numeric_select(feature_join(spark, d))
+    return _round(cltv_features.numeric_select(_joined(spark, d)), f"{_TIMES} {_DERIVED}")
 
 
-@query("future_revenue_target", with_parts("future", "SELECT CUSTOMER_ID, TARGET FROM future"))
+@query("future_revenue_target", with_parts("future", "SELECT CUSTOMER_ID, round(round(TARGET, 9), 6) AS TARGET FROM future"))
 def future_revenue_target(spark, d):
-    return cltv_features.future_revenue(views.stored_valid(spark, d))
+    return _round(cltv_features.future_revenue(views.stored_valid(spark, d)), "TARGET")
 
 
 @query("cap_quantile", with_parts("capped", "SELECT CUSTOMER_ID, round(TARGET, 6) AS TARGET FROM capped"))
@@ -413,12 +448,12 @@ def model_metrics(spark, d):
     "prediction_table",
     with_parts(
         "future features",
-        f"""SELECT CUSTOMER_ID, TARGET AS ACTUAL_CLV, PREDICTION AS PREDICTED_CLV, TARGET - PREDICTION AS ERROR,
-       (TARGET - PREDICTION) / (TARGET + 1) * 100 AS ERROR_PCT FROM {_NAIVE_SQL}""",
+        f"""SELECT CUSTOMER_ID, round(round(TARGET, 9), 6) AS ACTUAL_CLV, round(round(PREDICTION, 9), 6) AS PREDICTED_CLV,
+       round(round(TARGET - PREDICTION, 9), 6) AS ERROR, round(round((TARGET - PREDICTION) / (TARGET + 1) * 100, 9), 6) AS ERROR_PCT FROM {_NAIVE_SQL}""",
     ),
 )
 def prediction_table(spark, d):
-    return cltv_models.prediction_table(_naive(spark, d))
+    return _round(cltv_models.prediction_table(_naive(spark, d)), "ACTUAL_CLV PREDICTED_CLV ERROR ERROR_PCT")
 
 
 @query(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -21,6 +23,7 @@ SETTINGS = {
 }
 
 _local_base: str | None = None
+_scratch: list[str] = []
 
 
 def build_session(app: str = "tillwork", master: str | None = None, **extra: str) -> SparkSession:
@@ -48,12 +51,27 @@ def shared_base(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     if _local_base is None or not os.path.isdir(_local_base):
         _local_base = tempfile.mkdtemp(prefix="tillwork-")
+        atexit.register(shutil.rmtree, _local_base, ignore_errors=True)
     return _local_base
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nobody has used before."""
-    return f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that nobody has used before; `clear_scratch` removes it."""
+    path = f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process has made, and say how many.
+
+    For the end of a job: frames that read a staged table cannot be used any more.
+    """
+    jvm, conf, gone = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
