@@ -35,6 +35,8 @@ def lower_ascii(text: Column) -> Column:
 
 #: Rows of an Arrow batch that are turned into Python objects at a time.
 SLICE_ROWS = 500
+#: Rows that Spark puts into an Arrow batch of texts.
+ARROW_ROWS = 1000
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,11 +46,19 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE_ROWS)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a task holds outside of the heap: texts are long, and Spark's own 10,000 rows a batch suit numbers."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def map_texts(df: DataFrame, text: str, keep: Sequence[str], work: Callable[[list[str]], list[pa.Array]], made: str) -> DataFrame:
     """The kept columns beside the columns `made` (DDL) that `work` returns for a list of texts, row by row, without a shuffle.
 
     Null texts are passed as empty. Kept columns stay in Arrow, so any value of theirs comes back as it was.
     """
+    small_batches(df.sparkSession)
     kinds = dict(df.dtypes)
     head = [f"_{i}" for i in range(len(keep))]
     names = [part.split()[0] for part in made.split(", ")]

@@ -13,6 +13,8 @@ from tillwork.session import stage
 
 #: Fingerprints of one segment variant that are compared pair by pair.
 CROWD = 32
+#: Fingerprints whose variants one task makes.
+NODES = 10_000
 
 
 def simhash(text: str, width: int = 3, seed: int = 42) -> int:
@@ -58,7 +60,8 @@ def near_edges(fps: DataFrame, distance: int = 2) -> DataFrame:
         "transform(sequence(0, 63), i -> struct(cast(i as byte) AS i,"
         " IF(i < 32, shiftrightunsigned(fp, 32), fp & 4294967295L) & ~shiftleft(1L, i % 32) AS part))"
     )
-    keyed = fps.repartition("fp").select("fp", F.explode(variants).alias("k")).select("fp", "k.i", "k.part")
+    tasks = max(1, fps.count() // NODES)  # 64 rows are made of each, so few bytes are many rows
+    keyed = fps.repartition(tasks, "fp").select("fp", F.explode(variants).alias("k")).select("fp", "k.i", "k.part")
     shared = keyed.groupBy("i", "part").agg(F.count("*").alias("n")).filter("n > 1")
     live = keyed.join(shared, ["i", "part"])
     few = live.filter(F.col("n") <= CROWD).groupBy("i", "part").agg(F.collect_list("fp").alias("all"))
