@@ -165,6 +165,8 @@ class Profile:
 
             def send_values() -> Iterator[pa.RecordBatch]:
                 for col, counts in held.items():
+                    if not counts:  # no value of this column so far
+                        continue
                     yield emit(len(counts), stat=pa.array(["value"] * len(counts)), col=pa.array([col] * len(counts)),
                                value=pa.array(list(counts), pa.string()), n=pa.array(list(counts.values()), pa.int64()))
                 held.clear()
@@ -189,6 +191,8 @@ class Profile:
                 return
             yield from send_values()
             for stat, table in kept.items():
+                if not table.num_rows:
+                    continue
                 chosen = table.column("row").combine_chunks()
                 yield emit(len(chosen), stat=pa.array([stat] * len(chosen)), row=chosen)
             if numbers:
