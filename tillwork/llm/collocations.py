@@ -1,10 +1,11 @@
 """Phrase collocations by best-first growth: counted prefixes bound the scores of everything that extends them.
 
 Words come first, then pairs of frequent words, since a phrase is never more frequent than a part of it; both are
-counted by hash before the frequent ones are counted as texts. From there on a prefix is grown only if its bound reaches the language's threshold, best bounds first: with `a` the prefix's count and
-`l` that of its first word, the cut after that word gives every extension at most 2000000 * a / (l + a). The threshold
-starts at a generous score of each language and is lowered, round by round, in the languages where fewer than the
-wanted number of phrases survive at or above it; a round counts only what lies between its threshold and the last.
+counted by hash before the frequent ones are counted as texts. From there on a prefix is grown only if its bound reaches
+the language's threshold, best bounds first: with `a` the prefix's count and `l` that of its first word, the cut after
+that word gives every extension at most 2000000 * a / (l + a). The threshold starts at a generous score of each language
+and is lowered, round by round, in the languages where fewer than the wanted number of phrases survive at or above it; a
+round counts only what lies between its threshold and the last.
 
 Counting passes read the texts again. What a pass may skip is told by Bloom filters of bounded size; what it counts, it
 counts exactly and under the phrase itself, so a stranger let through costs time and changes nothing.
