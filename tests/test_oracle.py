@@ -15,7 +15,10 @@ SF = "/root/testdata/sf0.001"
 QUICK = (
     "clean_column_names infer_types append_merge incr_key_antijoin silver_sales clean_country coerce_numeric description_clean country_enrich "
     "fx_rate_lookup product_mapping_lists product_mapping_repeated fact_sales rfm_scores time_features cap_quantile profile_value_share "
-    "profile_corr_matrix faulty_descriptions"
+    "profile_corr_matrix faulty_descriptions silver_sales_late report_bundle_export table_overwrite watermark_set rank_first "
+    "quintile_score rfm_metrics rfm_metrics_small_prices linear_fit fx_rate_asof clean_customer_id_double utc_offset profile_all "
+    "gold_layer csv_scan table_scan prefix_union_scan mapping_scan incr_timestamp_filter incr_file_ingest fx_missing_report "
+    "dim_product monthly_pivot future_revenue_target profile_info profile_need_trim unique_countries split_returns"
 ).split()
 NAMES = sorted(entry_point.oracle_sql()) if os.environ.get("TILLWORK_ALL") else QUICK
 

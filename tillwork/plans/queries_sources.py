@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwork import schemas
 from tillwork.operators import incremental
 from tillwork.plans import sample_tables as given
 from tillwork.plans.oracle_parts import with_parts
