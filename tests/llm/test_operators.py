@@ -567,3 +567,24 @@ def test_plain_words_get_the_tokenizers_ids():
     words += ["<|endoftext|>", "<|ENDOFTEXT|>", "don't", "I'll.", "a.b.", "...", "É!", "x1,", "日本", "ſK", "ΣΑΣ", "."]
     known.learn({w.encode() for w in words})
     assert all(known[w.encode()] == known._encode(w.encode()) for w in words)
+
+
+def test_word_ids_stay_bounded_and_right(monkeypatch):
+    """A worker keeps at most two generations of CACHE_SIZE words, small enough for the pipeline's executors; ids
+    stay those of the tokenizer while generations change."""
+    import random
+
+    import public_tokenizers
+
+    from tillwork.llm import packing
+
+    assert 2 * packing.CACHE_SIZE <= 200_000
+    monkeypatch.setattr(packing, "CACHE_SIZE", 40)
+    known = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choices("abcdeXY.,", k=rng.randint(1, 9))) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    for at in range(0, len(texts), 20):
+        got = known.encode(texts[at : at + 20])
+        assert len(known) <= 40 + 600 and len(known.former) <= 40 + 600  # a generation, and the block that fills it
+        want = [np.asarray(known.model.encode(t, add_special_tokens=False).ids, dtype=known.width).tobytes() for t in texts[at : at + 20]]
+        assert got == want

@@ -20,8 +20,9 @@ from tillwork.llm.common import map_texts, query, table
 CELL_BYTES = 4_000_000
 #: Sequence numbers reserved for one cell.
 CELL_ROOM = 1 << 24
-#: Words of one generation, of which a Python worker keeps two.
-CACHE_SIZE = 400_000
+#: Words of one generation, of which a Python worker keeps two: about 35 MB with the tokenizer (400,000: 86 MB, which
+#: took the pipeline's executors past 3000 MB in packing); misses cost about 40 % more time in tokenising.
+CACHE_SIZE = 100_000
 #: Texts whose words are looked up together.
 TEXTS = 256
 #: Marks that often end a run.
