@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -15,6 +15,7 @@ from pyspark.storagelevel import StorageLevel
 from tillwork import schemas
 from tillwork.functions.amounts import ratio
 from tillwork.operators.cltv_features import assign_fold, fit_scaler, train_test_split
+from tillwork.operators.trees import Boosted, Forest, TrainingSets
 
 TREES = ("Random Forest", "Gradient Boosting")
 
@@ -22,6 +23,8 @@ TREES = ("Random Forest", "Gradient Boosting")
 def estimators(n: int = 1, label_deviation: float = 1.0, seed: int = 42, trees: int = 100) -> dict[str, Callable]:
     """Estimator factories for a training set of `n` rows with the given deviation of the label.
 
+    The linear ones fit one training set, those of TREES all training sets at once.
+
     The ridge penalty weighs alpha against a sum over rows. Spark weighs against the mean, and after
     dividing the label by its deviation, hence alpha * deviation / n. The lasso penalty needs neither.
     """
@@ -32,12 +35,8 @@ def estimators(n: int = 1, label_deviation: float = 1.0, seed: int = 42, trees:
         "Linear Regression": lambda: LinearRegression(**linear),
         "Ridge": lambda: LinearRegression(**linear, regParam=label_deviation / max(n, 1), elasticNetParam=0.0),
         "Lasso": lambda: LinearRegression(**linear, regParam=1.0, elasticNetParam=1.0),
-        "Random Forest": lambda: RandomForestRegressor(
-            **common, numTrees=trees, maxDepth=10, seed=seed, featureSubsetStrategy="all"
-        ),
-        "Gradient Boosting": lambda: GBTRegressor(
-            **common, maxIter=trees, maxDepth=5, seed=seed, stepSize=0.1
-        ),
+        "Random Forest": lambda: Forest(trees, depth=10, seed=seed),
+        "Gradient Boosting": lambda: Boosted(trees, depth=5, step=0.1),
     }
 
 
@@ -109,20 +108,47 @@ def _mae(model, rows: DataFrame) -> float | None:
     return scored.agg(F.avg(F.abs(F.col("TARGET") - F.col("PREDICTION")))).first()[0]
 
 
-def cross_validate(prepared: Prepared, names: Sequence[str], folds: int = 5, parallelism: int = 6, **kw) -> dict[str, list[float]]:
-    """Mean absolute error of each model on each held-out fold of the training rows.
+def fit_all(
+    prepared: Prepared, names: Sequence[str], folds: Sequence[int | None], parallelism: int = 6, **kw
+) -> dict[tuple[str, int | None], object]:
+    """Each model on each training set: the training rows without the given fold, or all of them for None.
 
-    Fits are independent Spark jobs submitted from a few driver threads.
+    Training sets without a row have no model. Linear fits are independent Spark jobs submitted from a few driver
+    threads; the trees of all training sets grow together.
     """
+    grown = [n for n in reversed(names) if n in TREES]
+    tasks = [(name, fold) for name in names if name not in TREES for fold in folds]
 
-    def one(task: tuple[str, int]) -> float | None:
+    def one(task: tuple[str, int | None]) -> object | None:
         name, fold = task
         rows = prepared.side(name).filter("IS_TRAIN")
-        fit_on, check_on = rows.filter(F.col("FOLD") != fold), rows.filter(F.col("FOLD") == fold)
-        make = _estimators_for(fit_on, **kw)
-        return None if make is None else _mae(make[name]().fit(fit_on), check_on)
+        rows = rows if fold is None else rows.filter(F.col("FOLD") != fold)
+        make = _estimators_for(rows, **kw)
+        return None if make is None else make[name]().fit(rows)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        sets = TrainingSets(prepared.rows, folds, kw.get("seed", 42)) if grown else None
+        forests = {n: pool.submit(estimators(**kw)[n]().fit, sets) for n in grown}
+        fitted = dict(zip(tasks, pool.map(one, tasks)))
+        for name, found in forests.items():
+            fitted |= {(name, fold): model for fold, model in found.result().items()}
+    if sets:
+        sets.release()
+    return {task: model for task, model in fitted.items() if model is not None}
+
+
+def cross_validate(
+    prepared: Prepared, names: Sequence[str], folds: int = 5, parallelism: int = 6, fitted: dict | None = None, **kw
+) -> dict[str, list[float]]:
+    """Mean absolute error of each model on each held-out fold of the training rows. `fitted` has the models, if known."""
+    fitted = fitted if fitted is not None else fit_all(prepared, names, range(folds), parallelism, **kw)
+
+    def one(task: tuple[str, int]) -> float | None:
+        name, fold = task
+        rows = prepared.side(name).filter("IS_TRAIN").filter(F.col("FOLD") == fold)
+        return _mae(fitted[task], rows) if task in fitted else None
 
-    tasks = [(name, fold) for name in reversed(names) for fold in range(folds)]
+    tasks = [(name, fold) for name in names for fold in range(folds)]
     with ThreadPoolExecutor(parallelism) as pool:
         scores = dict(zip(tasks, pool.map(one, tasks)))
     return {name: [scores[name, f] for f in range(folds) if scores[name, f] is not None] for name in names}
@@ -138,16 +164,12 @@ class Trained:
     predictions: DataFrame
 
 
-def fit_models(prepared: Prepared, names: Sequence[str], parallelism: int = 4, **kw) -> dict[str, object]:
-    make = _estimators_for(prepared.rows.filter("IS_TRAIN"), **kw)
-    if make is None:
+def fit_models(prepared: Prepared, names: Sequence[str], parallelism: int = 4, fitted: dict | None = None, **kw) -> dict[str, object]:
+    """Each model on all training rows. `fitted` has the models, if known."""
+    fitted = fitted if fitted is not None else fit_all(prepared, names, [None], parallelism, **kw)
+    if any((name, None) not in fitted for name in names):
         raise ValueError("no training rows")
-
-    def one(name: str):
-        return make[name]().fit(prepared.side(name).filter("IS_TRAIN"))
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        return dict(zip(names, pool.map(one, names)))
+    return {name: fitted[name, None] for name in names}
 
 
 def train_models(
@@ -155,10 +177,9 @@ def train_models(
 ) -> Trained:
     """Fit every model on the training rows, score it on the test rows and by cross-validation."""
     names = list(names or estimators())
-    with ThreadPoolExecutor(2) as pool:
-        fitted = pool.submit(fit_models, prepared, names, **kw)
-        cv = cross_validate(prepared, names, folds, **kw) if folds else {n: [] for n in names}
-        models = fitted.result()
+    fitted = fit_all(prepared, names, [None, *range(folds)], **kw)
+    models = fit_models(prepared, names, fitted=fitted)
+    cv = cross_validate(prepared, names, folds, fitted=fitted)
     rows = []
     for name in names:
         test = prepared.side(name).filter("NOT IS_TRAIN")
