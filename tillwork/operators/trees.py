@@ -3,7 +3,7 @@
 The fits of a cross-validation share their rows: a row is kept once, as one byte per feature and training set, and one
 job grows a level of all trees of all training sets (or as many as fit a task's memory). Tasks send sums per node and
 bin, never rows; files of a level's sums are removed with the level. Thresholds, splits and leaves follow Spark ML's
-tree learners, boosted trees give the same model up to rounding. The bootstrap of a forest is drawn from a hash of the
+tree learners; between splits of equal gain rounding decides, so held-out scores differ from theirs. The bootstrap of a forest is drawn from a hash of the
 row and the tree, so it does not depend on partitions, and differs from Spark ML's draw, which does.
 """
 
